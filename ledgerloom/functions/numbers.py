@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 MONEY = "decimal(28,12)"
 COERCION_FAILED = "R2-TYPE-01:coercion_failed"
-SCALE_FACTORS = (Decimal(10), Decimal(100), Decimal(1000))
+SCALE_FACTORS = (10, 100, 1000)
 
 
 def to_decimal(text: Column) -> Column:
@@ -39,37 +39,39 @@ def percent_gap(base: Column, other: Column) -> Column:
     ).otherwise(gap * 100 / size)
 
 
-def within_permille(base: Column, other: Column, permille: Column) -> Column:
-    """Exact test of |base - other| <= permille/1000 of |base|, without a decimal division."""
-    gap = F.abs(base - other)
-    return F.when(base == 0, F.when(other == 0, True).otherwise(F.abs(other) * Decimal(1000) <= permille)).otherwise(
-        gap * Decimal(1000) <= F.abs(base) * permille
+# The tests below are SQL text over column names, as they appear many times in the cascade and inside
+# lambdas. Tolerances are whole permille and the products stay within 38 digits, so the comparisons
+# are exact; a decimal division would round.
+
+
+def within_permille(base: str, other: str, permille: str) -> str:
+    """|base - other| <= permille/1000 of |base|; a zero base compares |other| * 100 to the percentage."""
+    return (
+        f"CASE WHEN {base} = 0 THEN abs({other}) * 1000BD <= {permille} "
+        f"ELSE abs({base} - {other}) * 1000BD <= abs({base}) * {permille} END"
     )
 
 
-def agrees(
-    base: Column, base_eps: Column, other: Column, other_eps: Column, permille: Column
-) -> Column:
+def agrees(base: str, base_eps: str, other: str, other_eps: str, permille: str) -> str:
     """Whether two readings agree, the band measured on ``base``.
 
     Equal, or within the coarser rounding step, or within the percentage band; a null ``permille``
     asks for equality.
     """
-    step = F.greatest(base_eps, other_eps)
-    rounded = (step > 0) & (F.abs(base - other) <= step)
-    band = permille.isNotNull() & within_permille(base, other, permille)
-    return (base == other) | rounded | F.coalesce(band, F.lit(False))
+    step = f"greatest({base_eps}, {other_eps})"
+    return (
+        f"({base} = {other} OR ({step} > 0 AND abs({base} - {other}) <= {step}) "
+        f"OR coalesce({within_permille(base, other, permille)}, false))"
+    )
 
 
-def off_by_power_of_ten(value: Column, anchor: Column) -> Column:
+def off_by_power_of_ten(value: str, anchor: str) -> str:
     """``value`` is ``anchor`` with one to three digits dropped or added, give or take 0.5 %."""
-    def near(target: Column, scaled: Column) -> Column:
-        return F.abs(target - scaled) * Decimal(200) <= F.abs(target)
-
-    hit = F.lit(False)
+    tests = []
     for factor in SCALE_FACTORS:
-        hit = hit | near(anchor, value * factor) | near(anchor * factor, value)
-    return (value != 0) & (anchor != 0) & hit
+        tests.append(f"abs({anchor} - {value} * {factor}BD) * 200BD <= abs({anchor})")
+        tests.append(f"abs({anchor} * {factor}BD - {value}) * 200BD <= abs({anchor} * {factor}BD)")
+    return f"({value} <> 0 AND {anchor} <> 0 AND ({' OR '.join(tests)}))"
 
 
 def printed_step(text: Column, unit_size: int = 100_000) -> Column:

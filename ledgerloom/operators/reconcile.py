@@ -11,14 +11,11 @@ which only aggregates and joins.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.ids import KEY
-from ledgerloom.functions.numbers import MONEY, agrees, off_by_power_of_ten, percent_gap
-from ledgerloom.operators.rollup import coverage_status
+from ledgerloom.functions.numbers import MONEY, agrees, off_by_power_of_ten
 from ledgerloom.presets import CorpusPolicy
 
 ABSENT_RULE = "R4-REC-06"
@@ -32,180 +29,141 @@ STRUCTURAL_RULE = "R4-REC-05"
 ONE_PUBLISHER_RULE = "R4-REC-09"
 PRIORITY_RULE = "R4-REC-02"
 
-READING = ("value", "rounding_epsilon", "seq")
-
-
-def metric_setting(policy: CorpusPolicy, pick: str, kind: str) -> Column:
-    """A policy attribute of the row's metric, from the configuration (a literal map)."""
-    default = F.lit(getattr(policy.default, pick)).cast(kind)
-    if not policy.metrics:
-        return default
-    cells = []
-    for name, settings in policy.metrics.items():
-        cells += [F.lit(name), F.lit(getattr(settings, pick)).cast(kind)]
-    table = F.create_map(*cells)
-    return F.when(F.map_contains_key(table, F.col("metric")), F.try_element_at(table, F.col("metric"))).otherwise(default)
-
-
-def tolerance(policy: CorpusPolicy) -> Column:
-    return metric_setting(policy, "tolerance_permille", "decimal(4,0)")
-
-
-def priority() -> Column:
-    """Sort key of authority: rank, dated before undated and newest first, later edition, source."""
-    edition = F.coalesce(-F.substring("edition_span_end", 1, 4).try_cast("int"), F.lit(0))
-    as_of = F.coalesce(-F.unix_micros("source_as_of"), F.lit(0))
-    return F.struct(
-        F.col("authority_rank").alias("rank"), as_of.alias("as_of"), edition.alias("edition"),
-        F.col("source_id").alias("source_id"), F.col("seq").alias("seq"),
-    )
-
-
-def winner_record() -> Column:
-    return F.struct(
-        "value", "rounding_epsilon", "seq", "source_id",
-        F.coalesce(coverage_status(F.col("coverage")) == "structural_gap", F.lit(False)).alias("gap"),
-    )
-
-
-def in_family() -> Column:
-    return ~F.col("absent") & F.col("edition_span_end").isNotNull()
-
-
-def edition_rank() -> Column:
-    """Order of the editions that may supersede: latest span, first arrival; null for other rows."""
-    return F.when(
-        in_family() & ~F.col("is_edition_terminal"), F.struct(F.col("edition_span_end"), -F.col("seq"))
+READING = "struct(value, rounding_epsilon, seq)"
+WINNER = """struct(value, rounding_epsilon, seq, source_id,
+  coalesce(coverage.units_in_source_universe < coverage.units_in_authority, false) AS gap)"""
+# Authority: rank, dated before undated and newest first, later edition, source, arrival.
+PRIORITY = """struct(authority_rank, coalesce(-unix_micros(source_as_of), 0L) AS as_of,
+  coalesce(-try_cast(substring(edition_span_end, 1, 4) AS int), 0) AS edition, source_id, seq)"""
+# The editions that may supersede others: latest span first, then first arrival; null for other rows.
+EDITION_RANK = """CASE WHEN NOT absent AND edition_span_end IS NOT NULL AND NOT is_edition_terminal
+  THEN struct(edition_span_end, -seq) END"""
+
+
+def metric_setting(policy: CorpusPolicy, pick: str, kind: str) -> str:
+    """SQL for a policy attribute of the row's metric, from the configuration."""
+    def literal(value: object) -> str:
+        text = "NULL" if value is None else f"'{value}'"
+        return f"CAST({text} AS {kind})"
+
+    cases = " ".join(
+        f"WHEN '{name}' THEN {literal(getattr(settings, pick))}" for name, settings in policy.metrics.items()
     )
+    default = literal(getattr(policy.default, pick))
+    return f"CASE metric {cases} ELSE {default} END" if cases else default
 
 
-def is_superseded(edition: Column, band: Column) -> Column:
-    final = in_family() & ~F.col("is_edition_terminal") & (F.col("seq") != edition["seq"])
-    same = agrees(edition["value"], edition["rounding_epsilon"], F.col("value"), F.col("rounding_epsilon"), band)
-    return F.coalesce(final & ~same, F.lit(False))
-
-
-def is_scale_error(anchor: Column, band: Column) -> Column:
-    """An active reading that misses the anchor by a power of ten."""
-    same = agrees(F.col("value"), F.col("rounding_epsilon"), anchor["value"], anchor["rounding_epsilon"], band)
-    hit = ~same & off_by_power_of_ten(F.col("value"), anchor["value"])
-    return F.coalesce(F.col("active") & hit, F.lit(False))
+def pair_agrees(base: str, other: str) -> str:
+    """Agreement of two readings given as column prefixes ("" is the row itself)."""
+    return agrees(f"{base}value", f"{base}rounding_epsilon", f"{other}value", f"{other}rounding_epsilon", "_band")
 
 
-def is_rejected(winner: Column, band: Column) -> Column:
-    same = agrees(winner["value"], winner["rounding_epsilon"], F.col("value"), F.col("rounding_epsilon"), band)
-    return F.coalesce(F.col("live") & (F.col("seq") != winner["seq"]) & ~same, F.lit(False))
+SUPERSEDED = f"""coalesce(NOT absent AND edition_span_end IS NOT NULL AND NOT is_edition_terminal
+  AND seq <> _edition.seq AND NOT {pair_agrees("_edition.", "")}, false)"""
+SCALE_ERROR = f"""coalesce(active AND NOT {pair_agrees("", "_anchor.")}
+  AND {off_by_power_of_ten("value", "_anchor.value")}, false)"""
+REJECTED = f"coalesce(live AND seq <> winner.seq AND NOT {pair_agrees('winner.', '')}, false)"
 
 
 def flag_readings(observations: DataFrame, policy: CorpusPolicy) -> DataFrame:
     """``observations`` plus absent, partial, superseded, scale_error, live, winner and rejected."""
-    key = Window.partitionBy(*KEY)
-    band = tolerance(policy)
-    size = F.abs(F.col("value"))
-
-    df = observations.withColumn("_nonzero", F.max(F.col("value") != 0).over(key))
-    df = df.withColumn("absent", F.col("_nonzero") & (F.col("value") == 0))
-    df = df.withColumn("partial", in_family() & F.col("is_edition_terminal"))
-    df = df.withColumn("_edition", F.max_by(F.struct(*READING), edition_rank()).over(key))
-    df = df.withColumn("superseded", is_superseded(F.col("_edition"), band))
-    df = df.withColumn("active", ~F.col("absent") & ~F.col("partial") & ~F.col("superseded"))
-
-    nonzero = F.col("active") & (F.col("value") != 0)
-    active_source = F.when(F.col("active"), F.col("source_id"))
-    df = df.withColumn(
-        "_suspect",
-        (F.max(F.when(nonzero, size)).over(key) >= F.min(F.when(nonzero, size)).over(key) * Decimal(9))
-        & (F.min(active_source).over(key) != F.max(active_source).over(key)),
-    )
-    # Only keys that span an order of magnitude across publishers carry their peers along.
-    peer = F.struct(*READING, "source_id")
-    df = df.withColumn("_peers", F.collect_list(F.when(F.col("_suspect") & F.col("active"), peer)).over(key))
-    me, eps = F.col("value"), F.col("rounding_epsilon")
-    backed = F.exists(
-        "_peers",
-        lambda p: (p["source_id"] != F.col("source_id")) & agrees(me, eps, p["value"], p["rounding_epsilon"], band),
-    )
-    contradicted = F.exists(
-        "_peers",
-        lambda p: ~agrees(p["value"], p["rounding_epsilon"], me, eps, band) & off_by_power_of_ten(p["value"], me),
-    )
-    anchors = F.when(F.col("active") & F.coalesce(F.col("_suspect"), F.lit(False)) & backed & contradicted, F.col("seq"))
-    df = df.withColumn("_anchor_seq", anchors)
-    df = df.withColumn("_anchor", F.min_by(F.struct(*READING), F.col("_anchor_seq")).over(key))
-    df = df.withColumn("scale_error", is_scale_error(F.col("_anchor"), band))
-    df = df.withColumn("live", F.col("active") & ~F.col("scale_error"))
-    df = df.withColumn("winner", F.min_by(winner_record(), F.when(F.col("live"), priority())).over(key))
-    df = df.withColumn("rejected", is_rejected(F.col("winner"), band))
-    return df.drop("_nonzero", "_edition", "_suspect", "_peers", "_anchor_seq", "_anchor")
+    key = f"OVER (PARTITION BY {', '.join(KEY)})"
+    nonzero = "CASE WHEN active AND value <> 0 THEN abs(value) END"
+    active_source = "CASE WHEN active THEN source_id END"
+    layers = [
+        [f"max(value <> 0) {key} AS _nonzero", f"{metric_setting(policy, 'tolerance_permille', 'decimal(4,0)')} AS _band"],
+        ["_nonzero AND value = 0 AS absent"],
+        ["NOT absent AND edition_span_end IS NOT NULL AND is_edition_terminal AS partial",
+         f"max_by({READING}, {EDITION_RANK}) {key} AS _edition"],
+        [f"{SUPERSEDED} AS superseded"],
+        ["NOT absent AND NOT partial AND NOT superseded AS active"],
+        # Only keys that span an order of magnitude across publishers carry their peers along.
+        [f"coalesce(max({nonzero}) {key} >= min({nonzero}) {key} * 9BD "
+         f"AND min({active_source}) {key} <> max({active_source}) {key}, false) AS _suspect"],
+        [f"collect_list(CASE WHEN _suspect AND active THEN struct(value, rounding_epsilon, source_id) END) {key} AS _peers"],
+        [f"""CASE WHEN active AND _suspect
+          AND exists(_peers, p -> p.source_id <> source_id AND {pair_agrees("", "p.")})
+          AND exists(_peers, p -> NOT {pair_agrees("p.", "")} AND {off_by_power_of_ten("p.value", "value")})
+          THEN seq END AS _anchor_seq"""],
+        [f"min_by({READING}, _anchor_seq) {key} AS _anchor"],
+        [f"{SCALE_ERROR} AS scale_error"],
+        ["active AND NOT scale_error AS live"],
+        [f"min_by({WINNER}, CASE WHEN live THEN {PRIORITY} END) {key} AS winner"],
+        [f"{REJECTED} AS rejected"],
+    ]
+    df = observations
+    for layer in layers:
+        df = df.selectExpr("*", *layer)
+    return df.drop("_band", "_nonzero", "_edition", "_suspect", "_peers", "_anchor_seq", "_anchor")
+
+
+SURVIVING = "NOT absent AND NOT scale_error AND NOT partial"
 
 
 def decide(flagged: DataFrame, policy: CorpusPolicy) -> DataFrame:
     """One row per key: the value, the rule that decided it, and the counts the labels need.
 
     A key all of whose readings were removed has no fact, unless a terminal partial was among them:
-    then the value is withheld.
+    then the value is withheld. Every aggregate is mergeable, so a key's readings are folded on the
+    map side where the plan has not grouped them yet.
     """
-    live = F.col("live")
-    surviving = ~F.col("absent") & ~F.col("scale_error") & ~F.col("partial")
-    source = F.col("source_id")
-    counted = flagged.groupBy(*KEY).agg(
-        F.first("winner", ignorenulls=True).alias("winner"),
-        F.count(F.lit(1)).alias("sources_seen_count"),
-        F.count_if(live).alias("_live"),
-        F.count_if(F.col("rejected")).alias("rejected_count"),
-        F.count_if(F.col("absent")).alias("absent_count"),
-        F.count_if(F.col("partial")).alias("partial_count"),
-        F.count_if(F.col("superseded")).alias("superseded_count"),
-        F.count_if(F.col("scale_error")).alias("scale_count"),
-        F.min(F.when(live, F.col("value"))).alias("_low"),
-        F.max(F.when(live, F.col("value"))).alias("_high"),
-        F.min(F.when(live, source)).alias("_first_live"),
-        F.max(F.when(live, source)).alias("_last_live"),
-        F.count_if(live & F.col("coverage").isNull() & (F.col("seq") != F.col("winner.seq"))).alias("_native"),
-        F.count_if(surviving).alias("surviving_count"),
-        F.min(F.when(surviving, source)).alias("_first_surviving"),
-        F.max(F.when(surviving, source)).alias("_last_surviving"),
-        F.max(source == policy.primary_source).alias("has_primary"),
-        F.array_join(F.array_sort(F.collect_set("resource_id")), ";").alias("contributing_resource_ids"),
-    )
-    won = F.col("winner.value")
-    gap = F.greatest(F.abs(won - F.col("_low")), F.abs(won - F.col("_high")))
-    far = F.when(F.abs(won - F.col("_low")) >= F.abs(won - F.col("_high")), F.col("_low")).otherwise(F.col("_high"))
-    removed = (
-        F.when(F.col("superseded_count") > 0, SUPERSEDED_RULE)
-        .when(F.col("partial_count") > 0, PARTIAL_RULE)
-        .when(F.col("absent_count") > 0, ABSENT_RULE)
-        .when(F.col("scale_count") > 0, SCALE_RULE)
-    )
-    floor = metric_setting(policy, "absolute_floor", MONEY)
-    relative = metric_setting(policy, "relative_floor_pct", "decimal(5,2)")
-    small = ((F.col("_high") - F.col("_low")) < floor) | (gap * Decimal(100) < F.abs(won) * relative)
-    none_left = F.col("_live") == 0
-    rule = (
-        F.when(none_left, PARTIAL_RULE)
-        .when(F.col("_live") == 1, F.coalesce(removed, F.lit(SINGLE_RULE)))
-        .when(F.col("rejected_count") == 0, F.coalesce(removed, F.lit(AGREED_RULE)))
-        .when(small, IMMATERIAL_RULE)
-        .when(F.col("winner.gap") & (F.col("_native") > 0), STRUCTURAL_RULE)
-        .when(F.col("_first_live") == F.col("_last_live"), ONE_PUBLISHER_RULE)
-        .otherwise(PRIORITY_RULE)
+    aggregates = [
+        "any_value(winner, true) AS winner",
+        "count(1) AS sources_seen_count",
+        "count_if(live) AS _live",
+        "count_if(rejected) AS rejected_count",
+        "count_if(absent) AS absent_count",
+        "count_if(partial) AS partial_count",
+        "count_if(superseded) AS superseded_count",
+        "count_if(scale_error) AS scale_count",
+        "min(CASE WHEN live THEN value END) AS _low",
+        "max(CASE WHEN live THEN value END) AS _high",
+        "min(CASE WHEN live THEN source_id END) AS _first_live",
+        "max(CASE WHEN live THEN source_id END) AS _last_live",
+        "count_if(live AND coverage IS NULL AND seq <> winner.seq) AS _native",
+        f"count_if({SURVIVING}) AS surviving_count",
+        f"min(CASE WHEN {SURVIVING} THEN source_id END) AS _first_surviving",
+        f"max(CASE WHEN {SURVIVING} THEN source_id END) AS _last_surviving",
+        f"max(source_id = '{policy.primary_source}') AS has_primary",
+        "array_join(array_sort(collect_set(resource_id)), ';') AS contributing_resource_ids",
+    ]
+    counted = flagged.groupBy(*KEY).agg(*[F.expr(a) for a in aggregates])
+    gap = "greatest(abs(winner.value - _low), abs(winner.value - _high))"
+    ruled = counted.filter("_live > 0 OR partial_count > 0").selectExpr(
+        "*",
+        f"{gap} AS _gap",
+        f"{metric_setting(policy, 'absolute_floor', MONEY)} AS _floor",
+        f"{metric_setting(policy, 'relative_floor_pct', 'decimal(5,2)')} AS _relative",
+        f"""CASE WHEN superseded_count > 0 THEN '{SUPERSEDED_RULE}' WHEN partial_count > 0 THEN '{PARTIAL_RULE}'
+          WHEN absent_count > 0 THEN '{ABSENT_RULE}' WHEN scale_count > 0 THEN '{SCALE_RULE}' END AS _removed""",
+    ).selectExpr(
+        "*",
+        f"""CASE WHEN _live = 0 THEN '{PARTIAL_RULE}'
+          WHEN _live = 1 THEN coalesce(_removed, '{SINGLE_RULE}')
+          WHEN rejected_count = 0 THEN coalesce(_removed, '{AGREED_RULE}')
+          WHEN _high - _low < _floor OR _gap * 100BD < abs(winner.value) * _relative THEN '{IMMATERIAL_RULE}'
+          WHEN winner.gap AND _native > 0 THEN '{STRUCTURAL_RULE}'
+          WHEN _first_live = _last_live THEN '{ONE_PUBLISHER_RULE}'
+          ELSE '{PRIORITY_RULE}' END AS resolution_rule_id""",
+    ).selectExpr(
+        "*",
+        f"_live > 0 AND resolution_rule_id NOT IN ('{STRUCTURAL_RULE}', '{ONE_PUBLISHER_RULE}') AS adjudicated",
+        "rejected_count > 0 AS disputed",
     )
-    ruled = counted.filter(~none_left | (F.col("partial_count") > 0)).withColumn("resolution_rule_id", rule)
-    disputed = F.col("rejected_count") > 0
-    adjudicated = ~none_left & ~F.col("resolution_rule_id").isin(STRUCTURAL_RULE, ONE_PUBLISHER_RULE)
-    return ruled.select(
+    return ruled.selectExpr(
         *KEY,
-        F.when(adjudicated, won).alias("value"),
-        metric_setting(policy, "unit", "string").alias("unit"),
-        F.when(adjudicated, F.col("winner.source_id")).alias("source_id"),
+        "CASE WHEN adjudicated THEN winner.value END AS value",
+        f"{metric_setting(policy, 'unit', 'string')} AS unit",
+        "CASE WHEN adjudicated THEN winner.source_id END AS source_id",
         "resolution_rule_id",
-        adjudicated.alias("adjudicated"),
-        disputed.alias("disputed"),
-        F.when(disputed, percent_gap(won, far)).alias("disagreement_pct"),
-        F.when(disputed, F.col("resolution_rule_id") != IMMATERIAL_RULE).alias("material"),
+        "adjudicated",
+        "disputed",
+        # The percentage is for display. A zero winner has no live peer but zeros, so it is never disputed.
+        "CASE WHEN disputed THEN CAST(_gap AS double) * 100 / abs(CAST(winner.value AS double)) END AS disagreement_pct",
+        f"CASE WHEN disputed THEN resolution_rule_id <> '{IMMATERIAL_RULE}' END AS material",
         "sources_seen_count", "surviving_count", "rejected_count", "absent_count", "partial_count",
         "superseded_count", "scale_count",
-        F.coalesce(F.col("_first_surviving") != F.col("_last_surviving"), F.lit(False)).alias("cross_publisher"),
+        "coalesce(_first_surviving <> _last_surviving, false) AS cross_publisher",
         "has_primary", "contributing_resource_ids",
     )
 
@@ -215,19 +173,21 @@ def quarantine_impossible(facts: DataFrame, policy: CorpusPolicy) -> DataFrame:
 
     The ceiling compares two metrics of one place and year.
     """
-    negative = F.col("value") < 0
-    df = facts.withColumn("quarantined", F.coalesce(negative, F.lit(False)))
-    reason = F.when(F.col("quarantined"), F.lit("negative_value"))
+    df = facts.selectExpr("*", "coalesce(value < 0, false) AS _negative")
     if policy.ceiling_metric is None:
-        return df.withColumn("quarantine_reason", reason)
-    # Facts are unique by key, so a place and year holds at most one row per metric and month.
-    place = Window.partitionBy("scheme", "geo_level", "state_code", "district_code", "fin_year")
-    base = F.when(F.col("metric") == policy.ceiling_base, F.struct(F.coalesce("month", F.lit(""))))
-    joined = df.withColumn("_base", F.max_by("value", base).over(place))
-    above = F.coalesce(
-        (F.col("metric") == policy.ceiling_metric) & ~F.col("quarantined") & (F.col("value") > F.col("_base") * Decimal(policy.ceiling_factor)), F.lit(False)
+        above = "false"
+    else:
+        # Facts are unique by key, so a place and year holds at most one row per metric and month.
+        df = df.selectExpr(
+            "*",
+            f"""max_by(value, CASE WHEN metric = '{policy.ceiling_base}' THEN struct(coalesce(month, '')) END)
+            OVER (PARTITION BY scheme, geo_level, state_code, district_code, fin_year) AS _base""",
+        )
+        above = (
+            f"metric = '{policy.ceiling_metric}' AND NOT _negative AND value > _base * {policy.ceiling_factor}BD"
+        )
+    return df.selectExpr("*", f"coalesce({above}, false) AS _above").selectExpr(
+        *facts.columns,
+        "_negative OR _above AS quarantined",
+        f"CASE WHEN _negative THEN 'negative_value' WHEN _above THEN '{policy.ceiling_reason}' END AS quarantine_reason",
     )
-    joined = joined.withColumn("_above", above)
-    return joined.withColumn(
-        "quarantine_reason", F.when(F.col("_above"), policy.ceiling_reason).otherwise(reason)
-    ).withColumn("quarantined", F.col("quarantined") | F.col("_above")).drop("_base", "_above")

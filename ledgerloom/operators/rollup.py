@@ -136,9 +136,7 @@ def state_annual_total(
             F.count_if(contributed).alias("units_summed"),
         )
     )
-    gap = F.col("_stated").isNotNull() & ~within_permille(
-        F.col("value"), F.col("_stated"), F.lit(tolerance_permille).cast("decimal(4,0)")
-    )
+    gap = F.expr(f"_stated IS NOT NULL AND NOT {within_permille('value', '_stated', f'{tolerance_permille}BD')}")
     flagged = totals.withColumn(
         "discrepancy",
         F.when(

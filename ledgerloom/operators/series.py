@@ -77,12 +77,8 @@ def era_basis() -> Column:
 
 
 def label(facts: DataFrame, blake_ids: bool = False) -> DataFrame:
-    return (
-        facts.withColumn("basis", basis())
-        .withColumn("confidence", confidence())
-        .withColumn("era_basis", era_basis())
-        .withColumn("fact_id", fact_id(blake_ids))
-    )
+    named = facts.withColumns({"basis": basis(), "confidence": confidence(), "fact_id": fact_id(blake_ids)})
+    return named.withColumn("era_basis", era_basis())
 
 
 def assemble(flagged: DataFrame, policy: CorpusPolicy, blake_ids: bool = False) -> DataFrame:
