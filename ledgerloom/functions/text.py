@@ -23,26 +23,32 @@ def trimmed(cell: Column) -> Column:
     return F.regexp_replace(cell, r"(?U)\A\s+|\s+\z", "")
 
 
-def clean_cell(cell: Column, is_text: Column | None = None) -> Column:
-    """``struct(value, note)`` of a delivered cell: null tokens nulled, numbers freed of commas.
+def clean_value(cell: Column, body: Column, is_text: Column | None = None) -> Column:
+    """A delivered cell with null tokens nulled and numbers freed of commas; ``body`` is it trimmed.
 
-    Text that is no number comes back as delivered. ``is_text`` marks cells delivered as strings;
-    any other delivered type passes through.
+    Text that is no number stays as delivered. ``is_text`` marks cells delivered as strings; any
+    other delivered type passes through.
     """
-    body = trimmed(cell)
     bare = F.replace(body, F.lit(","), F.lit(""))
-    number = bare.rlike(NUMERIC)
+    value = F.when(F.upper(body).isin("", "-", "NA"), F.lit(None)).when(bare.rlike(NUMERIC), bare).otherwise(cell)
+    return value if is_text is None else F.when(is_text, value).otherwise(cell)
+
+
+def clean_note(cell: Column, body: Column, is_text: Column | None = None) -> Column:
+    """The lineage note of ``clean_value``, null where the cell is unchanged."""
     comma = body.contains(",")
-    nulls = F.when(body == "", BLANK_NOTE).when(body == "-", DASH_NOTE).when(F.upper(body) == "NA", NA_NOTE)
-    value = F.when(nulls.isNotNull(), F.lit(None)).when(number, bare).otherwise(cell)
-    note = F.coalesce(
-        nulls,
-        F.when(number & comma, COMMA_NOTE).when(number & (body != cell), TRIM_NOTE),
+    number = F.replace(body, F.lit(","), F.lit("")).rlike(NUMERIC)
+    note = (
+        F.when(body == "", BLANK_NOTE).when(body == "-", DASH_NOTE).when(F.upper(body) == "NA", NA_NOTE)
+        .when(comma & number, COMMA_NOTE).when((body != cell) & number, TRIM_NOTE)
     )
-    if is_text is not None:
-        value = F.when(is_text, value).otherwise(cell)
-        note = F.when(is_text, note)
-    return F.struct(value.cast("string").alias("value"), note.cast("string").alias("note"))
+    return note if is_text is None else F.when(is_text, note)
+
+
+def clean_cell(cell: Column) -> Column:
+    """``struct(value, note)`` of a cell delivered as text."""
+    body = trimmed(cell)
+    return F.struct(clean_value(cell, body).alias("value"), clean_note(cell, body).alias("note"))
 
 
 @F.pandas_udf(T.StringType())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -34,19 +35,27 @@ class Normalized:
     summary: DataFrame
 
 
-def typed_cell(value: Column, delivered: Column, kind: str) -> Column:
-    """``struct(value, note)`` of a cleaned cell coerced to ``kind``."""
+def typed_value(value: Column, delivered: Column, kind: str) -> Column:
+    """A cleaned cell coerced to ``kind``; what does not parse is null. Periods come trimmed."""
     is_text = delivered == "str"
     if kind == "fy":
-        return periods.canonical_fy(value, is_text)
+        return periods.fy_value(value, is_text)
     if kind == "month":
-        return periods.canonical_month(value, is_text)
+        return periods.month_value(value, is_text)
     if kind == "string":
-        moved = F.concat(F.lit("R2-TYPE-01:"), delivered, F.lit("→str"))
-        return F.struct(value.alias("value"), F.when(value.isNotNull() & ~is_text, moved).alias("note"))
+        return value
     numeric = F.when(delivered != "bool", value)
-    parsed = numbers.to_whole(numeric) if kind == "int" else numbers.to_decimal(numeric)
-    return F.struct(parsed.alias("value"), numbers.typed_note(value, parsed, kind, delivered).alias("note"))
+    return numbers.to_whole(numeric) if kind == "int" else numbers.to_decimal(numeric)
+
+
+def typed_note(value: Column, typed: Column, delivered: Column, kind: str) -> Column:
+    """The lineage note of ``typed_value``."""
+    if kind in ("fy", "month"):
+        return periods.date_note(value, typed)
+    if kind == "string":
+        moved = F.concat(F.lit("R2-TYPE-01:"), delivered, F.lit("→str"))
+        return F.when(value.isNotNull() & (delivered != "str"), moved)
+    return numbers.typed_note(value, typed, kind, delivered)
 
 
 def delivered_columns(landed_rows: DataFrame, names: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
@@ -62,36 +71,55 @@ def normalize(delivered: DataFrame, config: NormalizeConfig, carry: tuple[str, .
         raise ValueError(f"unknown column types: {sorted(unknown)}")
     long = reshape(delivered, config.reshape, carry=carry)
     names = [c for c in long.columns if c not in {"row_index", *carry}]
-    cleaned = long.select(
-        "row_index",
-        *carry,
-        *[
-            F.struct(
-                text.clean_cell(F.col(n)["v"], F.col(n)["t"] == "str").alias("fmt"), F.col(n)["t"].alias("t")
-            ).alias(n)
-            for n in names
-        ],
+    kinds = {n: config.column_types.get(n, "string") for n in names}
+    keys = list(config.grain_keys)
+    keep = ["row_index", *carry]
+
+    def each(*builders: Callable[[str], Column]) -> list[Column]:
+        return [build(n) for n in names for build in builders]
+
+    # One small projection per step: cell and type, trimmed body, cleaned value and note. Each step
+    # reads the columns of the one before, so no expression is evaluated twice.
+    bodies = long.select(
+        *keep,
+        *each(
+            lambda n: F.col(f"`{n}`.v").alias(n),
+            lambda n: F.col(f"`{n}`.t").alias(f"{n}__t"),
+            lambda n: text.trimmed(F.col(f"`{n}`.v")).alias(f"{n}__body"),
+        ),
     )
-    keys = [f"_key_{k}" for k in config.grain_keys]
-    keyed = cleaned.select("*", *[F.col(f"{k}.fmt.value").alias(f"_key_{k}") for k in config.grain_keys])
-    kept = dedupe.survivors(keyed, keys, as_of)
-
-    made = reshape_notes(config.reshape)
-    typed = {n: typed_cell(F.col(f"{n}.fmt.value"), F.col(f"{n}.t"), config.column_types.get(n, "string")) for n in names}
-    notes = F.map_filter(
-        F.map_from_arrays(
-            F.array(*[F.lit(n) for n in names]),
-            F.array(*[
-                F.array_compact(F.array(F.lit(made.get(n)).cast("string"), F.col(f"{n}.fmt.note"), typed[n]["note"]))
-                for n in names
-            ]),
+    cleaned = bodies.select(
+        *keep,
+        *each(
+            lambda n: text.clean_value(F.col(f"`{n}`"), F.col(f"`{n}__body`"), F.col(f"`{n}__t`") == "str").alias(n),
+            lambda n: text.clean_note(F.col(f"`{n}`"), F.col(f"`{n}__body`"), F.col(f"`{n}__t`") == "str").alias(f"{n}__fmt"),
+            lambda n: F.col(f"`{n}__t`"),
+        ),
+    )
+    kept = dedupe.survivors(cleaned, keys, as_of)
+
+    ready = kept.select(
+        *keep,
+        *each(
+            lambda n: (text.trimmed(F.col(f"`{n}`")) if kinds[n] in ("fy", "month") else F.col(f"`{n}`")).alias(n),
+            lambda n: F.col(f"`{n}__fmt`"),
+            lambda n: F.col(f"`{n}__t`"),
         ),
-        lambda _, found: F.size(found) > 0,
     )
-    rows = kept.select("row_index", *carry, *[typed[n]["value"].alias(n) for n in names], notes.alias("notes"))
+    typed = ready.select("*", *each(lambda n: typed_value(F.col(f"`{n}`"), F.col(f"`{n}__t`"), kinds[n]).alias(f"{n}__typed")))
+    made = reshape_notes(config.reshape)
+
+    def notes_of(n: str) -> Column:
+        note = typed_note(F.col(f"`{n}`"), F.col(f"`{n}__typed`"), F.col(f"`{n}__t`"), kinds[n])
+        return F.array_compact(F.array(F.lit(made.get(n)).cast("string"), F.col(f"`{n}__fmt`"), note))
+
+    found = F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*each(notes_of)))
+    rows = typed.select(
+        *keep, *each(lambda n: F.col(f"`{n}__typed`").alias(n)), F.map_filter(found, lambda _, v: F.size(v) > 0).alias("notes")
+    )
     return Normalized(
         rows=rows,
-        quarantined=dedupe.without_key(keyed, keys).drop(*keys),
-        collapsed=dedupe.collapsed(keyed, kept, keys).select("row_index"),
+        quarantined=dedupe.without_key(cleaned, keys).select(*keep, *names, "reason"),
+        collapsed=dedupe.collapsed(cleaned, kept, keys).select("row_index"),
         summary=dedupe.summary(kept),
     )

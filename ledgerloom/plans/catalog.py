@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.plans import q_facts  # noqa: F401
+from ledgerloom.plans import q_clean, q_facts, q_rollup  # noqa: F401
 from ledgerloom.plans.registry import ORACLES, QUERIES, Query
 
 
