@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import unicodedata
+from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 BLANK_NOTE = "R2-FMT-01:blank→null"
 DASH_NOTE = "R2-FMT-01:dash→null"
@@ -15,6 +14,7 @@ NA_NOTE = "R2-FMT-01:NA→null"
 COMMA_NOTE = "R2-FMT-01:strip_commas"
 TRIM_NOTE = "R2-FMT-01:trim"
 
+_KEY_CHARACTERS = frozenset("abcdefghijklmnopqrstuvwxyz0123456789&")
 NUMERIC = r"\A[+-]?[0-9]+(?:\.[0-9]+)?\z"
 
 
@@ -51,22 +51,36 @@ def clean_cell(cell: Column) -> Column:
     return F.struct(clean_value(cell, body).alias("value"), clean_note(cell, body).alias("note"))
 
 
-@F.pandas_udf(T.StringType())
-def _compatibility_fold(names: pd.Series) -> pd.Series:
-    return names.map(lambda n: None if n is None else unicodedata.normalize("NFKD", n).lower())
+@lru_cache(maxsize=1)
+def _fold_table() -> str:
+    """What NFKD and lower case leave of each character beyond ASCII, where that is a key character.
+
+    Derived from the Unicode database, as lines of character and replacement: an accented letter
+    becomes the letter and a blank, a ligature its letters, a wide digit the digit.
+    """
+    lines = []
+    for point in range(0x80, 0x110000):
+        character = chr(point)
+        plain = unicodedata.normalize("NFKD", character).lower()
+        kept = "".join(c if c in _KEY_CHARACTERS else " " for c in plain)
+        if kept.strip():
+            lines.append(f"{character}\t{kept}")
+    return "\n".join(lines)
 
 
-def name_key(name: Column, fold_unicode: bool = True) -> Column:
-    """The match key of a place name: lower case, ``&`` as "and", other runs as one blank.
+def name_key(name: Column) -> Column:
+    """The match key of a place name: NFKD, lower case, ``&`` as "and", other runs as one blank.
 
-    Spark has no compatibility decomposition, so names with characters beyond ASCII take an
-    Arrow-batched detour when ``fold_unicode`` is set. Without it those characters become blanks,
-    which differs only for characters whose decomposition holds an ASCII letter or digit.
+    Spark has no compatibility decomposition. Names beyond ASCII are therefore mapped character by
+    character through a constant table; plain names skip that.
     """
-    lowered = F.lower(name)
-    if fold_unicode:
-        lowered = F.when(name.rlike(r"[^\x00-\x7F]"), _compatibility_fold(name)).otherwise(lowered)
-    spelled = F.replace(lowered, F.lit("&"), F.lit(" and "))
+    table = F.str_to_map(F.lit(_fold_table()), F.lit("\n"), F.lit("\t"))
+    characters = F.regexp_extract_all(name, F.lit("(?s)."), F.lit(0))
+    folded = F.transform(
+        characters, lambda c: F.when(c > F.lit("\x7f"), F.coalesce(F.try_element_at(table, c), c)).otherwise(c)
+    )
+    plain = F.when(name.rlike(r"[^\x00-\x7F]"), F.array_join(folded, "")).otherwise(name)
+    spelled = F.replace(F.lower(plain), F.lit("&"), F.lit(" and "))
     return F.trim(F.regexp_replace(spelled, "[^a-z0-9]+", " "))
 
 

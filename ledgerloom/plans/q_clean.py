@@ -101,14 +101,14 @@ NAMES = """names AS (SELECT p_partkey AS id, CASE p_partkey % 4 WHEN 0 THEN UPPE
 )
 def name_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(spark, sf_dir, f"WITH {NAMES} SELECT * FROM names").select(
-        "id", text.name_key(F.col("name"), fold_unicode=False).alias("name_key"),
+        "id", text.name_key(F.col("name")).alias("name_key"),
         text.canonical_scheme(F.col("scheme_label"), SCHEME_SPELLINGS, CANONICAL_SCHEME).alias("scheme"),
     )
 
 
 @query("name_keys_unicode")
 def name_keys_unicode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Match keys of accented text, whole documents; the fold runs in Arrow batches."""
+    """Match keys of accented text, over whole documents."""
     docs = run(spark, sf_dir, "SELECT doc_id, text FROM documents")
     key = text.name_key(F.col("text"))
     return docs.select("doc_id", F.sha2(key, 256).alias("key_digest"), F.length(key).alias("key_length"))

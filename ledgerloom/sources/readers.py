@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,13 +25,17 @@ def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
     ).withColumn("row_index", F.col("row_index").cast("bigint"))
 
 
-def read_delimited(spark: SparkSession, path: str) -> DataFrame:
+def read_delimited(spark: SparkSession, path: str, quoted_newlines: bool = False) -> DataFrame:
     """``(file, row_index, raw)`` of a CSV table, every cell a string, no as-of date.
 
     Header cells are trimmed, short rows leave their last columns out, extra cells are dropped.
-    ``row_index`` rises with the place in the file; it is unique over the whole read.
+    ``row_index`` rises with the place in the file; it is unique over the whole read. A file whose
+    quoted cells hold line breaks needs ``quoted_newlines`` and is then read by one task.
     """
-    table = spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE").csv(path)
+    table = (
+        spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
+        .option("escape", '"').option("multiLine", quoted_newlines).csv(path)
+    )
     names = [name.strip().lstrip("\ufeff") for name in table.columns]
     cells = F.struct(*[F.col(f"`{raw}`").alias(name) for raw, name in zip(table.columns, names)])
     place = F.monotonically_increasing_id()
@@ -90,15 +96,21 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def digests(spark: SparkSession, folder: str) -> DataFrame:
+    """``(name, digest)`` of every file below ``folder``, the name relative to it."""
+    base = folder.rstrip("/").rsplit("/", 1)[-1]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    return files.select(
+        F.regexp_replace("path", rf"\A.*?/{re.escape(base)}/", "").alias("name"), F.sha2("content", 256).alias("digest")
+    )
+
+
 def audit_files(spark: SparkSession, folder: str, manifest: str) -> DataFrame:
     """``(name, expected, actual, status)`` for every manifest entry: ok, missing or mismatch.
 
     ``binaryFile`` holds one file per row, so a file above 2 GB cannot be hashed this way.
     """
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-        .select(F.regexp_extract("path", r"([^/]+)\z", 1).alias("name"), F.sha2("content", 256).alias("actual"))
-    )
+    files = digests(spark, folder).withColumnRenamed("digest", "actual")
     joined = read_manifest(spark, manifest).join(files, "name", "left")
     status = F.when(F.col("actual").isNull(), "missing").when(F.col("actual") != F.col("expected"), "mismatch").otherwise("ok")
     return joined.withColumn("status", status)

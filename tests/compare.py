@@ -59,8 +59,9 @@ def compare(spark, sf_dir: str, name: str, fn, sql: str | None) -> str | None:
         return "the oracle has no rows"
     if a == b:
         return None
-    only_a = [r for r in a if r not in set(b)][:3]
-    only_b = [r for r in b if r not in set(a)][:3]
+    set_a, set_b = set(a), set(b)
+    only_a = [r for r in a if r not in set_b][:3]
+    only_b = [r for r in b if r not in set_a][:3]
     return f"{len(a)} rows != {len(b)} rows on {sorted(columns)}\n   spark: {only_a}\n   oracle: {only_b}"
 
 
