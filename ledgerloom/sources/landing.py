@@ -33,7 +33,7 @@ def _delivered_type(variant_type: Column) -> Column:
         .when(variant_type.isin("BIGINT", "INT", "SMALLINT", "TINYINT"), "int")
         .when(variant_type == "VOID", "null")
         .when(variant_type.startswith("OBJECT") | variant_type.startswith("ARRAY"), "nested")
-        .when(variant_type.rlike(r"^DECIMAL\([0-9]+,0\)$"), "int")
+        .when(variant_type.endswith(",0)"), "int")
         .otherwise("float")
     )
 
@@ -41,29 +41,21 @@ def _delivered_type(variant_type: Column) -> Column:
 def classify_rows(rows: DataFrame, total: TotalRow | None = None) -> DataFrame:
     """``rows(row_index, raw, …)`` plus ``cells`` and ``reason`` (null where the row lands).
 
-    The tests apply in this order: no mapping, empty mapping, synthetic total, nested cell.
+    The tests apply in this order: no mapping, empty mapping, synthetic total, nested cell. The row
+    is parsed inside a generator, so a later filter on ``reason`` cannot move below it and parse
+    every row a second time.
     """
-    keys = F.expr("json_object_keys(raw)")
-    typed = F.expr("from_json(raw, 'map<string,variant>')")
-    text = F.expr("from_json(raw, 'map<string,string>')")
-    df = rows.withColumn("_keys", keys).withColumn("_types", typed).withColumn("_text", text)
-    df = df.withColumn(
-        "cells",
-        F.map_zip_with(
-            "_text",
-            F.transform_values("_types", lambda _, v: F.schema_of_variant(v)),
-            lambda _, v, t: F.struct(
-                v.alias("v"), F.when(t.isNull(), F.lit("null")).otherwise(_delivered_type(t)).alias("t")
-            ),
-        ),
+    cells = F.transform_values(
+        F.expr("from_json(raw, 'map<string,variant>')"),
+        lambda _, v: F.struct(v.cast("string").alias("v"), _delivered_type(F.schema_of_variant(v)).alias("t")),
     )
+    df = rows.select("*", F.inline(F.array(F.struct(cells.alias("cells")))))
     nested = F.exists(F.map_values("cells"), lambda c: c["t"] == "nested")
-    reason = F.when(F.col("_keys").isNull(), MALFORMED).when(F.size("_keys") == 0, EMPTY)
+    reason = F.when(F.col("cells").isNull(), MALFORMED).when(F.size("cells") == 0, EMPTY)
     if total is not None:
         cell = F.try_element_at("cells", F.lit(total.column))
         reason = reason.when((cell["t"] == "str") & (cell["v"] == total.label), SYNTHETIC_TOTAL)
-    reason = reason.when(nested, MALFORMED)
-    return df.withColumn("reason", reason).drop("_keys", "_types", "_text")
+    return df.withColumn("reason", reason.when(nested, MALFORMED))
 
 
 def landed(classified: DataFrame) -> DataFrame:
