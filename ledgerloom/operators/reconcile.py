@@ -5,8 +5,8 @@
 partition by the same key columns, so the cascade costs one exchange.
 
 Windows hold the readings of a key in one task, which is right for facts with a handful of
-publishers. Keys with more than ``wide_from`` readings are decided by ``wide.flag_wide_readings``,
-which only aggregates and joins.
+publishers. ``wide.flag_any`` counts the readings of each key first and sends keys with very many of
+them through aggregates and joins instead.
 """
 
 from __future__ import annotations

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import presets
-from ledgerloom.operators import extract, lineage, normalize, reconcile, resolve, rollup, series
+from ledgerloom.operators import extract, lineage, normalize, resolve, rollup, series, wide
 from ledgerloom.session import cut_lineage
 from ledgerloom.sources import landing, readers, sinks
 
@@ -133,7 +133,7 @@ class Built:
 
 def reconcile_all(observations: DataFrame, policy: presets.CorpusPolicy = presets.EMPLOYMENT_POLICY, blake_ids: bool = True) -> Built:
     """Observations of every grain to labelled facts; the marked readings are kept for the lineage."""
-    flagged = cut_lineage(reconcile.flag_any(observations, policy), "readings")
+    flagged = cut_lineage(wide.flag_any(observations, policy), "readings")
     return Built(cut_lineage(series.assemble(flagged, policy, blake_ids), "facts"), flagged)
 
 

@@ -87,9 +87,9 @@ OBS_POLICY = CorpusPolicy(
 )
 
 
-def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def observations(spark: SparkSession, sf_dir: str, statement: str = f"WITH {OBS} SELECT * FROM obs") -> DataFrame:
     """``obs`` in the observations schema: nation as state, supplier as district."""
-    raw = run(spark, sf_dir, f"WITH {OBS} SELECT * FROM obs")
+    raw = run(spark, sf_dir, statement)
     gap = F.col("cov") == "structural_gap"
     coverage = F.when(
         F.col("cov").isNotNull(),
