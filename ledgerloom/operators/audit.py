@@ -80,27 +80,28 @@ def unbacked_quotations(docs: DataFrame, served: DataFrame) -> DataFrame:
     of a quotation and a text is formed before it is known to match.
     """
     quotes = quotations(docs)
-    distinct = quotes.select("section_id", "quote").distinct()
+    size = F.length("quote")
+    piece = F.when(size >= PIECES[0], PIECES[0]).when(size >= PIECES[1], PIECES[1]).otherwise(PIECES[2])
+    starts = (
+        quotes.filter(size > 0)
+        .select("section_id", F.xxhash64(piece, F.substring(F.col("quote"), F.lit(1), piece)).alias("_piece"), size.alias("_length"))
+        .distinct()
+    )
     texts = served.select("section_id", "text").distinct().withColumn(
         "_id", F.sha2(F.concat_ws("\u0000", "section_id", "text"), 256)
     )
-    backed = None
-    size = F.length("quote")
-    upper = None
-    for piece in PIECES:
-        here = distinct.filter((size >= piece) & ((size < upper) if upper else F.lit(True)))
-        upper = piece
-        starts = here.select("section_id", F.xxhash64(F.substring("quote", 1, piece)).alias("_piece"), size.alias("_length")).distinct()
+
+    def pieces(length: int) -> Column:
         # Every position of the text with the piece that starts there, in one pass of the matcher.
-        pieces = F.regexp_extract_all("text", F.lit(rf"(?s)(?=(.{{{piece}}}))"), F.lit(1))
-        positions = texts.select(
-            "section_id", "_id", F.posexplode(F.transform(pieces, lambda p: F.xxhash64(p))).alias("_at", "_piece")
-        ).join(starts.select("section_id", "_piece").distinct(), ["section_id", "_piece"], "left_semi")
-        lengths = positions.join(starts, ["section_id", "_piece"]).select("_id", "_at", "_length")
-        cuts = lengths.join(texts, "_id").select(
-            "section_id", F.substring("text", F.col("_at") + 1, F.col("_length")).alias("quote")
-        ).distinct()
-        backed = cuts if backed is None else backed.unionByName(cuts)
+        found = F.regexp_extract_all("text", F.lit(rf"(?s)(?=(.{{{length}}}))"), F.lit(1))
+        return F.transform(found, lambda p, at: F.struct(at.alias("_at"), F.xxhash64(F.lit(length), p).alias("_piece")))
+
+    positions = texts.select("section_id", "_id", F.inline(F.concat(*[pieces(n) for n in PIECES])))
+    kept = positions.join(starts.select("section_id", "_piece").distinct(), ["section_id", "_piece"], "left_semi")
+    lengths = kept.join(starts, ["section_id", "_piece"]).select("_id", "_at", "_length")
+    backed = lengths.join(texts, "_id").select(
+        "section_id", F.substring(F.col("text"), F.col("_at") + 1, F.col("_length")).alias("quote")
+    ).distinct()
     # An empty quotation is in every text of its section.
     blank = texts.select("section_id", F.lit("").alias("quote")).distinct()
     return quotes.join(backed.unionByName(blank), ["section_id", "quote"], "left_anti")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.numbers import MONEY, significant_three
+from ledgerloom.session import cut_lineage
 
 # The operations and, for the rescaling ones, the power of ten of the divisor.
 BINARY = ("difference", "ratio", "ratio_2dp")
@@ -98,6 +99,8 @@ def evaluate(nodes: DataFrame, derivations: DataFrame, levels: int) -> DataFrame
         )
         values = known.select(F.col("id").alias("_input"), "value")
         done = _compute(inputs.join(values, "_input", "left")).withColumn("level", F.lit(level))
+        if level < levels:
+            done = cut_lineage(done, "level")  # read by the result and by every level above
         out = done if out is None else out.unionByName(done)
         known = known.unionByName(done.filter(F.col("problem").isNull()).select("id", "value"))
     return out.select("id", "level", "operation", "value", "problem")

@@ -36,19 +36,15 @@ RECORD = (
 )
 
 
-def source_rows(flagged: DataFrame, facts: DataFrame) -> DataFrame:
-    """``(fact_id, seq, source…, flags)``: the readings behind facts, one row each.
+def source_rows(flagged: DataFrame, blake_ids: bool = False) -> DataFrame:
+    """``(fact_id, seq, source…, flags)``: the readings behind facts, one row each, without a join.
 
-    Readings of a key that produced no fact are left out, as there is no record to hang them on.
+    Readings of a key that comes to no fact are left out, as there is no record to hang them on.
     """
-    ids = facts.select("fact_id", *[F.col(k).alias(f"_{k}") for k in KEY])
-    match = F.lit(True)
-    for k in KEY:
-        match = match & flagged[k].eqNullSafe(F.col(f"_{k}"))
-    return flagged.join(ids, match).select(
-        "fact_id", "seq", "source_id", "resource_id", "value", "original_unit", "source_as_of", "authority_rank",
-        "rounding_epsilon", "edition_span_end", "is_edition_terminal", "coverage", "definition_discrepancy",
-        "absent", "partial", "superseded", "scale_error", "rejected",
+    return flagged.filter("has_fact").select(
+        fact_id(blake_ids).alias("fact_id"), "seq", "source_id", "resource_id", "value", "original_unit", "source_as_of",
+        "authority_rank", "rounding_epsilon", "edition_span_end", "is_edition_terminal", "coverage",
+        "definition_discrepancy", "absent", "partial", "superseded", "scale_error", "rejected", "readings",
     )
 
 
@@ -82,15 +78,14 @@ def source_struct() -> Column:
     )
 
 
-def nested_sources(sources: DataFrame, counts: DataFrame, part_size: int = 1000) -> DataFrame:
+def nested_sources(sources: DataFrame, part_size: int = 1000) -> DataFrame:
     """``(fact_id, part, parts, sources_seen, …buckets, rejected_sources)`` in arrival order.
 
-    ``counts`` gives ``sources_seen_count`` per fact. Readings spread over
-    ``ceil(count / part_size)`` parts by a hash of their ordinal, so no array grows with a hot fact.
+    Readings spread over ``ceil(readings / part_size)`` parts by a hash of their ordinal, so no
+    array grows with a hot fact.
     """
-    sized = sources.join(counts.select("fact_id", "sources_seen_count"), "fact_id")
-    parts = F.ceil(F.col("sources_seen_count") / part_size).cast("int")
-    placed = sized.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("seq"), F.col("parts")).cast("int"))
+    parts = F.ceil(F.col("readings") / part_size).cast("int")
+    placed = sources.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("seq"), F.col("parts")).cast("int"))
     entry = F.struct("seq", source_struct().alias("s"), *BUCKETS.values(), "rejected")
     grouped = placed.groupBy("fact_id", "part", "parts").agg(F.array_sort(F.collect_list(entry)).alias("_all"))
 
@@ -159,19 +154,8 @@ def rejected_values(sources: DataFrame) -> DataFrame:
     return sources.join(refused, ["fact_id", "source_id"], "left_semi").select("fact_id", "seq", "source_id", "resource_id", "value")
 
 
-def materiality(sources: DataFrame, facts: DataFrame) -> DataFrame:
+def materiality(facts: DataFrame) -> DataFrame:
     """Per disputed fact: the spread over all readings seen, null with fewer than two."""
-    spread = sources.groupBy("fact_id").agg(
-        F.count("value").alias("_n"), (F.max("value") - F.min("value")).alias("_spread")
+    return facts.filter("disputed").select(
+        "fact_id", F.col("seen_spread").alias("absolute"), "unit", F.col("disagreement_pct").alias("relative_pct"), "material"
     )
-    return (
-        facts.filter("disputed").join(spread, "fact_id")
-        .select(
-            "fact_id", F.when(F.col("_n") >= 2, F.col("_spread")).alias("absolute"), "unit",
-            F.col("disagreement_pct").alias("relative_pct"), "material",
-        )
-    )
-
-
-def add_fact_id(df: DataFrame, blake: bool = False) -> DataFrame:
-    return df.withColumn("fact_id", fact_id(blake))

@@ -66,7 +66,10 @@ REJECTED = f"coalesce(live AND seq <> winner.seq AND NOT {pair_agrees('winner.',
 
 
 def flag_readings(observations: DataFrame, policy: CorpusPolicy) -> DataFrame:
-    """``observations`` plus absent, partial, superseded, scale_error, live, winner and rejected."""
+    """``observations`` plus absent, partial, superseded, active, scale_error, live, winner, rejected.
+
+    ``has_fact`` tells whether the key comes to a fact, ``readings`` how many readings it has.
+    """
     key = f"OVER (PARTITION BY {', '.join(KEY)})"
     nonzero = "CASE WHEN active AND value <> 0 THEN abs(value) END"
     active_source = "CASE WHEN active THEN source_id END"
@@ -89,7 +92,7 @@ def flag_readings(observations: DataFrame, policy: CorpusPolicy) -> DataFrame:
         [f"{SCALE_ERROR} AS scale_error"],
         ["active AND NOT scale_error AS live"],
         [f"min_by({WINNER}, CASE WHEN live THEN {PRIORITY} END) {key} AS winner"],
-        [f"{REJECTED} AS rejected"],
+        [f"{REJECTED} AS rejected", f"max(live OR partial) {key} AS has_fact", f"count(1) {key} AS readings"],
     ]
     df = observations
     for layer in layers:
@@ -110,6 +113,7 @@ def decide(flagged: DataFrame, policy: CorpusPolicy) -> DataFrame:
     aggregates = [
         "any_value(winner, true) AS winner",
         "count(1) AS sources_seen_count",
+        "CASE WHEN count(value) >= 2 THEN max(value) - min(value) END AS seen_spread",
         "count_if(live) AS _live",
         "count_if(rejected) AS rejected_count",
         "count_if(absent) AS absent_count",
@@ -164,7 +168,7 @@ def decide(flagged: DataFrame, policy: CorpusPolicy) -> DataFrame:
         "sources_seen_count", "surviving_count", "rejected_count", "absent_count", "partial_count",
         "superseded_count", "scale_count",
         "coalesce(_first_surviving <> _last_surviving, false) AS cross_publisher",
-        "has_primary", "contributing_resource_ids",
+        "has_primary", "contributing_resource_ids", "seen_spread",
     )
 
 

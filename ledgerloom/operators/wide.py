@@ -76,9 +76,13 @@ def flag_wide_readings(observations: DataFrame, policy: CorpusPolicy) -> DataFra
     rows = _attach(rows, anchors).selectExpr("*", f"{reconcile.SCALE_ERROR} AS scale_error")
     rows = cut_lineage(rows.selectExpr("*", "active AND NOT scale_error AS live").drop("_anchor"), "wide")
 
-    winners = rows.groupBy("_key").agg(F.expr(f"min_by({WINNER}, CASE WHEN live THEN {PRIORITY} END)").alias("winner"))
+    winners = rows.groupBy("_key").agg(
+        F.expr(f"min_by({WINNER}, CASE WHEN live THEN {PRIORITY} END)").alias("winner"),
+        F.expr("max(live OR partial)").alias("has_fact"), F.count(F.lit(1)).alias("readings"),
+    )
     out = _attach(rows, winners).selectExpr("*", f"{reconcile.REJECTED} AS rejected")
-    return out.select(*columns, "absent", "partial", "superseded", "active", "scale_error", "live", "winner", "rejected")
+    return out.select(*columns, "absent", "partial", "superseded", "active", "scale_error", "live", "winner", "rejected",
+                      "has_fact", "readings")
 
 
 RATIO_BUCKET = "CAST(floor(ln(abs(CAST({0} AS double))) / ln(1.005D)) AS bigint) * 2 + CASE WHEN {0} < 0 THEN 1 ELSE 0 END"

@@ -129,12 +129,13 @@ def primary_observations(primary: DataFrame, districts: DataFrame, source_rank:
 class Built:
     facts: DataFrame
     flagged: DataFrame
+    blake_ids: bool
 
 
 def reconcile_all(observations: DataFrame, policy: presets.CorpusPolicy = presets.EMPLOYMENT_POLICY, blake_ids: bool = True) -> Built:
     """Observations of every grain to labelled facts; the marked readings are kept for the lineage."""
     flagged = cut_lineage(wide.flag_any(observations, policy), "readings")
-    return Built(cut_lineage(series.assemble(flagged, policy, blake_ids), "facts"), flagged)
+    return Built(cut_lineage(series.assemble(flagged, policy, blake_ids), "facts"), flagged, blake_ids)
 
 
 def write_tables(
@@ -167,5 +168,5 @@ def export(built: Built, authority: Authority, folder: str) -> DataFrame:
             ["state_lgd_code", "district_lgd_code", "financial_year", "metric"],
         ),
     }
-    rows = lineage.source_rows(built.flagged, facts)
-    return write_tables(folder, tables, lineage.records(facts, lineage.nested_sources(rows, facts)))
+    rows = lineage.source_rows(built.flagged, built.blake_ids)
+    return write_tables(folder, tables, lineage.records(facts, lineage.nested_sources(rows)))

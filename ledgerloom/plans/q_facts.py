@@ -9,6 +9,7 @@ from ledgerloom.functions.ids import key_text
 from ledgerloom.operators import lineage, reconcile, series, wide
 from ledgerloom.plans.inputs import OBS, OBS_POLICY, fyl, observations, run
 from ledgerloom.plans.registry import query
+from ledgerloom.session import cut_lineage
 
 
 def _agree(w: str, o: str) -> str:
@@ -191,9 +192,9 @@ def fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    marked = flagged(spark, sf_dir)
-    decided = series.assemble(marked, OBS_POLICY)
-    return lineage.source_rows(marked, decided), decided
+    """Readings and facts of one cascade: the marked readings are written once and read for both."""
+    marked = cut_lineage(flagged(spark, sf_dir), "readings")
+    return lineage.source_rows(marked), series.assemble(marked, OBS_POLICY)
 
 
 @query(
@@ -204,8 +205,7 @@ def sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     FROM facts f JOIN spread p ON {_same('f', 'p')} WHERE n_rej > 0""",
 )
 def materiality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, decided = sources(spark, sf_dir)
-    return lineage.materiality(rows, decided).select(
+    return lineage.materiality(facts(spark, sf_dir)).select(
         "fact_id", F.col("absolute").cast("bigint").alias("absolute"), "material", F.round("relative_pct", 6).alias("relative_pct")
     )
 
@@ -217,8 +217,7 @@ def materiality(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE EXISTS (SELECT 1 FROM r7 x WHERE {_same('x', 'r')} AND x.source_id = r.source_id AND x.rejected)""",
 )
 def rejected_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, _ = sources(spark, sf_dir)
-    return lineage.rejected_values(rows).select("fact_id", "seq", "source_id", _whole("value"))
+    return lineage.rejected_values(lineage.source_rows(flagged(spark, sf_dir))).select("fact_id", "seq", "source_id", _whole("value"))
 
 
 @query(
@@ -245,7 +244,7 @@ def null_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lineage_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records as published, through JSON text and back."""
     rows, decided = sources(spark, sf_dir)
-    published = lineage.records(decided, lineage.nested_sources(rows, decided))
+    published = lineage.records(decided, lineage.nested_sources(rows))
     lines = published.select("fact_id", F.to_json(F.struct(*published.columns), {"ignoreNullFields": "false"}).alias("record"))
     parsed = lineage.parse_records(lines)
     listed = F.transform("sources_seen", lambda s: F.concat(s["source_id"], F.lit("="), s["value"]))

@@ -153,10 +153,9 @@ def test_cascade_costs_one_exchange(spark, tmp_path):
 
 
 def test_lineage_in_parts_loses_no_reading(spark, flagged):
-    facts = series.assemble(flagged, EMPLOYMENT_POLICY)
-    rows = lineage.source_rows(flagged, facts)
-    whole = lineage.nested_sources(rows, facts)
-    parts = lineage.nested_sources(rows, facts, part_size=1)
+    rows = lineage.source_rows(flagged)
+    whole = lineage.nested_sources(rows)
+    parts = lineage.nested_sources(rows, part_size=1)
     assert whole.filter("parts > 1").count() == 0
     total = "sum(size(sources_seen)) AS n, sum(size(coverage_absent)) AS a, sum(size(rejected_sources)) AS r"
     assert whole.selectExpr(*total.split(", ")).first() == parts.selectExpr(*total.split(", ")).first()
