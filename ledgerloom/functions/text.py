@@ -59,7 +59,7 @@ def _fold_table() -> str:
     becomes the letter and a blank, a ligature its letters, a wide digit the digit.
     """
     lines = []
-    for point in range(0x80, 0x110000):
+    for point in range(0x80, 0x20000):  # no character above decomposes to one of these
         character = chr(point)
         plain = unicodedata.normalize("NFKD", character).lower()
         kept = "".join(c if c in _KEY_CHARACTERS else " " for c in plain)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import grouped_number, plain_number, trimmed
+from ledgerloom.session import cut_lineage
 
 # A financial-year label, a number as prose prints it, a quotation of 40 and more.
 WORD = r"\p{L}\p{N}_"
@@ -17,8 +18,8 @@ PERIOD = rf"(?<![{WORD}])[0-9]{{4}}-[0-9]{{2}}(?![{WORD}])"
 NUMBER = rf"(?<![{WORD}.])[0-9](?:[0-9,]*[0-9])?(?:\.[0-9]+)?"
 QUOTATION = r"[“\"]([^“”\"]{40,})[”\"]"
 
-# Lengths of the text pieces that quotations are looked up by, longest first.
-PIECES = (64, 16, 1)
+# Length of the text pieces that quotations are looked up by.
+PIECE = 16
 
 
 def number_tokens(text: Column) -> Column:
@@ -70,38 +71,38 @@ def quotations(docs: DataFrame) -> DataFrame:
     )
 
 
+def _cuts(quotes: DataFrame, texts: DataFrame, piece: int) -> DataFrame:
+    """``(section_id, quote)``: stretches of the texts that begin and are as long as some quotation."""
+    starts = quotes.select(
+        "section_id", F.xxhash64(F.substring("quote", 1, piece)).alias("_piece"), F.length("quote").alias("_length")
+    ).distinct()
+    # Every position of the text with the piece that starts there, in one pass of the matcher.
+    found = F.regexp_extract_all("text", F.lit(rf"(?s)(?=(.{{{piece}}}))"), F.lit(1))
+    positions = texts.select("section_id", "_id", F.posexplode(F.transform(found, lambda p: F.xxhash64(p))).alias("_at", "_piece"))
+    kept = positions.join(starts.select("section_id", "_piece").distinct(), ["section_id", "_piece"], "left_semi")
+    lengths = kept.join(starts, ["section_id", "_piece"]).select("_id", "_at", "_length")
+    cut = F.substring(F.col("text"), F.col("_at") + 1, F.col("_length"))
+    return lengths.join(texts, "_id").select("section_id", cut.alias("quote")).distinct()
+
+
 def unbacked_quotations(docs: DataFrame, served: DataFrame) -> DataFrame:
     """Quotations that are no substring of any text ``served(section_id, text)`` of their section.
 
-    A substring search as equality joins. Each distinct quotation is looked up by its first piece
-    (64, 16 or 1 characters, by its length); the served positions where such a piece starts are kept
-    by a semi join, which never multiplies them. At a kept position the served text is cut to the
-    lengths of the quotations that start with this piece, and the cuts are compared whole. No pair
-    of a quotation and a text is formed before it is known to match.
+    A substring search as equality joins. Each distinct quotation is looked up by its first 16
+    characters (by its first one if it is shorter); the served positions where such a piece starts
+    are kept by a semi join, which never multiplies them. At a kept position the served text is cut
+    to the lengths of the quotations that start with this piece, and the cuts are compared whole. No
+    pair of a quotation and a text is formed before it is known to match.
     """
-    quotes = quotations(docs)
-    size = F.length("quote")
-    piece = F.when(size >= PIECES[0], PIECES[0]).when(size >= PIECES[1], PIECES[1]).otherwise(PIECES[2])
-    starts = (
-        quotes.filter(size > 0)
-        .select("section_id", F.xxhash64(piece, F.substring(F.col("quote"), F.lit(1), piece)).alias("_piece"), size.alias("_length"))
-        .distinct()
-    )
+    quotes = cut_lineage(quotations(docs), "quotes")
     texts = served.select("section_id", "text").distinct().withColumn(
         "_id", F.sha2(F.concat_ws("\u0000", "section_id", "text"), 256)
     )
-
-    def pieces(length: int) -> Column:
-        # Every position of the text with the piece that starts there, in one pass of the matcher.
-        found = F.regexp_extract_all("text", F.lit(rf"(?s)(?=(.{{{length}}}))"), F.lit(1))
-        return F.transform(found, lambda p, at: F.struct(at.alias("_at"), F.xxhash64(F.lit(length), p).alias("_piece")))
-
-    positions = texts.select("section_id", "_id", F.inline(F.concat(*[pieces(n) for n in PIECES])))
-    kept = positions.join(starts.select("section_id", "_piece").distinct(), ["section_id", "_piece"], "left_semi")
-    lengths = kept.join(starts, ["section_id", "_piece"]).select("_id", "_at", "_length")
-    backed = lengths.join(texts, "_id").select(
-        "section_id", F.substring(F.col("text"), F.col("_at") + 1, F.col("_length")).alias("quote")
-    ).distinct()
+    size = F.length("quote")
+    backed = _cuts(quotes.filter(size >= PIECE), texts, PIECE)
+    short = quotes.filter((size > 0) & (size < PIECE))
+    if not short.isEmpty():  # a quotation of mostly blanks
+        backed = backed.unionByName(_cuts(short, texts, 1))
     # An empty quotation is in every text of its section.
     blank = texts.select("section_id", F.lit("").alias("quote")).distinct()
     return quotes.join(backed.unionByName(blank), ["section_id", "quote"], "left_anti")
