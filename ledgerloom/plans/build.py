@@ -98,7 +98,7 @@ def wire(spark: SparkSession, resources: list[Resource], authority: Authority) -
 def primary_observations(primary: DataFrame, districts: DataFrame, source_rank: int = 0) -> tuple[DataFrame, DataFrame]:
     """State and district observations of the primary (cumulative, district-month) table."""
     columns = list(presets.PRIMARY_CUMULATIVE_COLUMNS.values())
-    rows = resolve.resolved(primary)
+    rows = cut_lineage(resolve.resolved(primary), "primary")
     finals = cut_lineage(rollup.unit_finals(rows, [*columns, presets.PRIMARY_TOTAL_COLUMN]), "finals")
     counts = rollup.authority_counts(districts)
     stamp = rows.groupBy("scheme", "source_id", "resource_id").agg(F.max("source_as_of").alias("source_as_of"))
