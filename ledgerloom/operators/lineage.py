@@ -48,7 +48,9 @@ def source_rows(flagged: DataFrame, blake_ids: bool = False) -> DataFrame:
     )
 
 
-def _iso(moment: Column) -> Column:
+def _iso(instant: Column) -> Column:
+    """ISO 8601 in UTC, whatever the session's time zone."""
+    moment = F.convert_timezone(F.current_timezone(), F.lit("UTC"), instant.cast("timestamp_ntz"))
     fraction = F.when(F.date_format(moment, "SSSSSS") != "000000", F.date_format(moment, ".SSSSSS")).otherwise("")
     return F.concat(F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss"), fraction, F.lit("+00:00"))
 
