@@ -61,17 +61,19 @@ def records_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     COUNT(*) AS records, COUNT(DISTINCT c_custkey) AS distinct_customers, CAST(SUM(c_custkey) AS BIGINT) AS key_sum FROM customer GROUP BY 1, 2""",
 )
 def envelope_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One envelope file per nation; without an index name the file's own name identifies it."""
+    """Envelopes of at most 1,000 records; without an index name the file's own name identifies one."""
     path = scratch_path(spark, "envelopes")
     customers = run(spark, sf_dir, "SELECT c_nationkey, c_custkey, c_name FROM customer")
-    # An envelope is one document by its format, so its records meet in one task here.
-    docs = customers.groupBy("c_nationkey").agg(F.collect_list(F.struct(F.col("c_custkey").cast("string").alias("key"), F.col("c_name").alias("name"))).alias("records"))
+    chunk = F.floor(F.col("c_custkey") / 1000).alias("chunk")
+    docs = customers.groupBy("c_nationkey", chunk).agg(
+        F.collect_list(F.struct(F.col("c_custkey").cast("string").alias("key"), F.col("c_name").alias("name"))).alias("records")
+    )
     body = F.to_json(F.struct(
         F.when(F.col("c_nationkey") % 2 == 0, F.concat(F.lit("nation-"), "c_nationkey")).alias("index_name"),
         F.when(F.col("c_nationkey") % 3 == 0, F.lit("2025-03-07T10:00:00Z")).alias("updated_date"),
         "records",
     ))
-    docs.select(body.alias("value"), F.col("c_nationkey").alias("part")).write.partitionBy("part").text(path)
+    docs.select(body.alias("value"), F.col("c_nationkey").alias("part")).write.option("maxRecordsPerFile", 1).partitionBy("part").text(path)
     rows = landing.landed(landing.classify_rows(readers.read_envelopes(spark, f"{path}/part=*/*.txt")))
     named = F.when(F.col("resource_id").startswith("nation-"), F.col("resource_id")).otherwise("file")
     key = landing.cell_value("key")
@@ -83,21 +85,23 @@ def envelope_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("authority_load", f"WITH {AUTHORITY} SELECT state_code, code FROM authority")
 def authority_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "authority")
-    units = run(spark, sf_dir, f"WITH {AUTHORITY} SELECT state_code, code FROM authority").repartition(4, "state_code")
-    # One envelope per partition of the list.
-    records = units.groupBy(F.spark_partition_id().alias("_p")).agg(F.collect_list(F.struct("state_code", "code")).alias("records"))
-    records.select(F.to_json(F.struct("records")).alias("value"), "_p").write.partitionBy("_p").text(path)
-    return readers.read_authority(spark, f"{path}/_p=*/*.txt", ("state_code", "code")).select("state_code", "code")
+    units = run(spark, sf_dir, f"WITH {AUTHORITY} SELECT state_code, code FROM authority")
+    # Envelopes of at most 1,000 records each, one per file.
+    chunk = F.floor(F.monotonically_increasing_id() / 1000)
+    records = units.withColumn("_c", chunk).groupBy("_c").agg(F.collect_list(F.struct("state_code", "code")).alias("records"))
+    records.select(F.to_json(F.struct("records")).alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+    return readers.read_authority(spark, f"{path}/*.txt", ("state_code", "code")).select("state_code", "code")
 
 
 @query(
     "manifest_audit",
-    "SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'mismatch' ELSE 'ok' END AS status, COUNT(DISTINCT o_orderpriority) AS files FROM orders GROUP BY 1 UNION ALL SELECT 'missing', 1",
+    """SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'mismatch' ELSE 'ok' END AS status,
+    COUNT(DISTINCT o_orderpriority || CAST(CAST(FLOOR(o_orderkey / 10000) AS BIGINT) AS STRING)) AS files FROM orders GROUP BY 1 UNION ALL SELECT 'missing', 1""",
 )
 def manifest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files written per order priority against a manifest with one wrong digest and one absent file."""
+    """Files of at most 10,000 orders against a manifest with wrong digests and one absent file."""
     path, listing = scratch_path(spark, "files"), scratch_path(spark, "manifest")
-    rows = run(spark, sf_dir, "SELECT o_orderpriority AS part, CAST(o_orderkey AS STRING) AS value FROM orders")
+    rows = run(spark, sf_dir, "SELECT o_orderpriority || '-' || CAST(CAST(FLOOR(o_orderkey / 10000) AS BIGINT) AS STRING) AS part, CAST(o_orderkey AS STRING) AS value FROM orders")
     rows.repartition("part").write.partitionBy("part").text(path)
     files = readers.digests(spark, path)
     wrong = F.when(F.col("name").contains("1-URGENT"), F.lit("0" * 64)).otherwise(F.col("digest"))
