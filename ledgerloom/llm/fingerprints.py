@@ -3,7 +3,7 @@
 Each sample of a text is one of its terms with a level of its weight, drawn so that two texts draw
 the same one with the probability of their generalised Jaccard similarity (sum of the smaller over
 sum of the larger weights). For sample j and term k, r and c are Gamma(2, 1) and beta is uniform, all
-three derived from hashes of (k, j). With S the weight of the term,
+three derived from a hash of (k, j). With S the weight of the term,
 
     t = floor(ln S / r + beta),   ln a = ln c - r (t - beta + 1),
 
@@ -22,54 +22,69 @@ each other and are each other's next. Other columns are dropped.
 
 from __future__ import annotations
 
+import functools
+import math
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.quality import let, words
+from ledgerloom.llm.quality import BLANK
 from ledgerloom.session import cut_lineage
 
-SAMPLES = 32
+SAMPLES = 16
+QUANTILES = 2048
 #: Consecutive doc_ids that are dealt together, and groups that are ordered together.
 GROUP, SUPER = 64, 1024
 
 
-def weighted_terms(text: Column) -> Column:
-    """The distinct words of a text as (hash, logarithm of the number of times), from one sort."""
+def weighted_terms(texts: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    """``keys``, ``term`` (a hash of a word) and ``log_weight``, the logarithm of how often it occurs."""
+    flat = texts.select(*keys, F.explode(F.split(text, BLANK)).alias("_word")).filter("_word <> ''")
+    counted = flat.groupBy(*keys, F.xxhash64("_word").alias("term")).agg(F.count("*").alias("_n"))
+    return counted.select(*keys, "term", F.ln(F.col("_n").cast("double")).alias("log_weight"))
+
 
-    def runs(h: Column) -> Column:
-        starts = F.filter(F.sequence(F.lit(0), F.size(h) - 1), lambda i: (i == 0) | (F.get(h, i) != F.get(h, i - 1)))
-        return let(starts, lambda s: F.transform(s, lambda i, n: F.struct(
-            F.get(h, i).alias("term"), F.ln((F.coalesce(F.get(s, n + 1), F.size(h)) - i).cast("double")).alias("log_weight"))))
+@functools.lru_cache(maxsize=1)
+def gamma_quantiles() -> list[float]:
+    """The middle quantiles of Gamma(2, 1), whose distribution is 1 - (1 + x) exp(-x)."""
+    p = (np.arange(QUANTILES) + 0.5) / QUANTILES
+    low, high = np.zeros(QUANTILES), np.full(QUANTILES, 64.0)
+    for _ in range(64):
+        x = (low + high) / 2
+        below = 1 - (1 + x) * np.exp(-x) < p
+        low, high = np.where(below, x, low), np.where(below, high, x)
+    return ((low + high) / 2).tolist()
 
-    empty = F.array().cast("array<struct<term:bigint,log_weight:double>>")
-    hashes = F.sort_array(F.transform(words(text), lambda w: F.xxhash64(w)))
-    return let(hashes, lambda h: F.when(F.size(h) == 0, empty).otherwise(runs(h)))
 
+def _constants(values: list[float]) -> Column:
+    return F.expr("array(" + ",".join(f"{v!r}D" for v in values) + ")")
 
-def _uniform(bits: Column) -> Column:
-    """32 bits as a number in (0, 1)."""
-    return (bits.bitwiseAND(F.lit(0xFFFFFFFF)).cast("double") + 0.5) * F.lit(2.0**-32)
 
+def log_a(term: Column, log_weight: Column, j: Column) -> Column:
+    """``ln a`` of a term with the logarithm of its weight, for sample j.
 
-def log_a(term: Column, log_weight: Column, j: int) -> Column:
-    """``ln a`` of a term for sample ``j``."""
-    first, second, third = (F.xxhash64(term, F.lit(3 * j + k)) for k in range(3))
-    high = lambda x: F.shiftrightunsigned(x, 32)
-    r = -F.ln(_uniform(first) * _uniform(high(first)))
-    c = -F.ln(_uniform(second) * _uniform(high(second)))
-    beta = _uniform(third)
-    return F.ln(c) - r * (F.floor(log_weight / r + beta).cast("double") - beta + 1)
+    One 64-bit hash gives 11 bits for each of r and c, which are drawn from the table of quantiles,
+    and 32 for beta.
+    """
+    quantiles = gamma_quantiles()
+    bits = F.xxhash64(term, j)
+    pick = lambda shift: F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit(QUANTILES - 1)).cast("int")
+    r = F.get(_constants(quantiles), pick(32))
+    beta = bits.bitwiseAND(F.lit(0xFFFFFFFF)).cast("double") * F.lit(2.0**-32)
+    return F.get(_constants([math.log(v) for v in quantiles]), pick(48)) - r * (F.floor(log_weight / r + beta).cast("double") - beta + 1)
 
 
-def signatures(rows: DataFrame, keys: list[str], terms: str = "terms", samples: int = SAMPLES) -> DataFrame:
+def signatures(terms: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
     """``keys`` and ``signature``, 16 bits a sample, of each key; a key without terms isn't returned.
 
     Rows that ``keys`` already partition need no exchange.
     """
-    flat = rows.select(*keys, F.inline(terms))
-    least = flat.groupBy(*keys).agg(*(F.min(log_a(F.col("term"), F.col("log_weight"), j)).alias(f"_s{j}") for j in range(samples)))
-    bits = [F.xxhash64(f"_s{j}").bitwiseAND(F.lit(0xFFFF)).cast("int") for j in range(samples)]
-    return least.select(*keys, F.array(*bits).alias("signature"))
+    flat = terms.select("*", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))).alias("_j"))
+    least = flat.groupBy(*keys, "_j").agg(F.min(log_a(F.col("term"), F.col("log_weight"), F.col("_j"))).alias("_a"))
+    bits = F.xxhash64("_a").bitwiseAND(F.lit(0xFFFF)).cast("int")
+    ordered = F.array_sort(F.collect_list(F.struct("_j", bits.alias("bits"))))
+    return least.groupBy(*keys).agg(F.transform(ordered, lambda x: x["bits"]).alias("signature"))
 
 
 def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:
@@ -79,7 +94,7 @@ def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:
 
 
 def as_text(signature: Column) -> Column:
-    return F.array_join(F.transform(signature, lambda x: F.lpad(F.lower(F.hex(x)), 4, "0")), "")
+    return F.array_join(F.transform(signature, lambda x: F.lpad(F.lower(F.hex(x.bitwiseAND(F.lit(0x1FFFF)))), 5, "0")), "")
 
 
 def group_heads(ids: DataFrame) -> DataFrame:
@@ -119,16 +134,15 @@ def edited_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
 def fingerprint_edits(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", samples: int = SAMPLES) -> DataFrame:
     """Fingerprints of every row's text and edited text, and their likeness to each other and to the next row's."""
-    rows = edited_documents(docs, doc_id, text).withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
-    none = F.array(F.struct(F.lit(None).cast("bigint").alias("term"), F.lit(0.0).alias("log_weight")))
-    filled = lambda t: let(weighted_terms(F.col(t)), lambda w: F.when(F.size(w) == 0, none).otherwise(w))
-    keys = ["g", "place", "copy", "doc_id", "n_chars", "edited_sha256"]
-    both = F.array(F.struct(F.lit(0).alias("version"), filled("text").alias("terms")), F.struct(F.lit(1).alias("version"), filled("edited").alias("terms")))
-    versions = rows.select(*keys, F.inline(both)).filter("version = 0 OR NOT copy")
-    found = signatures(versions, [*keys, "version"], samples=samples)
-    merged = found.groupBy(*keys).agg(
-        F.max(F.when(F.col("version") == 0, F.col("signature"))).alias("own"), F.max(F.when(F.col("version") == 1, F.col("signature"))).alias("changed"))
-    near = merged.withColumn("next", F.lead("own").over(Window.partitionBy("g").orderBy("place")))
+    rows = edited_documents(docs, doc_id, text)
+    own, changed = F.struct((2 * F.col("place")).alias("key"), F.col("text")), F.struct((2 * F.col("place") + 1).alias("key"), F.col("edited").alias("text"))
+    versions = rows.select("g", F.inline(F.when(F.col("copy"), F.array(own)).otherwise(F.array(own, changed))))
+    found = signatures(weighted_terms(versions, ["g", "key"]), ["g", "key"], samples).groupBy("g", F.floor(F.col("key") / 2).cast("int").alias("place")).agg(
+        F.max(F.when(F.col("key") % 2 == 0, F.col("signature"))).alias("own"), F.max(F.when(F.col("key") % 2 == 1, F.col("signature"))).alias("changed"))
+    told = rows.select("g", "place", "copy", "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
+    same = told["g"].eqNullSafe(found["g"]) & (told["place"] == found["place"])
+    joined = told.join(found, same, "left").select(told["*"], *(F.coalesce(c, F.array_repeat(F.lit(-1), samples)).alias(c) for c in ("own", "changed")))
+    near = joined.withColumn("next", F.lead("own").over(Window.partitionBy("g").orderBy("place")))
     return near.filter("NOT copy").select(
         "doc_id", "n_chars", "edited_sha256", as_text(F.col("own")).alias("fingerprint"), as_text(F.col("changed")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("changed"), samples).alias("near_edited"),

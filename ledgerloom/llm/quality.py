@@ -24,8 +24,8 @@ from ledgerloom.session import cut_lineage
 #: White space of words: blank, tab, line feed, vertical tab, form feed, carriage return.
 BLANK = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
-#: A word with a capital letter and no small one, over Latin-1.
-CAPITAL = r"^[^a-zß-öø-ÿ]*[A-ZÀ-ÖØ-Þ][^a-zß-öø-ÿ]*$"
+#: Capital letters of Latin-1.
+CAPITALS = "[A-ZÀ-ÖØ-Þ]+"
 WINDOW = 5
 
 
@@ -43,8 +43,9 @@ def repeated_words(parts: Column) -> Column:
 
     Windows are compared by a 64-bit hash of their five words.
     """
-    at = lambda i, k: F.get(parts, i + k)
-    hashes = F.transform(F.sequence(F.lit(0), F.size(parts) - WINDOW), lambda i: F.xxhash64(*(at(i, k) for k in range(WINDOW))))
+    word_hashes = F.transform(parts, lambda w: F.xxhash64(w))
+    hashes = let(word_hashes, lambda h: F.slice(
+        F.transform(h, lambda x, i: F.xxhash64(x, *(F.get(h, i + k) for k in range(1, WINDOW)))), 1, F.size(h) - (WINDOW - 1)))
 
     def covered(h: Column) -> Column:
         # Equal windows stand side by side once sorted by hash; their places, in order, cover up to
@@ -77,8 +78,8 @@ def duplicate_lines(text: Column) -> Column:
     return let(kept, lambda k: F.size(k) - F.size(F.array_distinct(k)))
 
 
-def capital_words(parts: Column) -> Column:
-    return F.size(F.filter(parts, lambda w: (F.char_length(w) > 1) & w.rlike(CAPITAL)))
+def capital_letters(text: Column) -> Column:
+    return F.char_length(text) - F.char_length(F.regexp_replace(text, CAPITALS, ""))
 
 
 @dataclass(frozen=True)
@@ -146,7 +147,7 @@ def filter_rules() -> list[Rule]:
         Rule(TOO_FEW, lambda w, t: F.size(w) < 10),
         Rule("odd word length", lambda w, t: let(word_chars(w), lambda c: (c < 2 * F.size(w)) | (c > 20 * F.size(w)))),
         Rule("symbols", lambda w, t: 10 * symbol_count(t) > F.size(w)),
-        Rule("capitals", lambda w, t: 10 * capital_words(w) > 4 * F.size(w)),
+        Rule("capitals", lambda w, t: 10 * capital_letters(t) > 4 * word_chars(w)),
         Rule("repeated lines", lambda w, t: (lines(t) > 3) & (10 * duplicate_lines(t) > 3 * lines(t))),
         Rule(REPEATED, lambda w, t: 100 * repeated_words(w) > 20 * F.size(w)),
     ]
@@ -196,10 +197,10 @@ def quality_sql() -> str:
     measured AS (SELECT doc_id, text, w, len(lines) - len(list_distinct(lines)) AS n_dup_lines, len(w) AS n_words,
         coalesce(length(array_to_string(w, '')), 0) AS word_chars, length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
         coalesce(n, 0) AS n_repeat_words, len(string_split(text, chr(10))) AS n_lines,
-        len(list_filter(w, lambda x: length(x) > 1 AND regexp_matches(x, '^[^a-zß-öø-ÿ]*[A-ZÀ-ÖØ-Þ][^a-zß-öø-ÿ]*$'))) AS capitals
+        length(text) - length(regexp_replace(text, '[A-ZÀ-ÖØ-Þ]+', '', 'g')) AS capitals
       FROM (SELECT *, row_number() OVER () AS rid FROM windows) LEFT JOIN repeats USING (rid)),
     judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM measured)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
       NOT base_failed AND NOT (word_chars < 2 * n_words OR word_chars > 20 * n_words OR 10 * n_symbols > n_words
-        OR 10 * capitals > 4 * n_words OR (n_lines > 3 AND 10 * n_dup_lines > 3 * n_lines)) AS kept
+        OR 10 * capitals > 4 * word_chars OR (n_lines > 3 AND 10 * n_dup_lines > 3 * n_lines)) AS kept
     FROM judged"""
