@@ -1,7 +1,7 @@
 """Toxicity by cumulative-link ordinal regression on sparse text features.
 
-A text's features are its lower-cased words and the first four and five letters of each, weighted by
-log(1 + count) and scaled to length one. The model is P(grade <= j) = sigmoid(t_j - w x): one weight
+A text's features are its lower-cased words and the first four to six letters of each, weighted by
+log(1 + count); those that the chi-square statistic ties to the grade are used. The model is P(grade <= j) = sigmoid(t_j - w x): one weight
 vector for all grades and ascending thresholds, fitted by gradient descent on the likelihood. The
 severity of a text is the expected grade, the sum over j of P(grade > j); a text is toxic where
 P(grade > 0) is above one half.
@@ -34,32 +34,26 @@ WORD = re.compile(r"[^\W\d_]+")
 
 @dataclass(frozen=True)
 class Training:
-    sample_rows: int = 4000
+    sample_rows: int = 6000
     sample_words: int = 2000
-    min_texts: int = 3
-    prefixes: tuple[int, ...] = (4, 5)
+    min_texts: int = 8
+    min_chi_square: float = 15.0
+    prefixes: tuple[int, ...] = (4, 5, 6)
     ridge: float = 1e-5
     steps: int = 300
-    rate: float = 0.5
+    rate: float = 0.1
 
 
 @dataclass(frozen=True)
 class SeverityModel:
     weights: dict[str, float] = field(default_factory=dict)
     thresholds: tuple[float, ...] = ()
-    prefixes: tuple[int, ...] = (4, 5)
+    prefixes: tuple[int, ...] = (4, 5, 6)
 
     def score(self, counts: dict[str, int]) -> float:
         """w x of a text with these word counts."""
-        total = norm = 0.0
         look = self.weights.get
-        for feature, n in features(counts, self.prefixes).items():
-            value = math.log1p(n)
-            norm += value * value
-            weight = look(feature)
-            if weight:
-                total += weight * value
-        return total / math.sqrt(norm) if norm else 0.0
+        return sum(weight * math.log1p(n) for f, n in features(counts, self.prefixes).items() if (weight := look(f)))
 
     def above(self, score: np.ndarray) -> np.ndarray:
         """P(grade > j) for every threshold j."""
@@ -88,29 +82,27 @@ class Encoded:
     text: np.ndarray
     feature: np.ndarray
     count: np.ndarray
-    words: np.ndarray  # of each text
     label: np.ndarray  # of each text
 
     @staticmethod
     def of(rows: Iterable[tuple[dict[str, int], int]], prefixes: tuple[int, ...]) -> Encoded:
         names: dict[str, int] = {}
-        parts, counts, words, labels = [], [], [], []
+        parts, counts, labels = [], [], []
         for row, label in rows:
             found = features(row, prefixes)
             parts.append(np.fromiter((names.setdefault(f, len(names)) for f in found), np.int32, len(found)))
             counts.append(np.fromiter(found.values(), np.int32, len(found)))
-            words.append(sum(row.values()))
             labels.append(label)
         text = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
         join = lambda x: np.concatenate(x) if x else np.zeros(0, np.int32)
-        return Encoded(names, text, join(parts), join(counts), np.array(words, np.int64), np.array(labels, np.int64))
+        return Encoded(names, text, join(parts), join(counts), np.array(labels, np.int64))
 
 
 def grades_of_flags(rows: Encoded, cuts: tuple[float, ...] = (0.5, 0.85)) -> np.ndarray:
     """Severity grades for labels that only say toxic (1) or not (0).
 
-    Features that occur almost only in flagged texts are counted per word; the flagged texts are cut
-    into grades at the ``cuts`` quantiles of that density. Grade 0 stays for texts without the flag.
+    Features that occur almost only in flagged texts are counted; the flagged texts are cut into
+    grades at the ``cuts`` quantiles of that number. Grade 0 stays for texts without the flag.
     """
     flagged = rows.label > 0
     if not flagged.any():
@@ -120,9 +112,8 @@ def grades_of_flags(rows: Encoded, cuts: tuple[float, ...] = (0.5, 0.85)) -> np.
     n_clean = np.bincount(rows.feature[~inside], minlength=len(rows.names))
     marks = (n_flagged >= 5) & (n_flagged >= 20 * n_clean)
     hits = np.bincount(rows.text, rows.count * marks[rows.feature], len(rows.label))
-    density = hits / np.maximum(1, rows.words)
-    bounds = np.quantile(density[flagged], cuts)
-    return np.where(flagged, 1 + (density[:, None] > bounds).sum(1), 0)
+    bounds = np.quantile(hits[flagged], cuts)
+    return np.where(flagged, 1 + (hits[:, None] > bounds).sum(1), 0)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -135,11 +126,14 @@ def fit(rows: Encoded, grade: np.ndarray, training: Training = Training()) -> Se
     if top == 0:
         return SeverityModel(prefixes=training.prefixes)
     n = len(grade)
-    value = np.log1p(rows.count)
-    value = value / np.sqrt(np.bincount(rows.text, value * value, n))[rows.text]
-    common = np.bincount(rows.feature, minlength=len(rows.names)) >= training.min_texts
-    used = common[rows.feature]
-    r, c, v = rows.text[used], rows.feature[used], value[used]
+    high = (grade > 0).astype(float)
+    texts = np.bincount(rows.feature, minlength=len(rows.names)).astype(float)
+    texts_high = np.bincount(rows.feature, high[rows.text], len(rows.names))
+    n_high = high.sum()
+    spread = texts * (n - texts) * n_high * (n - n_high)
+    chi_square = np.where(spread > 0, n * (texts_high * n - texts * n_high) ** 2 / np.maximum(spread, 1), 0)
+    used = ((texts >= training.min_texts) & (chi_square >= training.min_chi_square))[rows.feature]
+    r, c, v = rows.text[used], rows.feature[used], np.log1p(rows.count[used])
     w = np.zeros(len(rows.names))
     # Thresholds ascend: the first one, then the logarithms of the gaps.
     share = np.clip((grade[:, None] > np.arange(top)).mean(0), 1e-4, 1 - 1e-4)

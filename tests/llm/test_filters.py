@@ -35,7 +35,7 @@ def test_held_out_accuracy(spark):
     model = toxicity.train(docs, labels.filter("doc_id % 2 = 0"))
     got = toxicity.score_documents(docs, model).join(labels.filter("doc_id % 2 = 1").select("doc_id", F.col("toxic").alias("truth")), "doc_id").select("toxic", "truth").collect()
     hit = sum(r["toxic"] and r["truth"] == 1 for r in got)
-    assert hit >= 0.93 * sum(r["truth"] for r in got) and sum(r["toxic"] and r["truth"] == 0 for r in got) <= 0.01 * len(got)
+    assert hit >= 0.9 * sum(r["truth"] for r in got) and sum(r["toxic"] and r["truth"] == 0 for r in got) <= 0.005 * len(got)
 
 
 def test_toxicity_of_odd_rows(spark):
