@@ -18,10 +18,11 @@ import struct
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.units import UNITS, UnitMemo
+from ledgerloom.llm.units import UNITS, UnitMemo, slices
 
 
 class PairTree:
@@ -125,7 +126,7 @@ def bpe_ids(text: str | Column, path: str, pattern: str) -> Column:
     def encode(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         _, memo = vocabulary(path, pattern)
         for part in texts:
-            yield pd.Series(memo.pack(part.tolist()), dtype=object)
+            yield pd.Series(list(memo.pack(part.tolist())), dtype=object)
 
     return encode(text)
 
@@ -150,3 +151,17 @@ def encode_documents(df: DataFrame, path: str, pattern: str, text: str = "text",
 def decode_documents(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``df`` with the bytes of its packed ids."""
     return df.withColumn(out, bpe_bytes(df[ids], path, pattern))
+
+
+def code_documents(df: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, ids, decoded) of every row, encoded and decoded by the same worker."""
+
+    def code(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks, memo = vocabulary(path, pattern)
+        for part in parts:
+            for rows in slices(part):
+                ids = list(memo.pack(rows.column(1).to_pylist()))
+                decoded = pa.array([ranks.decode(x) for x in ids], pa.binary())
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(ids, pa.binary()), decoded], ["doc_id", "ids", "decoded"])
+
+    return df.select(df[doc_id].cast("long"), df[text]).mapInArrow(code, "doc_id long, ids binary, decoded binary")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.units import library_memo
+from ledgerloom.llm.units import library_memo, slices
 from ledgerloom.session import cut_lineage
 
 
@@ -168,7 +168,7 @@ def token_pieces(docs: DataFrame, path: str, end_id: int, capacity: int, doc_id:
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = library_memo(path)
         end = np.array([end_id], "<u4").tobytes()
-        for part in parts:
+        for part in (rows for batch in parts for rows in slices(batch)):
             columns: tuple[list, ...] = ([], [], [], [], [], [])
             for row, packed in enumerate(memo.pack(part.column(1).to_pylist())):
                 ids = packed + end

@@ -24,8 +24,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    coded = bpe.encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), path, pattern).select("doc_id", "ids")
-    coded = bpe.decode_documents(coded, path, pattern)
+    coded = bpe.code_documents(table(spark, sf_dir, "documents"), path, pattern)
     return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -30,7 +30,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.units import library_ids
+from ledgerloom.llm.units import library_memo, slices
 from ledgerloom.session import scratch_path
 
 MAGIC = b"EFTOKENS"
@@ -154,9 +154,12 @@ def qualified(spark, folder: str) -> str:
 MANIFEST = "shard long, part int, path string, docs long, ids long"
 
 
-def write_files(df: DataFrame, folder: str, width: int = 2, file_ids: int = FILE_IDS) -> DataFrame:
+def write_files(df: DataFrame, folder: str, width: int = 2, file_ids: int = FILE_IDS, path: str | None = None, end_id: int | None = None) -> DataFrame:
     """Write (doc_id, packed ids) in the order of ``df``'s partitions and rows; returns the manifest.
 
+    With ``path``, the second column is text, which is encoded by that file's library, and ``end_id``
+    is added to each document.
+
     Asking for the manifest's rows writes the files: save it once, then read files by the saved rows.
     """
     folder = qualified(df.sparkSession, folder)
@@ -182,8 +185,11 @@ def write_files(df: DataFrame, folder: str, width: int = 2, file_ids: int = FILE
                 [pa.array(row[0], pa.int64()), pa.array(row[1], pa.int32()), pa.array(row[2]), pa.array(row[3], pa.int64()), pa.array(row[4], pa.int64())],
                 ["shard", "part", "path", "docs", "ids"])
 
-        for part in parts:
-            for doc, ids in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+        end = b"" if end_id is None else struct.pack("<I", end_id)
+        for part in (rows for batch in parts for rows in slices(batch)):
+            bodies = part.column(1).to_pylist()
+            for doc, body in zip(part.column(0).to_pylist(), library_memo(path).pack(bodies) if path else bodies, strict=True):
+                ids = body + end
                 docs.append(doc)
                 packed.append(ids)
                 held += len(ids) // 4
@@ -218,17 +224,15 @@ def read_files(manifest: DataFrame, folder: str) -> DataFrame:
     return files.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
-def encode_in_order(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, packed ids with the end id), sorted by doc_id over all partitions."""
+def in_order(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, text), sorted by doc_id over all partitions."""
     rows = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].alias("text")).withColumn("_tie", F.xxhash64("text"))
-    rows = rows.repartitionByRange("doc_id", "_tie").sortWithinPartitions("doc_id", "_tie")
-    end = F.lit(struct.pack("<I", end_id))
-    return rows.select("doc_id", F.concat(library_ids(path)("text"), end).alias("ids"))
+    return rows.repartitionByRange("doc_id", "_tie").sortWithinPartitions("doc_id", "_tie").select("doc_id", "text")
 
 
 def store_documents(docs: DataFrame, path: str, end_id: int = 2, width: int = 2, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, str]:
     """Encode ``docs`` into files in the shared folder; returns the saved manifest and the folder."""
     spark = docs.sparkSession
     folder, saved = scratch_path(spark, "token-files"), scratch_path(spark, "token-manifest")
-    write_files(encode_in_order(docs, path, end_id, doc_id, text), folder, width).write.parquet(saved)
+    write_files(in_order(docs, doc_id, text), folder, width, path=path, end_id=end_id).write.parquet(saved)
     return spark.read.schema(MANIFEST).parquet(saved), folder

@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 #: The characters with the Unicode property White_Space.
@@ -23,9 +24,9 @@ UNITS = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 WORDS = re.compile(f"[^{SPACE}]+")
 PLAIN = re.compile(f"[{SPACE}]+[^{SPACE}\x00]+")
 
-#: Units that a task remembers, and characters of text that it looks up at once.
-MEMO_UNITS = 600_000
-CHUNK_CHARS = 2_000_000
+#: Units in each of the two generations that a task remembers, and characters that it looks up at once.
+MEMO_UNITS = 350_000
+CHUNK_CHARS = 500_000
 
 
 def chunks(texts: list[str], chars: int = CHUNK_CHARS) -> Iterator[list[str]]:
@@ -47,22 +48,28 @@ class UnitMemo:
 
     def __init__(self, cut: Callable[[str], list[str]], encode_units: Callable[[list[str]], list[bytes]], limit: int = MEMO_UNITS):
         self.cut, self.encode_units, self.limit = cut, encode_units, limit
-        self.known: dict[str, bytes] = {}
-
-    def pack(self, texts: list[str | None]) -> list[bytes]:
-        """The packed ids of every text; a null text is an empty one."""
-        out: list[bytes] = []
+        # Units used since the last change of generations, and those of the generation before.
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _learn(self, wanted: set[str]) -> None:
+        new = wanted.difference(self.young)
+        if self.young and len(self.young) + len(new) > self.limit:
+            self.young, self.old = {}, self.young
+            new = wanted
+        kept = self.old.get
+        missing = [unit for unit in new if kept(unit) is None]
+        self.young.update((unit, kept(unit)) for unit in new.difference(missing))
+        self.young.update(zip(missing, self.encode_units(missing), strict=True))
+
+    def pack(self, texts: list[str | None]) -> Iterator[bytes]:
+        """The packed ids of every text, in order; a null text is an empty one."""
         for part in chunks([text or "" for text in texts]):
             cut = [self.cut(text) for text in part]
-            wanted = set(itertools.chain.from_iterable(cut))
-            missing = list(wanted.difference(self.known))
-            if len(self.known) + len(missing) > self.limit:
-                self.known.clear()
-                missing = list(wanted)
-            self.known.update(zip(missing, self.encode_units(missing), strict=True))
-            look = self.known.__getitem__
-            out.extend(b"".join(map(look, units)) for units in cut)
-        return out
+            self._learn(set(itertools.chain.from_iterable(cut)))
+            look = self.young.__getitem__
+            for units in cut:
+                yield b"".join(map(look, units))
 
 
 class LibraryEncoder:
@@ -133,6 +140,12 @@ def library_ids(path: str):
     def encode(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         memo = library_memo(path)
         for part in texts:
-            yield pd.Series(memo.pack(part.tolist()), dtype=object)
+            yield pd.Series(list(memo.pack(part.tolist())), dtype=object)
 
     return encode
+
+
+def slices(part: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces, so that only few of its texts are Python objects at a time."""
+    for start in range(0, part.num_rows, rows):
+        yield part.slice(start, rows)
