@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.quality import BLANK
 from ledgerloom.session import cut_lineage
 
-SAMPLES = 16
+SAMPLES = 32
 QUANTILES = 2048
 #: Consecutive doc_ids that are dealt together, and groups that are ordered together.
 GROUP, SUPER = 64, 1024

@@ -237,12 +237,12 @@ def _sizes_fit(n: Column, m: Column, policy: NearDuplicates) -> Column:
     return 100 * F.least(n, m) >= policy.percent * F.greatest(n, m)
 
 
-def crossing_pairs(shared: DataFrame, reps: DataFrame, classes: DataFrame, policy: NearDuplicates) -> DataFrame:
-    """(a, b, label, estimate) of members of one bucket and different classes that may be alike.
+def crossing_pairs(shared: DataFrame, reps: DataFrame, classes: DataFrame, policy: NearDuplicates, best: bool) -> DataFrame:
+    """(a, b) of members of one bucket and different classes that may be alike.
 
-    ``a`` is a member outside its bucket's main class, ``label`` the class of ``b``. A bucket is cut
-    into blocks by a hash; each block of outside members meets each block of all members in a group
-    of its own.
+    ``a`` is a member outside its bucket's main class. A bucket is cut into blocks by a hash; each
+    block of outside members meets each block of all members in a group of its own. With ``best``,
+    each ``a`` comes with the most alike member of each other class only.
     """
     labelled = shared.join(classes.select(F.col("node").alias("rep"), "label"), "rep")
     labelled = labelled.join(classes.select(F.col("node").alias("leader"), F.col("label").alias("main")), "leader")
@@ -270,12 +270,20 @@ def crossing_pairs(shared: DataFrame, reps: DataFrame, classes: DataFrame, polic
             # A pair belongs to the first band that it shares.
             fits = fits[~(bands[fits, :own] == bands[i, :own]).any(1)]
             likely = _estimate(signature[fits], signature[i])
-            for k, e in zip(fits[likely >= policy.possible], likely[likely >= policy.possible], strict=True):
-                for column, value in zip(out, (rep[i], rep[k], label[k], e), strict=True):
-                    column.append(value)
-        return pa.table({"a": pa.array(out[0], pa.int64()), "b": pa.array(out[1], pa.int64()), "label": pa.array(out[2], pa.int64()), "estimate": pa.array(out[3], pa.float64())})
-
-    return members.union(asking).groupBy("bucket", "out_block", "block").applyInArrow(compare, "a long, b long, label long, estimate double")
+            fits, likely = fits[likely >= policy.possible], likely[likely >= policy.possible]
+            if best:
+                fits, likely = fits[np.argsort(-likely, kind="stable")], np.sort(likely)[::-1]
+                first = np.unique(label[fits], return_index=True)[1]
+                fits, likely = fits[first], likely[first]
+            for column, values in zip(out, (np.full(len(fits), rep[i]), rep[fits], label[fits], likely), strict=True):
+                column.append(values)
+        a, b, to, e = (np.concatenate(c) if c else np.zeros(0) for c in out)
+        return pa.table({"a": pa.array(a.astype(np.int64)), "b": pa.array(b.astype(np.int64)), "label": pa.array(to.astype(np.int64)), "estimate": pa.array(e.astype(float))})
+
+    found = members.union(asking).groupBy("bucket", "out_block", "block").applyInArrow(compare, "a long, b long, label long, estimate double")
+    if best:
+        found = found.groupBy("a", "label").agg(F.max(F.struct("estimate", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
+    return found.select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, policy: NearDuplicates = NearDuplicates(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -292,12 +300,9 @@ def near_duplicates(docs: DataFrame, policy: NearDuplicates = NearDuplicates(),
     sets = cut_lineage(shingle_sets(texts, policy), "sets")
     classes = reps.select(F.col("rep").alias("node"), F.col("rep").alias("label")).distinct()
     classes = components(classes, cut_lineage(confirmed(leader_pairs(shared, reps, policy), sets, policy.percent), "links"))
-    crossing = cut_lineage(crossing_pairs(shared, reps, classes, policy), "crossing")
-    first = crossing.groupBy("a", "label").agg(F.max(F.struct("estimate", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
-    joined = components(classes, cut_lineage(confirmed(first, sets, policy.percent), "links"))
-    at = lambda side: joined.select(F.col("node").alias(side), F.col("label").alias(f"_{side}"))
-    rest = crossing.select("a", "b").join(at("a"), "a").join(at("b"), "b").filter("_a <> _b").select("a", "b").join(first, ["a", "b"], "left_anti").distinct()
-    final = components(joined, cut_lineage(confirmed(rest, sets, policy.percent), "links"))
-    named = reps.select("set_key", F.col("rep").alias("node")).join(final, "node").select("set_key", "label")
+    for best in (True, True, False):
+        crossing = cut_lineage(crossing_pairs(shared, reps, classes, policy, best), "crossing")
+        classes = components(classes, cut_lineage(confirmed(crossing, sets, policy.percent), "links"))
+    named = reps.select("set_key", F.col("rep").alias("node")).join(classes, "node").select("set_key", "label")
     out = rows.join(named, "set_key", "left").withColumn("component_id", F.coalesce("label", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
