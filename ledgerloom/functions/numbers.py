@@ -92,7 +92,6 @@ def significant_three(value: Column) -> Column:
     fraction = F.regexp_extract(size.cast("string"), r"\.([0-9]*)\z", 1)
     lead = F.length(F.regexp_extract(fraction, r"\A(0*)", 1))
     exponent = F.when(F.length(whole) > 0, F.length(whole) - 1).otherwise(-lead - 1)
-    rounded = F.lit(None).cast(MONEY)
-    for power in range(-12, 16):
-        rounded = F.when(exponent == power, F.round(value, 2 - power).cast(MONEY)).otherwise(rounded)
-    return F.when(value == 0, value.cast(MONEY)).otherwise(rounded)
+    # One flat array instead of a branch for each power, which code generation can't nest so deep.
+    rounded = F.array(*(F.round(value, 2 - power).try_cast(MONEY) for power in range(-12, 16)))
+    return F.when(value == 0, value.cast(MONEY)).otherwise(F.get(rounded, exponent + 12))

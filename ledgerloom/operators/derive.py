@@ -42,8 +42,11 @@ def quotient_2dp(a: Column, b: Column) -> Column:
 
 
 def _div(a: Column, b: Column) -> Column:
-    """Integral division of two non-negative decimals: exact, as the remainder goes first."""
-    return ((a - a % b) / b).cast("bigint")
+    """Integral division of two non-negative decimals: exact, as the remainder goes first.
+
+    A quotient beyond 64 bits is null, so that one row out of range doesn't end the job.
+    """
+    return ((a - a % b) / b).try_cast("bigint")
 
 
 def rescaled(value: Column, power: int) -> Column:

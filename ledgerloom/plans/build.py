@@ -132,7 +132,7 @@ class Built:
     blake_ids: bool
 
 
-def reconcile_all(observations: DataFrame, policy: presets.CorpusPolicy = presets.EMPLOYMENT_POLICY, blake_ids: bool = True) -> Built:
+def reconcile_all(observations: DataFrame, policy: presets.CorpusPolicy = presets.EMPLOYMENT_POLICY, blake_ids: bool = False) -> Built:
     """Observations of every grain to labelled facts; the marked readings are kept for the lineage."""
     flagged = cut_lineage(wide.flag_any(observations, policy), "readings")
     return Built(cut_lineage(series.assemble(flagged, policy, blake_ids), "facts"), flagged, blake_ids)

@@ -25,8 +25,9 @@ _OPENED: dict[tuple[str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table; its schema and file list are read once per application."""
-    key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
+    """A driver table; its schema and file list are read once per session."""
+    session = spark._jsparkSession.sessionUUID()
+    key = (f"{spark.sparkContext.applicationId}/{session}", f"{sf_dir}/{name}.parquet")
     if key not in _OPENED:
         _OPENED[key] = spark.read.parquet(key[1])
     return _OPENED[key]
