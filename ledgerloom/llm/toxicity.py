@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.session import cut_lineage
+
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -171,13 +173,28 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, training: Training, doc_
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            kept = [sorted(word_counts(t).items(), key=lambda x: (-x[1], x[0]))[: training.sample_words] for t in part["text"]]
-            yield pd.DataFrame({"label": part["_label"], "words": [[w for w, _ in k] for k in kept], "counts": [[n for _, n in k] for k in kept]})
+            kept = [dict(word_counts(t).most_common(training.sample_words)) for t in part["text"]]
+            found = [features(k, training.prefixes) for k in kept]
+            yield pd.DataFrame({"label": part["_label"], "features": [list(f) for f in found], "counts": [list(f.values()) for f in found]})
 
     rows = docs.select(doc_id, F.col(text).alias("text")).join(F.broadcast(ids), doc_id).select("_label", "text")
-    got = rows.mapInPandas(count, "label int, words array<string>, counts array<int>").collect()
-    got.sort(key=lambda r: (r["label"], r["words"], r["counts"]))  # the same model whatever order the rows come in
-    return Encoded.of(((dict(zip(r["words"], r["counts"], strict=True)), r["label"]) for r in got), training.prefixes)
+    counted = rows.mapInPandas(count, "label int, features array<string>, counts array<int>")
+    sample = cut_lineage(counted.withColumn("row", F.monotonically_increasing_id()), "labelled")
+    # Features are chosen where they lie; the driver gets the entries of those alone.
+    flat = sample.select("row", "label", F.explode(F.arrays_zip("features", "counts")).alias("e")).select("row", "label", F.col("e.features").alias("feature"), F.col("e.counts").alias("n"))
+    size = sample.agg(F.count("*").alias("n"), F.count_if(F.col("label") > 0).alias("high")).collect()[0]
+    n, high = float(size["n"]), float(size["high"])
+    texts, texts_high = F.col("texts").cast("double"), F.col("texts_high").cast("double")
+    spread = texts * (n - texts) * high * (n - high)
+    chi_square = F.when(spread > 0, n * F.pow(texts_high * n - texts * high, 2) / spread)
+    tied = flat.groupBy("feature").agg(F.count("*").alias("texts"), F.count_if(F.col("label") > 0).alias("texts_high")).filter(
+        (F.col("texts") >= training.min_texts) & (chi_square >= training.min_chi_square)).select("feature")
+    entries: dict[int, dict[str, int]] = {r["row"]: {} for r in sample.select("row").collect()}
+    for r in flat.join(tied, "feature").select("row", "feature", "n").collect():
+        entries[r["row"]][r["feature"]] = r["n"]
+    labels_of = {r["row"]: r["label"] for r in sample.select("row", "label").collect()}
+    got = sorted((labels_of[row], sorted(found.items())) for row, found in entries.items())  # the same model whatever order the rows come in
+    return Encoded.of(((dict(found), label_) for label_, found in got), ())
 
 
 def train(docs: DataFrame, labels: DataFrame, training: Training = Training(), **columns: str) -> SeverityModel:
