@@ -38,7 +38,7 @@ WORD = re.compile(r"[^\W\d_]+")
 class Training:
     sample_rows: int = 6000
     sample_words: int = 2000
-    min_texts: int = 8
+    min_texts: int = 5
     min_chi_square: float = 15.0
     prefixes: tuple[int, ...] = (4, 5, 6)
     ridge: float = 1e-5
