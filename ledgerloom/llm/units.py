@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+import os
 import re
 from collections.abc import Callable, Iterator
 
@@ -83,6 +84,8 @@ class LibraryEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        # Spark gives each task its core; the library's own threads would come on top.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         # White space that leaves no id means that words stand alone.
@@ -97,6 +100,10 @@ class LibraryEncoder:
     def ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    def batch_ids(self, texts: list[str]) -> Iterator[list[int]]:
+        """Ids alone: the library needn't keep track of where each came from."""
+        return (got.ids for got in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))
+
     def cut(self, text: str) -> list[str]:
         return (UNITS if self.spaced else WORDS).findall(text)
 
@@ -106,21 +113,22 @@ class LibraryEncoder:
     def encode_units(self, units: list[str]) -> list[bytes]:
         out: dict[str, bytes] = {}
         joined = [u for u in units if self._joins(u)]
+        lead = len(self.mark_ids) - 1
         for start in range(0, len(joined), 20_000):
             part = joined[start : start + 20_000]
-            ids = np.array(self.ids(self.mark.join(part) + self.mark), "<u4")
+            texts = [self.mark.join(part[i : i + 200]) + self.mark for i in range(0, len(part), 200)]
+            ids = np.array(list(itertools.chain.from_iterable(self.batch_ids(texts))), "<u4")
             ends = np.flatnonzero(ids == self.mark_ids[-1])
             if len(ends) != len(part):
                 raise ValueError("the mark occurs within a unit")
             begin = 0
             raw = ids.tobytes()
-            lead = len(self.mark_ids) - 1
             for unit, end in zip(part, ends.tolist(), strict=True):
                 out[unit] = raw[4 * begin : 4 * (end - lead)]
                 begin = end + 1
         alone = [u for u in units if u not in out]
-        for unit, got in zip(alone, self.tokenizer.encode_batch(alone, add_special_tokens=False), strict=True):
-            out[unit] = np.array(got.ids, "<u4").tobytes()
+        for unit, got in zip(alone, self.batch_ids(alone), strict=True):
+            out[unit] = np.array(got, "<u4").tobytes()
         return [out[u] for u in units]
 
 
