@@ -11,9 +11,10 @@ Documents of equal sets are one representative from the start. Then
 1. every representative is compared with one leader of each of its buckets, and confirmed pairs are
    joined into classes;
 2. in buckets that still hold several classes, the members outside the leader's class are compared
-   with all others by signature, in blocks of bounded size, and only pairs of different classes that
-   the signatures leave possible go on: first the most alike pair of each member and class, then,
-   where that didn't join them, all of them.
+   with all others in blocks of bounded size, by signature and then by the ``sample`` least hashes of
+   their sets, which for sets of no more hashes is the whole set. Only pairs of different classes
+   that both leave possible go on: first the most alike pair of each member and class, then, where
+   that didn't join them, all of them.
 
 A link counts only where the full sets confirm it, and no step caps partners: what one step leaves
 apart the next one decides. Pairs within a class are never listed. A pair at the threshold is passed
@@ -49,7 +50,8 @@ LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + BLANK, b"abcdefghijklmno
 
 @dataclass(frozen=True)
 class NearDuplicates:
-    """``percent``: similarity of a link; ``block``: rows of a bucket that are compared in one group."""
+    """``percent``: similarity of a link; ``block``: rows of a bucket that are compared in one group;
+    ``sample``: hashes of a set that travel to a block."""
 
     shingle: int = 5
     percent: int = 80
@@ -57,6 +59,7 @@ class NearDuplicates:
     rows: int = 4
     margin: float = 4.0
     block: int = 1024
+    sample: int = 512
     seed: int = 20250707
 
     @property
@@ -165,14 +168,17 @@ def sketches(docs: DataFrame, policy: NearDuplicates, doc_id: str = "doc_id", te
 
 
 def shingle_sets(docs: DataFrame, policy: NearDuplicates) -> DataFrame:
-    """(rep, shingles) of (rep, text)."""
+    """(rep, shingles, least) of (rep, text); ``least`` packs the high halves of the least hashes."""
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
-            sets = [shingle_set(t, policy.shingle).view(np.int64) for t in part.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], ["rep", "shingles"])
+            sets = [shingle_set(t, policy.shingle) for t in part.column(1).to_pylist()]
+            least = [(s[: policy.sample] >> np.uint64(32)).astype("<u4").tobytes() for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())), pa.array(least, pa.binary())],
+                ["rep", "shingles", "least"])
 
-    return docs.select("rep", "text").mapInArrow(cut, "rep long, shingles array<long>")
+    return docs.select("rep", "text").mapInArrow(cut, "rep long, shingles array<long>, least binary")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -217,6 +223,28 @@ def _estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (share - 1 / 256) / (1 - 1 / 256)
 
 
+def _sampled(one: np.ndarray, others: list[np.ndarray], policy: NearDuplicates) -> tuple[np.ndarray, np.ndarray]:
+    """Similarity of a set to others by their least hashes, and whether it leaves a link possible.
+
+    Hashes up to the lesser of the two last ones are known of both sets. Where neither set was cut,
+    that is all of them; where one was, ``margin`` standard deviations are allowed for. One hash is
+    allowed for in any case, as two may share their high half.
+    """
+    every = np.uint32(0xFFFFFFFF)
+    last = np.array([o[-1] if len(o) >= policy.sample else every for o in others], np.uint32)
+    last = np.minimum(last, one[-1] if len(one) >= policy.sample else every)
+    sizes = np.fromiter(map(len, others), np.int64, len(others))
+    starts = np.cumsum(sizes) - sizes
+    hashes = np.concatenate(others)
+    known = hashes <= np.repeat(last, sizes)
+    place = np.minimum(np.searchsorted(one, hashes), len(one) - 1)
+    both = np.add.reduceat(known & (one[place] == hashes), starts, dtype=np.int64)
+    union = np.add.reduceat(known, starts, dtype=np.int64) + np.searchsorted(one, last, "right") - both
+    j = policy.percent / 100
+    least = np.where(last == every, j, j - policy.margin * np.sqrt(j * (1 - j) / np.maximum(union, 1)))
+    return both / np.maximum(union, 1), both + 1 >= least * (union - 1)
+
+
 def leader_pairs(shared: DataFrame, reps: DataFrame, policy: NearDuplicates) -> DataFrame:
     """Distinct (a, b) of members and their buckets' leaders that the signatures leave possible."""
     pairs = shared.filter("rep <> leader").select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct()
@@ -237,7 +265,7 @@ def _sizes_fit(n: Column, m: Column, policy: NearDuplicates) -> Column:
     return 100 * F.least(n, m) >= policy.percent * F.greatest(n, m)
 
 
-def crossing_pairs(shared: DataFrame, reps: DataFrame, classes: DataFrame, policy: NearDuplicates, best: bool) -> DataFrame:
+def crossing_pairs(shared: DataFrame, reps: DataFrame, sets: DataFrame, classes: DataFrame, policy: NearDuplicates, best: bool) -> DataFrame:
     """(a, b) of members of one bucket and different classes that may be alike.
 
     ``a`` is a member outside its bucket's main class. A bucket is cut into blocks by a hash; each
@@ -247,10 +275,10 @@ def crossing_pairs(shared: DataFrame, reps: DataFrame, classes: DataFrame, polic
     labelled = shared.join(classes.select(F.col("node").alias("rep"), "label"), "rep")
     labelled = labelled.join(classes.select(F.col("node").alias("leader"), F.col("label").alias("main")), "leader")
     mixed = labelled.groupBy("bucket").agg(F.count_if(F.col("label") != F.col("main")).alias("outside")).filter("outside > 0")
-    rows = labelled.join(mixed, "bucket").join(reps.select("rep", "signature", "n_shingles", "bands"), "rep")
+    rows = labelled.join(mixed, "bucket").join(reps.select("rep", "signature", "n_shingles", "bands"), "rep").join(sets.select("rep", "least"), "rep")
     cuts = lambda n: F.ceil(n / F.lit(policy.block)).cast("int")
     slot = lambda n: F.pmod(F.xxhash64("rep", "bucket"), cuts(n)).cast("int")
-    columns = ["bucket", "out_block", "block", "rep", "label", "signature", "n_shingles", "bands", "asks"]
+    columns = ["bucket", "out_block", "block", "rep", "label", "signature", "n_shingles", "bands", "least", "asks"]
     members = rows.withColumn("block", slot(F.col("size"))).withColumn("out_block", F.explode(F.sequence(F.lit(0), cuts(F.col("outside")) - 1)))
     members = members.withColumn("asks", F.lit(False)).select(*columns)
     asking = rows.filter("label <> main").withColumn("out_block", slot(F.col("outside"))).withColumn("block", F.explode(F.sequence(F.lit(0), cuts(F.col("size")) - 1)))
@@ -262,6 +290,7 @@ def crossing_pairs(shared: DataFrame, reps: DataFrame, classes: DataFrame, polic
         rep, label, n = (np.array(table.column(c).to_pylist(), np.int64) for c in ("rep", "label", "n_shingles"))
         signature = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(len(rep), -1)
         bands = np.array(table.column("bands").to_pylist(), np.int64)
+        least = [np.frombuffer(x, "<u4") for x in table.column("least").to_pylist()]
         own = int(np.flatnonzero(bands[0] == bucket)[0])
         every = np.flatnonzero(~asks)
         out: list[list] = [[], [], [], []]
@@ -269,8 +298,11 @@ def crossing_pairs(shared: DataFrame, reps: DataFrame, classes: DataFrame, polic
             fits = every[(label[every] != label[i]) & (100 * np.minimum(n[every], n[i]) >= policy.percent * np.maximum(n[every], n[i]))]
             # A pair belongs to the first band that it shares.
             fits = fits[~(bands[fits, :own] == bands[i, :own]).any(1)]
-            likely = _estimate(signature[fits], signature[i])
-            fits, likely = fits[likely >= policy.possible], likely[likely >= policy.possible]
+            fits = fits[_estimate(signature[fits], signature[i]) >= policy.possible]
+            if not len(fits):
+                continue
+            likely, possible = _sampled(least[i], [least[k] for k in fits], policy)
+            fits, likely = fits[possible], likely[possible]
             if best:
                 fits, likely = fits[np.argsort(-likely, kind="stable")], np.sort(likely)[::-1]
                 first = np.unique(label[fits], return_index=True)[1]
@@ -300,8 +332,8 @@ def near_duplicates(docs: DataFrame, policy: NearDuplicates = NearDuplicates(),
     sets = cut_lineage(shingle_sets(texts, policy), "sets")
     classes = reps.select(F.col("rep").alias("node"), F.col("rep").alias("label")).distinct()
     classes = components(classes, cut_lineage(confirmed(leader_pairs(shared, reps, policy), sets, policy.percent), "links"))
-    for best in (True, True, False):
-        crossing = cut_lineage(crossing_pairs(shared, reps, classes, policy, best), "crossing")
+    for best in (True, False):
+        crossing = cut_lineage(crossing_pairs(shared, reps, sets, classes, policy, best), "crossing")
         classes = components(classes, cut_lineage(confirmed(crossing, sets, policy.percent), "links"))
     named = reps.select("set_key", F.col("rep").alias("node")).join(classes, "node").select("set_key", "label")
     out = rows.join(named, "set_key", "left").withColumn("component_id", F.coalesce("label", "doc_id"))
