@@ -30,7 +30,32 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["id", "priority", "cust", "note", "value", "first_seen"]
     sinks.write_csv(rows, path, columns, ["id"])
     classified = landing.classify_rows(readers.read_delimited(spark, path))
-    return landing.as_columns(landing.landed(classified), columns, keep=())
+    table = landing.as_columns(landing.landed(classified), columns, keep=())
+    # A null is printed as an empty cell, which lands as delivered.
+    return table.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in columns])
+
+
+# Lines as a publisher may send them: whole, with blank cells, blank, short, long and quoted.
+LINES = """CASE o_orderkey % 8 WHEN 0 THEN CONCAT(k, ',,', p) WHEN 1 THEN ',,' WHEN 2 THEN CONCAT(k, ',', c) WHEN 3 THEN CONCAT(k, ',', c, ',', p, ',more')
+  WHEN 4 THEN CONCAT(k, ',"",', p) WHEN 5 THEN CONCAT('"', k, ', ""x\"""') WHEN 6 THEN CONCAT(k, ',') ELSE CONCAT(k, ',', c, ',', p) END"""
+
+
+@query(
+    "csv_cells",
+    """WITH o AS (SELECT o_orderkey % 8 AS m, CAST(o_orderkey AS STRING) AS k, CAST(o_custkey AS STRING) AS c, o_orderstatus AS p FROM orders)
+    SELECT CASE m WHEN 1 THEN '' WHEN 5 THEN k || ', "x"' ELSE k END AS key, CASE WHEN m IN (0, 1, 4, 6) THEN '' WHEN m = 5 THEN NULL ELSE c END AS cust,
+    CASE WHEN m = 1 THEN '' WHEN m IN (2, 5, 6) THEN NULL ELSE p END AS status, CAST(NULL AS STRING) AS reason FROM o""",
+)
+def csv_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells as delivered: an empty one is text, one that a short row doesn't reach is absent; no row is quarantined."""
+    path = scratch_path(spark, "csv-cells")
+    lines = run(
+        spark, sf_dir,
+        f"""SELECT {LINES} AS `key,cust,status` FROM (SELECT o_orderkey, CAST(o_orderkey AS STRING) AS k, CAST(o_custkey AS STRING) AS c, o_orderstatus AS p FROM orders)""",
+    )
+    lines.write.options(header=True, sep="\u0001", quote="").csv(path)
+    rows = landing.classify_rows(readers.read_delimited(spark, path))
+    return rows.select(*[landing.cell_value(n).alias(n) for n in ("key", "cust", "status")], "reason")
 
 
 @query("parquet_round_trip", f"WITH {ROWS} SELECT id, cust, CAST(value AS DOUBLE) AS value FROM rws")

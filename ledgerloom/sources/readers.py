@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ENVELOPE = "index_name string, updated_date string, title string, records array<string>"
+#: A quoted cell; a doubled quote within it is a quote.
+QUOTED_CELL = r'"(?:[^"]|"")*"'
 FORMATS = {".json": "envelope", ".csv": "csv"}
 
 
@@ -28,21 +30,28 @@ def read_envelopes(spark: SparkSession, path: str) -> DataFrame:
 def read_delimited(spark: SparkSession, path: str, quoted_newlines: bool = False) -> DataFrame:
     """``(file, row_index, raw)`` of a CSV table, every cell a string, no as-of date.
 
-    Header cells are trimmed, short rows leave their last columns out, extra cells are dropped.
+    Header cells are trimmed, extra cells are dropped. A delivered cell keeps its text, an empty one
+    as ``""``; the columns that a short row doesn't reach are left out. Blank lines are no rows.
     ``row_index`` rises with the place in the file; it is unique over the whole read. A file whose
     quoted cells hold line breaks needs ``quoted_newlines`` and is then read by one task.
     """
-    table = (
-        spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE")
-        .option("escape", '"').option("multiLine", quoted_newlines).csv(path)
-    )
-    names = [name.strip().lstrip("\ufeff") for name in table.columns]
-    cells = F.struct(*[F.col(f"`{raw}`").alias(name) for raw, name in zip(table.columns, names)])
-    place = F.monotonically_increasing_id()
+    options = {"header": True, "escape": '"', "multiLine": quoted_newlines}
+    raw_names = spark.read.options(**options).csv(path).columns
+    # Spark fills the record column for the rows of a wrong length only.
+    record = "_record"
+    while record in raw_names:
+        record += "_"
+    schema = ", ".join(f"`{name.replace('`', '``')}` string" for name in [*raw_names, record])
+    table = spark.read.schema(schema).options(**options, mode="PERMISSIVE", columnNameOfCorruptRecord=record).csv(path)
+    delivered = F.size(F.split(F.regexp_replace(record, QUOTED_CELL, ""), ",", -1))
+    cells = [
+        F.when(F.col(record).isNull() | (delivered > k), F.coalesce(F.col(f"`{name.replace('`', '``')}`"), F.lit(""))).alias(name.strip().lstrip("\ufeff"))
+        for k, name in enumerate(raw_names)
+    ]
     return table.select(
         F.col("_metadata.file_name").alias("file"),
-        place.alias("row_index"),
-        F.to_json(cells).alias("raw"),
+        F.monotonically_increasing_id().alias("row_index"),
+        F.to_json(F.struct(*cells)).alias("raw"),
     )
 
 
