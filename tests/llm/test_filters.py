@@ -270,6 +270,19 @@ def test_large_family_equals_brute_force_in_small_blocks(spark):
     assert got == brute_classes(docs, 5)
 
 
+def test_least_hashes_leave_every_link_possible():
+    policy, draw = minmax.NearDuplicates(sample=64), np.random.default_rng(3)
+    for size in (1, 5, 40, 64, 300, 2000):
+        one = np.unique(draw.integers(0, 2**32, size, np.uint32))
+        others = [np.unique(np.concatenate([one[draw.random(len(one)) < keep], draw.integers(0, 2**32, 1 + int(size * (1 - keep)), np.uint32)])) for keep in draw.uniform(0.4, 1, 300)]
+        exact = np.array([len(np.intersect1d(one, o)) / len(np.union1d(one, o)) for o in others])
+        found, possible = minmax._sampled(one[:64], [o[:64] for o in others], policy)
+        assert possible[exact >= 0.8].all()
+        assert not possible[exact < 0.5].any() or size < 64
+        if size == 40:
+            assert np.allclose(found, exact)
+
+
 def test_near_duplicates_of_odd_rows(spark):
     got = minmax.near_duplicates(odd_documents(spark).withColumn("kept", F.lit("clash"))).collect()
     assert len(got) == len(ODD) + 2
