@@ -258,7 +258,7 @@ def lineage_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     "lineage_lookup",
     f"""WITH {DECIDED}, req AS (SELECT CAST(o_orderkey AS BIGINT) AS position, SUBSTR(SHA256('DEMO|district|' || CAST(s_nationkey AS STRING) || '|' || CAST(s_suppkey AS STRING)
       || '|' || {fyl('year(o_orderdate)')} || '||units_value'), 1, 16) AS fact_id
-      FROM orders JOIN supplier ON o_orderkey % 1000 = s_suppkey)
+      FROM orders JOIN supplier ON o_orderkey % (SELECT COUNT(*) FROM supplier) = s_suppkey)
     SELECT position, req.fact_id, f.fact_id IS NOT NULL AS found, confidence, rule AS resolution_rule_id
     FROM req LEFT JOIN facts f ON req.fact_id = f.fact_id""",
 )
@@ -266,7 +266,7 @@ def lineage_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = run(
         spark, sf_dir,
         f"""SELECT CAST(o_orderkey AS BIGINT) AS position, s_nationkey, s_suppkey, {fyl('year(o_orderdate)')} AS fy
-        FROM orders JOIN supplier ON o_orderkey % 1000 = s_suppkey""",
+        FROM orders JOIN supplier ON o_orderkey % (SELECT COUNT(*) FROM supplier) = s_suppkey""",
     )
     key = key_text(
         F.lit("DEMO"), F.lit("district"), F.col("s_nationkey"), F.col("s_suppkey"), F.col("fy"), F.lit(""), F.lit("units_value")

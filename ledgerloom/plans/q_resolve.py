@@ -205,14 +205,15 @@ def fixed_unit_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "source_union",
     """SELECT 'first' AS source_id, CAST(o_orderkey AS BIGINT) AS seq, CAST(o_custkey AS BIGINT) AS value FROM orders WHERE o_orderstatus = 'F'
-    UNION ALL SELECT 'second', CAST(o_orderkey AS BIGINT) + 1099511627776, CAST(o_custkey AS BIGINT) FROM orders WHERE o_orderstatus = 'P'""",
+    UNION ALL SELECT 'second', CAST(o_orderkey AS BIGINT) + 1099511627776, CAST(o_custkey AS BIGINT) FROM orders WHERE o_orderstatus = 'P'
+    UNION ALL SELECT 'third', CAST(o_orderkey AS BIGINT) + 2 * 1099511627776, CAST(o_custkey AS BIGINT) FROM orders WHERE o_orderstatus NOT IN ('F', 'P')""",
 )
 def source_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     def part(name: str, status: str) -> DataFrame:
         return run(
             spark, sf_dir,
-            f"SELECT '{name}' AS source_id, CAST(o_orderkey AS BIGINT) AS seq, CAST(o_custkey AS BIGINT) AS value FROM orders WHERE o_orderstatus = '{status}'",
+            f"SELECT '{name}' AS source_id, CAST(o_orderkey AS BIGINT) AS seq, CAST(o_custkey AS BIGINT) AS value FROM orders WHERE o_orderstatus {status}",
         )
 
-    out = extract.union_sources([part("first", "F"), part("second", "P")])
+    out = extract.union_sources([part("first", "= 'F'"), part("second", "= 'P'"), part("third", "NOT IN ('F', 'P')")])
     return out.select("source_id", "seq", F.col("value").cast("bigint").alias("value"))
