@@ -6,9 +6,9 @@ the same way. Where a gap has no unique word in common, equal words at its two e
 Coverage is the share of the template's words that are matched.
 
 A template can only reach ``min_coverage`` if the text holds that many of its words, so a text that
-holds fewer is settled by a count. A template is sought in each stretch of the text where its words
+holds fewer is settled by a count. A template is sought in every stretch of the text where its words
 stand close together, found by a sliding count, so that a license in a long text is aligned with its
-surroundings and not with the whole text.
+surroundings and not with the whole text. The best alignment over all these windows counts.
 
 Defined results: a null or empty text has no license: ``license`` is null and ``coverage`` 0. Of the
 templates that reach ``min_coverage`` the one with most matched words is reported, then the first by
@@ -18,6 +18,7 @@ name; of equal places the first. Repeated rows are scanned each.
 from __future__ import annotations
 
 import bisect
+import heapq
 import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
@@ -106,9 +107,13 @@ class Scanner:
     def words_of(self) -> dict[str, list[str]]:
         return {name: WORD.findall(text.lower()) for name, text in sorted(self.templates.items())}
 
-    def _stretches(self, text: list[str], template: list[str]) -> Iterator[tuple[int, int]]:
-        """Windows of text that hold enough of the template's words, each run of them once, at its fullest."""
-        need = -int(-self.min_coverage * len(template) // 1)
+    def _need(self, template: list[str]) -> int:
+        """The least matched words that reach ``min_coverage``."""
+        return next((n for n in range(len(template) + 1) if n / len(template) >= self.min_coverage), len(template) + 1)
+
+    def _stretches(self, text: list[str], template: list[str]) -> Iterator[tuple[int, int, int]]:
+        """(words in common, start, end) of every window of text that holds enough of the template's words."""
+        need = self._need(template)
         allowed = Counter(template)
         places = [i for i, w in enumerate(text) if w in allowed]
         if len(places) < need:
@@ -116,8 +121,7 @@ class Scanner:
         span = self.stretch * len(template)
         held: Counter[str] = Counter()
         common = start = 0
-        best: tuple[int, int, int] | None = None
-        for end, at in enumerate(places):
+        for at in places:
             word = text[at]
             held[word] += 1
             common += held[word] <= allowed[word]
@@ -126,13 +130,38 @@ class Scanner:
                 common -= held[gone] <= allowed[gone]
                 held[gone] -= 1
                 start += 1
-            if best and places[start] > best[2]:
-                yield best[1], best[2] + 1
-                best = None
-            if common >= need and (best is None or common > best[0]):
-                best = (common, places[start], places[end])
-        if best:
-            yield best[1], best[2] + 1
+            if common >= need:
+                yield common, places[start], at + 1
+
+    def _places(self, text: list[str], template: list[str]) -> Iterator[list[tuple[int, int]]]:
+        """The matched words of each place of the template, the best first; places don't overlap.
+
+        Windows wait in order of the words that they have in common with the template, which no
+        alignment exceeds, so that one is aligned only if it can still be the best. What a place
+        leaves of the windows over it is looked at again.
+        """
+        need, allowed = self._need(template), Counter(template)
+        waiting = [(-common, 1, a, b, []) for common, a, b in self._stretches(text, template)]
+        heapq.heapify(waiting)
+        taken: list[tuple[int, int]] = []
+        seen: set[tuple[int, int]] = set()
+        while waiting:
+            _, unaligned, a, b, pairs = heapq.heappop(waiting)
+            k = bisect.bisect_left(taken, (b,)) - 1
+            if k >= 0 and taken[k][1] > a:
+                for c, d in ((a, taken[k][0]), (taken[k][1], b)):
+                    if d - c >= need and (c, d) not in seen:
+                        seen.add((c, d))
+                        common = (Counter(text[c:d]) & allowed).total()
+                        if common >= need:
+                            heapq.heappush(waiting, (-common, 1, c, d, []))
+            elif unaligned:
+                pairs = [(a + i, j) for i, j in align(text[a:b], template)]
+                if len(pairs) >= need:
+                    heapq.heappush(waiting, (-len(pairs), 0, a, b, pairs))
+            else:
+                yield pairs
+                bisect.insort(taken, (pairs[0][0], pairs[-1][0] + 1))
 
     def scan(self, text: str | None, prepared: dict[str, list[str]]) -> tuple[str | None, float, int, int, int]:
         """(license, coverage, matched words, first word, word after the last) of the best template."""
@@ -145,11 +174,9 @@ class Scanner:
             distinct = set(template)
             if len(distinct & present) < self.min_coverage * len(template) - (len(template) - len(distinct)):
                 continue
-            for a, b in self._stretches(words, template):
-                pairs = align(words[a:b], template)
-                coverage = len(pairs) / len(template)
-                if coverage >= self.min_coverage and len(pairs) > found[2]:
-                    found = (name, round(coverage, 6), len(pairs), a + pairs[0][0], a + pairs[-1][0] + 1)
+            pairs = next(self._places(words, template), [])
+            if len(pairs) > found[2]:
+                found = (name, round(len(pairs) / len(template), 6), len(pairs), pairs[0][0], pairs[-1][0] + 1)
         return found
 
 

@@ -149,6 +149,23 @@ def test_license_scan(spark):
     assert licenses.scan_licenses(empty_documents(spark)).count() == 0 and licenses.scan_licenses(odd_documents(spark)).count() == len(ODD) + 2
 
 
+def test_license_scan_takes_the_best_window():
+    scanner = licenses.Scanner()
+    prepared = scanner.words_of()
+    plain = {k: " ".join(v) for k, v in prepared.items()}
+    texts = ["MIT License. Released under the MIT License.", "Apache License, Version 2.0. Licensed under the Apache License, Version 2.0."]
+    texts += [f"{k} license the of. {head} {v} {tail}" for k, v in plain.items() for head, tail in (("the work is under this license:", "the license under"), (v[len(v) // 2 :], v[: len(v) // 3]))]
+    for text in texts:
+        words = licenses.WORD.findall(text.lower())
+        best = 0
+        for name, template in prepared.items():
+            span = scanner.stretch * len(template)
+            matched = max(len(licenses.align(words[max(0, end - span) : end], template)) for end in range(1, len(words) + 1))
+            best = max(best, matched if matched / len(template) >= scanner.min_coverage else 0)
+        assert scanner.scan(text, prepared)[2] >= best > 0, text
+    assert [scanner.scan(t, prepared)[:2] for t in texts[:2]] == [("mit", 1.0), ("apache-2.0", 1.0)]
+
+
 def test_op10_finds_every_license_line(spark):
     lines = [licenses.TEMPLATES[k] for k in ("apache-2.0", "gpl-3.0", "mit", "cc-by-nc-4.0", "all-rights-reserved")]
     docs = documents(spark)
