@@ -10,14 +10,19 @@ holds fewer is settled by a count. A template is sought in every stretch of the
 stand close together, found by a sliding count, so that a license in a long text is aligned with its
 surroundings and not with the whole text. The best alignment over all these windows counts.
 
-Defined results: a null or empty text has no license: ``license`` is null and ``coverage`` 0. Of the
-templates that reach ``min_coverage`` the one with most matched words is reported, then the first by
-name; of equal places the first. Repeated rows are scanned each.
+The words that identify a license (name, version, NC or SA) must be among the matched ones, side by
+side as in the template, so that likeness of the rest doesn't name a license.
+
+Defined results: a null or empty text has no license: ``license`` is null, ``coverage`` 0 and
+``licenses`` empty. All places that reach ``min_coverage`` are listed, those with most matched words
+first, then by name and place; a place whose identifying words all belong to a better one is left
+out. ``license`` is the first of them. Repeated rows are scanned each.
 """
 
 from __future__ import annotations
 
 import bisect
+import functools
 import heapq
 import re
 from collections import Counter
@@ -30,23 +35,27 @@ from pyspark.sql import functions as F
 
 WORD = re.compile(r"[a-z0-9]+(?:[.\-'][a-z0-9]+)*")
 
-# Statements of well-known licenses.
-TEMPLATES = {
-    "all-rights-reserved": "All rights reserved.",
-    "apache-2.0": "Licensed under the Apache License, Version 2.0.",
+# Statements of well-known licenses. Phrases in brackets identify the license.
+MARKED = {
+    "all-rights-reserved": "[All rights reserved].",
+    "apache-2.0": "Licensed under the [Apache License, Version 2.0].",
     "apache-2.0-notice": (
-        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. "
+        "Licensed under the [Apache License, Version 2.0] (the \"License\"); you may not use this file except in compliance with the License. "
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
     "bsd": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+        "[Redistribution and use in source and binary forms], with or without modification, are permitted provided that the following "
         "conditions are met"),
-    "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
-    "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "mit": "Released under the MIT License.",
+    "cc-by-nc-4.0": "Licensed under [CC BY-NC 4.0].",
+    "gpl-3.0": "This work is licensed under the [GNU General Public License, version 3].",
+    "mit": "Released under the [MIT License].",
     "mit-permission": (
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, "
-        "to deal in the Software without restriction"),
+        "[Permission is hereby granted], free of charge, to any person obtaining a copy of this software and associated documentation files, "
+        "to [deal in the Software without restriction]"),
 }
+TEMPLATES = {name: re.sub(r"[][]", "", text) for name, text in MARKED.items()}
+MARKS = {name: tuple(re.findall(r"\[(.*?)\]", text, re.DOTALL)) for name, text in MARKED.items()}
+
+Found = tuple[str | None, float, int, int, int]
 
 
 def longest_increasing(values: Sequence[int]) -> list[int]:
@@ -98,15 +107,27 @@ def align(text: Sequence[str], template: Sequence[str]) -> list[tuple[int, int]]
 @dataclass(frozen=True)
 class Scanner:
     """``min_coverage``: least share of a template's words to report it; ``stretch``: words of text
-    looked at for each word of the template."""
+    looked at for each word of the template; ``marks``: phrases of a template that must be matched,
+    each to words of the text that follow each other."""
 
     templates: dict[str, str] = field(default_factory=lambda: dict(TEMPLATES))
+    marks: dict[str, tuple[str, ...]] = field(default_factory=lambda: dict(MARKS))
     min_coverage: float = 0.8
     stretch: int = 2
 
     def words_of(self) -> dict[str, list[str]]:
         return {name: WORD.findall(text.lower()) for name, text in sorted(self.templates.items())}
 
+    @functools.cached_property
+    def _phrases(self) -> dict[str, list[tuple[int, int]]]:
+        """Where the marks of each template stand in its words."""
+        out: dict[str, list[tuple[int, int]]] = {}
+        for name, template in self.words_of().items():
+            phrases = [WORD.findall(m.lower()) for m in self.marks.get(name, ())]
+            at = [(next((i for i in range(len(template)) if template[i : i + len(p)] == p), -1), len(p)) for p in phrases]
+            out[name] = [(i, i + n) for i, n in at if i >= 0]
+        return out
+
     def _need(self, template: list[str]) -> int:
         """The least matched words that reach ``min_coverage``."""
         return next((n for n in range(len(template) + 1) if n / len(template) >= self.min_coverage), len(template) + 1)
@@ -133,9 +154,11 @@ class Scanner:
             if common >= need:
                 yield common, places[start], at + 1
 
-    def _places(self, text: list[str], template: list[str]) -> Iterator[list[tuple[int, int]]]:
+    def _places(self, text: list[str], template: list[str], phrases: Sequence[tuple[int, int]] = ()) -> Iterator[list[tuple[int, int]]]:
         """The matched words of each place of the template, the best first; places don't overlap.
 
+        Only alignments that match the ``phrases`` of the template count.
+
         Windows wait in order of the words that they have in common with the template, which no
         alignment exceeds, so that one is aligned only if it can still be the best. What a place
         leaves of the windows over it is looked at again.
@@ -157,38 +180,68 @@ class Scanner:
                             heapq.heappush(waiting, (-common, 1, c, d, []))
             elif unaligned:
                 pairs = [(a + i, j) for i, j in align(text[a:b], template)]
-                if len(pairs) >= need:
+                if len(pairs) >= need and _hold(pairs, phrases):
                     heapq.heappush(waiting, (-len(pairs), 0, a, b, pairs))
             else:
                 yield pairs
                 bisect.insort(taken, (pairs[0][0], pairs[-1][0] + 1))
 
-    def scan(self, text: str | None, prepared: dict[str, list[str]]) -> tuple[str | None, float, int, int, int]:
-        """(license, coverage, matched words, first word, word after the last) of the best template."""
-        found: tuple[str | None, float, int, int, int] = (None, 0.0, 0, 0, 0)
-        if not text:
-            return found
-        words = WORD.findall(text.lower())
-        present = set(words)
+    def scan_all(self, text: str | None, prepared: dict[str, list[str]]) -> list[Found]:
+        """(license, coverage, matched words, first word, word after the last) of every license, best first.
+
+        A place whose identifying words are all matched by a better one is part of that.
+        """
+        words = WORD.findall(text.lower()) if text else []
+        if not words:
+            return []
+        present, line = set(words), f" {' '.join(words)} "
+        places: list[tuple[int, str, int, list[tuple[int, int]]]] = []
         for name, template in prepared.items():
+            phrases = self._phrases[name]
+            if not all(f" {' '.join(template[c:d])} " in line for c, d in phrases):
+                continue
             distinct = set(template)
-            if len(distinct & present) < self.min_coverage * len(template) - (len(template) - len(distinct)):
+            if len(distinct & present) < self._need(template) - (len(template) - len(distinct)):
+                continue
+            places += [(-len(pairs), name, pairs[0][0], pairs) for pairs in self._places(words, template, phrases)]
+        out: list[Found] = []
+        claimed: set[int] = set()
+        for _, name, first, pairs in sorted(places):
+            marks = self._phrases[name]
+            own = {i for i, j in pairs if not marks or any(c <= j < d for c, d in marks)}
+            if own <= claimed:
                 continue
-            pairs = next(self._places(words, template), [])
-            if len(pairs) > found[2]:
-                found = (name, round(len(pairs) / len(template), 6), len(pairs), pairs[0][0], pairs[-1][0] + 1)
-        return found
+            claimed.update(i for i, _ in pairs)
+            out.append((name, round(len(pairs) / len(prepared[name]), 6), len(pairs), first, pairs[-1][0] + 1))
+        return out
+
+    def scan(self, text: str | None, prepared: dict[str, list[str]]) -> Found:
+        """The best license of a text."""
+        return next(iter(self.scan_all(text, prepared)), (None, 0.0, 0, 0, 0))
+
+
+def _hold(pairs: list[tuple[int, int]], phrases: Sequence[tuple[int, int]]) -> bool:
+    """Whether each phrase of the template is matched to words that follow each other."""
+    at = {j: i for i, j in pairs} if phrases else {}
+    return all(c in at and all(at.get(j) == at[c] + j - c for j in range(c, d)) for c, d in phrases)
 
 
 def scan_licenses(docs: DataFrame, scanner: Scanner = Scanner(), text: str = "text") -> DataFrame:
-    """``docs`` with ``license``, ``coverage``, ``matched_words`` and the span of words it stands in."""
+    """``docs`` with ``license``, ``coverage``, ``matched_words`` and the span of words of the best
+    license, and ``licenses``, all of them with the same fields."""
     fields = ("license", "coverage", "matched_words", "first_word", "end_word")
+    kinds = "license string, coverage double, matched_words int, first_word int, end_word int"
 
-    @F.pandas_udf("license string, coverage double, matched_words int, first_word int, end_word int")
+    @F.pandas_udf(f"{kinds}, licenses array<struct<{kinds.replace(' ', ':').replace(',:', ',')}>>")
     def scan(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         prepared = scanner.words_of()
         for part in texts:
-            yield pd.DataFrame([scanner.scan(t, prepared) for t in part], columns=list(fields))
+            rows = []
+            for t in part:
+                found = scanner.scan_all(t, prepared)
+                best = found[0] if found else (None, 0.0, 0, 0, 0)
+                rows.append((*best, [dict(zip(fields, one, strict=True)) for one in found]))
+            yield pd.DataFrame(rows, columns=[*fields, "licenses"])
 
     out = docs.withColumn("_license", scan(docs[text]))
-    return out.withColumns({f: F.col(f"_license.{f}") for f in fields}).drop("_license")
+    return out.withColumns({f: F.col(f"_license.{f}") for f in (*fields, "licenses")}).drop("_license")

@@ -151,7 +151,7 @@ def test_license_scan(spark):
 
 def test_license_scan_takes_the_best_window():
     scanner = licenses.Scanner()
-    prepared = scanner.words_of()
+    prepared = {k: v for k, v in scanner.words_of().items() if len(v) <= 20}
     plain = {k: " ".join(v) for k, v in prepared.items()}
     texts = ["MIT License. Released under the MIT License.", "Apache License, Version 2.0. Licensed under the Apache License, Version 2.0."]
     texts += [f"{k} license the of. {head} {v} {tail}" for k, v in plain.items() for head, tail in (("the work is under this license:", "the license under"), (v[len(v) // 2 :], v[: len(v) // 3]))]
@@ -166,6 +166,23 @@ def test_license_scan_takes_the_best_window():
     assert [scanner.scan(t, prepared)[:2] for t in texts[:2]] == [("mit", 1.0), ("apache-2.0", 1.0)]
 
 
+def test_license_scan_asks_for_the_identifying_words(spark):
+    texts = [
+        "Licensed under CC BY 4.0.", "Licensed under CC BY-SA 4.0.", "Released under the BSD License.", "Licensed under the Apache License, Version 1.1.",
+        "This work is licensed under the GNU General Public License, version 2.", "This work is licensed under the GNU Lesser General Public License, version 3.",
+        "Dual licensed under the MIT License and the Apache License, Version 2.0. " + "word " * 300 + "Released under the MIT License. All rights reserved.",
+        licenses.TEMPLATES["apache-2.0-notice"],
+    ]
+    wrong = {"cc-by-nc-4.0", "mit", "gpl-3.0", "apache-2.0"}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(docs).collect()}
+    assert not any(got[i]["license"] in wrong for i in range(6))
+    two = got[6]["licenses"]
+    assert [(x["license"], x["first_word"], x["end_word"]) for x in two] == [("apache-2.0", 1, 12), ("mit", 312, 317), ("mit", 2, 6), ("all-rights-reserved", 317, 320)]
+    assert tuple(two[0]) == tuple(got[6][f] for f in ("license", "coverage", "matched_words", "first_word", "end_word"))
+    assert [x["license"] for x in got[7]["licenses"]] == ["apache-2.0-notice"]
+
+
 def test_op10_finds_every_license_line(spark):
     lines = [licenses.TEMPLATES[k] for k in ("apache-2.0", "gpl-3.0", "mit", "cc-by-nc-4.0", "all-rights-reserved")]
     docs = documents(spark)
