@@ -24,6 +24,7 @@ from __future__ import annotations
 import bisect
 import functools
 import heapq
+import pkgutil
 import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
@@ -35,23 +36,21 @@ from pyspark.sql import functions as F
 
 WORD = re.compile(r"[a-z0-9]+(?:[.\-'][a-z0-9]+)*")
 
-# Statements of well-known licenses. Phrases in brackets identify the license.
-MARKED = {
-    "all-rights-reserved": "[All rights reserved].",
-    "apache-2.0": "Licensed under the [Apache License, Version 2.0].",
-    "apache-2.0-notice": (
-        "Licensed under the [Apache License, Version 2.0] (the \"License\"); you may not use this file except in compliance with the License. "
-        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
-    "bsd": (
-        "[Redistribution and use in source and binary forms], with or without modification, are permitted provided that the following "
-        "conditions are met"),
-    "cc-by-nc-4.0": "Licensed under [CC BY-NC 4.0].",
-    "gpl-3.0": "This work is licensed under the [GNU General Public License, version 3].",
-    "mit": "Released under the [MIT License].",
-    "mit-permission": (
-        "[Permission is hereby granted], free of charge, to any person obtaining a copy of this software and associated documentation files, "
-        "to [deal in the Software without restriction]"),
-}
+def read_templates(text: str) -> dict[str, str]:
+    """The templates of a file, brackets kept: ``== name`` starts one, ``#`` a line of comment."""
+    out: dict[str, list[str]] = {}
+    name = ""
+    for line in text.splitlines():
+        if line.startswith("== "):
+            name = line[3:].strip()
+            out[name] = []
+        elif name and not line.startswith("#"):
+            out[name].append(line)
+    return {name: "\n".join(lines).strip() for name, lines in out.items()}
+
+
+# Statements, notices and texts of well-known licenses. Phrases in brackets identify the license.
+MARKED = read_templates((pkgutil.get_data(__package__, "license_templates.txt") or b"").decode())
 TEMPLATES = {name: re.sub(r"[][]", "", text) for name, text in MARKED.items()}
 MARKS = {name: tuple(re.findall(r"\[(.*?)\]", text, re.DOTALL)) for name, text in MARKED.items()}
 
@@ -108,7 +107,7 @@ def align(text: Sequence[str], template: Sequence[str]) -> list[tuple[int, int]]
 class Scanner:
     """``min_coverage``: least share of a template's words to report it; ``stretch``: words of text
     looked at for each word of the template; ``marks``: phrases of a template that must be matched,
-    each to words of the text that follow each other."""
+    each to words of the text that follow each other. What follows ``#`` in a name isn't reported."""
 
     templates: dict[str, str] = field(default_factory=lambda: dict(TEMPLATES))
     marks: dict[str, tuple[str, ...]] = field(default_factory=lambda: dict(MARKS))
@@ -195,7 +194,7 @@ class Scanner:
         if not words:
             return []
         present, line = set(words), f" {' '.join(words)} "
-        places: list[tuple[int, str, int, list[tuple[int, int]]]] = []
+        places: list[tuple[int, str, int, str, list[tuple[int, int]]]] = []
         for name, template in prepared.items():
             phrases = self._phrases[name]
             if not all(f" {' '.join(template[c:d])} " in line for c, d in phrases):
@@ -203,16 +202,16 @@ class Scanner:
             distinct = set(template)
             if len(distinct & present) < self._need(template) - (len(template) - len(distinct)):
                 continue
-            places += [(-len(pairs), name, pairs[0][0], pairs) for pairs in self._places(words, template, phrases)]
+            places += [(-len(pairs), name.partition("#")[0], pairs[0][0], name, pairs) for pairs in self._places(words, template, phrases)]
         out: list[Found] = []
         claimed: set[int] = set()
-        for _, name, first, pairs in sorted(places):
+        for _, license_, first, name, pairs in sorted(places):
             marks = self._phrases[name]
             own = {i for i, j in pairs if not marks or any(c <= j < d for c, d in marks)}
             if own <= claimed:
                 continue
             claimed.update(i for i, _ in pairs)
-            out.append((name, round(len(pairs) / len(prepared[name]), 6), len(pairs), first, pairs[-1][0] + 1))
+            out.append((license_, round(len(pairs) / len(prepared[name]), 6), len(pairs), first, pairs[-1][0] + 1))
         return out
 
     def scan(self, text: str | None, prepared: dict[str, list[str]]) -> Found:

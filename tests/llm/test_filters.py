@@ -178,11 +178,43 @@ def test_license_scan_asks_for_the_identifying_words(spark):
     got = {r["doc_id"]: r for r in licenses.scan_licenses(docs).collect()}
     assert not any(got[i]["license"] in wrong for i in range(6))
     two = got[6]["licenses"]
-    assert [(x["license"], x["first_word"], x["end_word"]) for x in two] == [("apache-2.0", 1, 12), ("mit", 312, 317), ("mit", 2, 6), ("all-rights-reserved", 317, 320)]
+    assert [(x["license"], x["first_word"], x["end_word"]) for x in two] == [("apache-2.0", 1, 12), ("mit", 1, 6), ("mit", 312, 317), ("all-rights-reserved", 317, 320)]
     assert tuple(two[0]) == tuple(got[6][f] for f in ("license", "coverage", "matched_words", "first_word", "end_word"))
     assert [x["license"] for x in got[7]["licenses"]] == ["apache-2.0-notice"]
 
 
+DISCLAIMER = """THIS SOFTWARE IS PROVIDED BY THE REGENTS AND CONTRIBUTORS ``AS IS'' AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO,
+THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE REGENTS OR CONTRIBUTORS BE LIABLE FOR
+ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES;
+LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT
+(INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation
+and/or other materials provided with the distribution. """
+GPL = """# Frob is free software: you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by
+# the Free Software Foundation, either version {} of the License, or (at your option) any later version.
+# Frob is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {}General Public License for more details."""
+
+
+@pytest.mark.parametrize(("text", "name"), [
+    (BSD + DISCLAIMER, "bsd-2-clause"),
+    (BSD + "3. Neither the name of the University nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. " + DISCLAIMER, "bsd-3-clause"),
+    (GPL.format("", "3", ""), "gpl-3.0-notice"), (GPL.format("", "2", ""), "gpl-2.0-notice"), (GPL.format("Lesser ", "3", "Lesser "), "lgpl-3.0-notice"),
+    (GPL.format("Lesser ", "2.1", "Lesser "), "lgpl-2.1-notice"), (GPL.format("Affero ", "3", "Affero "), "agpl-3.0-notice"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, you can get one at http://mozilla.org/MPL/2.0/.", "mpl-2.0"),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND ISC DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL ISC BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.", "isc"),
+    ("The text is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "cc-by-sa-4.0"), ("Released under CC BY 4.0.", "cc-by-4.0"),
+    ("To the extent possible under law, Jo Doe has waived all copyright and related or neighboring rights to this work.", "cc0-1.0"),
+])
+def test_license_scan_of_common_wordings(text, name):
+    scanner = licenses.Scanner()
+    prepared = scanner.words_of()
+    for body in (text, "intro " * 400 + text + " more" * 400):
+        assert [x[0] for x in scanner.scan_all(body, prepared)] == [name]
+
+
 def test_op10_finds_every_license_line(spark):
     lines = [licenses.TEMPLATES[k] for k in ("apache-2.0", "gpl-3.0", "mit", "cc-by-nc-4.0", "all-rights-reserved")]
     docs = documents(spark)
