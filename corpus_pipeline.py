@@ -24,9 +24,16 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least doc_id, of each class of near-copies."""
-    found = minmax.near_duplicates(docs).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_semi").select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+    """One row, that of the least doc_id, of each class of near-copies.
+
+    Rows are told apart by a number of their own, saved with them so that retries agree; rows that
+    repeat a doc_id and rows without one, which come last, are compared like all others.
+    """
+    rows = cut_lineage(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    found = minmax.near_duplicates(rows, doc_id="_row").select(F.col("doc_id").alias("_row"), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("_lost"), "doc_id", "_row")).alias("_first")
+    kept = rows.select("_row", "doc_id").join(found, "_row").groupBy("component_id").agg(first).select("_first._row")
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

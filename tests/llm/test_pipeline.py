@@ -38,3 +38,11 @@ def test_stages_on_odd_and_empty_tables(spark):
     for docs in (odd_documents(spark), empty_documents(spark)):
         for _, stage in corpus_pipeline.STAGES:
             stage(spark, docs.select("doc_id", "text", "lang", "source", "n_chars"), SF).collect()
+
+
+def test_near_copies_of_repeated_rows_and_null_ids(spark):
+    a, b, c, d = (" ".join(f"{k}{i}" for i in range(60)) for k in "abcd")
+    rows = [(3, a), (1, a), (1, a), (None, a), (None, a + " more"), (None, b), (None, b), (5, c), (5, d), (5, d)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = corpus_pipeline.drop_near_copies(spark, docs, SF).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(1, a), (None, b), (5, c), (5, d)], key=str)
