@@ -22,18 +22,17 @@ each other and are each other's next. Other columns are dropped.
 
 from __future__ import annotations
 
-import functools
 import math
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.quality import BLANK
 from ledgerloom.session import cut_lineage
 
-SAMPLES = 32
-QUANTILES = 2048
+#: Largest standard error of a likeness, and the samples that it takes: the share of n equal samples has at most 1 / (2 sqrt n).
+ERROR = 0.0885
+SAMPLES = math.ceil(1 / (4 * ERROR**2))
 #: Consecutive doc_ids that are dealt together, and groups that are ordered together.
 GROUP, SUPER = 64, 1024
 
@@ -45,34 +44,26 @@ def weighted_terms(texts: DataFrame, keys: list[str], text: str = "text") -> Dat
     return counted.select(*keys, "term", F.ln(F.col("_n").cast("double")).alias("log_weight"))
 
 
-@functools.lru_cache(maxsize=1)
-def gamma_quantiles() -> list[float]:
-    """The middle quantiles of Gamma(2, 1), whose distribution is 1 - (1 + x) exp(-x)."""
-    p = (np.arange(QUANTILES) + 0.5) / QUANTILES
-    low, high = np.zeros(QUANTILES), np.full(QUANTILES, 64.0)
-    for _ in range(64):
-        x = (low + high) / 2
-        below = 1 - (1 + x) * np.exp(-x) < p
-        low, high = np.where(below, x, low), np.where(below, high, x)
-    return ((low + high) / 2).tolist()
+def uniforms(bits: Column) -> tuple[Column, Column]:
+    """Two draws from (0, 1), of 32 bits each, of a 64-bit hash."""
+    draw = lambda x: (x.cast("double") + F.lit(0.5)) * F.lit(2.0**-32)
+    return draw(F.shiftrightunsigned(bits, 32)), draw(bits.bitwiseAND(F.lit(0xFFFFFFFF)))
 
 
-def _constants(values: list[float]) -> Column:
-    return F.expr("array(" + ",".join(f"{v!r}D" for v in values) + ")")
+def gamma(bits: Column) -> Column:
+    """A draw from Gamma(2, 1), which is -ln of the product of two uniform ones."""
+    one, two = uniforms(bits)
+    return -F.ln(one * two)
 
 
 def log_a(term: Column, log_weight: Column, j: Column) -> Column:
     """``ln a`` of a term with the logarithm of its weight, for sample j.
 
-    One 64-bit hash gives 11 bits for each of r and c, which are drawn from the table of quantiles,
-    and 32 for beta.
+    r, c and beta are drawn from a 64-bit hash each.
     """
-    quantiles = gamma_quantiles()
-    bits = F.xxhash64(term, j)
-    pick = lambda shift: F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit(QUANTILES - 1)).cast("int")
-    r = F.get(_constants(quantiles), pick(32))
-    beta = bits.bitwiseAND(F.lit(0xFFFFFFFF)).cast("double") * F.lit(2.0**-32)
-    return F.get(_constants([math.log(v) for v in quantiles]), pick(48)) - r * (F.floor(log_weight / r + beta).cast("double") - beta + 1)
+    r, c = gamma(F.xxhash64(term, j)), gamma(F.xxhash64(term, j, F.lit(1)))
+    beta = uniforms(F.xxhash64(term, j, F.lit(2)))[1]
+    return F.ln(c) - r * (F.floor(log_weight / r + beta).cast("double") - beta + 1)
 
 
 def signatures(terms: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:

@@ -265,6 +265,18 @@ def test_collision_rate_is_the_generalised_jaccard(spark):
         assert abs(np.mean(np.array(got[2 * i]) == np.array(got[2 * i + 1])) - jaccard(a, b)) < 0.05
 
 
+@pytest.mark.parametrize("n", [15_000, 300_000])
+def test_collision_rate_of_long_texts(spark, n):
+    """Texts of n terms, of which 58 % are shared, of weights 1 to 3."""
+    weight = lambda by: F.ln((1 + F.col("id") % by).cast("double")).alias("log_weight")
+    ids = [spark.range(0, n, 1, 8).select(F.lit(0).alias("key"), "id", weight(2)), spark.range(42 * n // 100, 142 * n // 100, 1, 8).select(F.lit(1).alias("key"), "id", weight(3))]
+    terms = ids[0].union(ids[1]).select("key", F.xxhash64("id").alias("term"), "log_weight")
+    x, y = (Counter({i: 1 + i % by for i in span}) for by, span in ((2, range(n)), (3, range(42 * n // 100, 142 * n // 100))))
+    true = sum((x & y).values()) / sum((x | y).values())
+    got = {r["key"]: np.array(r["signature"]) for r in fingerprints.signatures(terms, ["key"], samples=2000).collect()}
+    assert abs((got[0] == got[1]).mean() - true) < 0.03
+
+
 def test_fingerprints_of_odd_rows(spark):
     rows = [(i * 5000, t) for i, t in enumerate(ODD)] + [(-3, "negative id"), (64, "a b"), (64, "a b"), (65, "c d")]
     docs = spark.createDataFrame([*rows, (None, "lost words here")], "doc_id long, text string").withColumn("n_chars", F.lit("clash"))
