@@ -88,34 +88,45 @@ def _compute(joined: DataFrame) -> DataFrame:
     )
 
 
-def evaluate(nodes: DataFrame, derivations: DataFrame, levels: int) -> DataFrame:
-    """``(id, level, operation, value, problem)`` of every derivation, level 1 first.
+def _levels(derivations: DataFrame) -> list[int]:
+    """The levels that occur, ascending."""
+    return sorted(r["level"] for r in derivations.filter("level IS NOT NULL").select("level").distinct().collect())
 
-    A derivation with a problem feeds none above it. ``levels`` is the declared depth.
+
+def evaluate(nodes: DataFrame, derivations: DataFrame, levels: int | None = None) -> DataFrame:
+    """``(id, level, operation, value, problem)`` of every derivation, the lowest level first.
+
+    A derivation with a problem feeds none above it; one without a level is a problem itself. Every
+    level that occurs is evaluated, also above ``levels``, the declared depth.
     """
     known = nodes.select("id", F.col("value").cast(MONEY).alias("value"))
-    out = None
-    for level in range(1, levels + 1):
+    out = derivations.filter("level IS NULL").select(
+        "id", F.lit(None).cast("int").alias("level"), "operation", F.lit(None).cast(MONEY).alias("value"), F.lit("no level").alias("problem"))
+    depths = _levels(derivations)
+    for level in depths:
         here = derivations.filter(F.col("level") == level)
         inputs = here.select(
             "id", "operation", F.size("inputs").alias("input_count"), F.posexplode_outer("inputs").alias("_place", "_input")
         )
         values = known.select(F.col("id").alias("_input"), "value")
         done = _compute(inputs.join(values, "_input", "left")).withColumn("level", F.lit(level))
-        if level < levels:
+        if level < depths[-1]:
             done = cut_lineage(done, "level")  # read by the result and by every level above
-        out = done if out is None else out.unionByName(done)
+        out = out.unionByName(done)
         known = known.unionByName(done.filter(F.col("problem").isNull()).select("id", "value"))
     return out.select("id", "level", "operation", "value", "problem")
 
 
-def leaves(derivations: DataFrame, node_facts: DataFrame, levels: int) -> DataFrame:
-    """``(id, fact_id)``: the served facts every derivation rests on, through all levels."""
+def leaves(derivations: DataFrame, node_facts: DataFrame, levels: int | None = None) -> DataFrame:
+    """``(id, fact_id)``: the served facts every derivation rests on, through all levels that occur."""
     known = node_facts.select("id", "fact_id")
-    out = None
-    for level in range(1, levels + 1):
+    out = known.limit(0)
+    depths = _levels(derivations)
+    for level in depths:
         edges = derivations.filter(F.col("level") == level).select("id", F.explode("inputs").alias("_input"))
         reached = edges.join(known.select(F.col("id").alias("_input"), "fact_id"), "_input").select("id", "fact_id").distinct()
-        out = reached if out is None else out.unionByName(reached)
+        if level < depths[-1]:
+            reached = cut_lineage(reached, "leaves")
+        out = out.unionByName(reached)
         known = known.unionByName(reached)
     return out

@@ -1,9 +1,8 @@
 """Lineage of facts: one row per reading, nested records for publication, and lookups by fact id.
 
 The flat table (one row per reading and fact) is the working form; any number of readings per fact
-is fine there. Nested records are cut into parts of about ``part_size`` readings: a fact of usual
-size is one record, a fact with a very large number of readings becomes several, each built by its
-own task, and no reading is lost.
+is fine there. A nested record holds all readings of its fact, however many; only a caller that asks
+for parts of ``part_size`` readings gets several rows of one fact.
 """
 
 from __future__ import annotations
@@ -80,13 +79,13 @@ def source_struct() -> Column:
     )
 
 
-def nested_sources(sources: DataFrame, part_size: int = 1000) -> DataFrame:
+def nested_sources(sources: DataFrame, part_size: int | None = None) -> DataFrame:
     """``(fact_id, part, parts, sources_seen, …buckets, rejected_sources)`` in arrival order.
 
-    Readings spread over ``ceil(readings / part_size)`` parts by a hash of their ordinal, so no
-    array grows with a hot fact.
+    One row per fact, or with ``part_size`` the readings spread over ``ceil(readings / part_size)``
+    parts by a hash of their ordinal.
     """
-    parts = F.ceil(F.col("readings") / part_size).cast("int")
+    parts = F.lit(1) if part_size is None else F.ceil(F.col("readings") / part_size).cast("int")
     placed = sources.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("seq"), F.col("parts")).cast("int"))
     entry = F.struct("seq", source_struct().alias("s"), *BUCKETS.values(), "rejected")
     grouped = placed.groupBy("fact_id", "part", "parts").agg(F.array_sort(F.collect_list(entry)).alias("_all"))

@@ -168,6 +168,16 @@ def test_derivation_problems(spark):
                    "n": (None, "needs one input"), "t": (0, None), "v": (None, "unknown input")}
 
 
+def test_derivations_above_the_declared_depth(spark):
+    nodes = spark.createDataFrame([("a", Decimal(10)), ("b", Decimal(3))], "id string, value decimal(28,12)")
+    ds = [("s", 1, "sum", ["a", "b"]), ("t", 2, "difference", ["s", "a"]), ("u", 3, "sum", ["t", "s"]), ("w", 7, "sum", ["u", "a"]), ("x", 7, "sum", ["w"]), ("y", None, "sum", ["a"])]
+    rows = spark.createDataFrame(ds, "id string, level int, operation string, inputs array<string>")
+    got = {r["id"]: (None if r["value"] is None else int(r["value"]), r["problem"]) for r in derive.evaluate(nodes, rows, 2).collect()}
+    assert got == {"s": (13, None), "t": (3, None), "u": (16, None), "w": (26, None), "x": (None, "unknown input"), "y": (None, "no level")}
+    found = {(r["id"], r["fact_id"]) for r in derive.leaves(rows, nodes.select("id", F.col("id").alias("fact_id")), 2).collect()}
+    assert found == {(i, f) for i in "stuw" for f in "ab"}
+
+
 def test_text_audits(spark):
     docs = spark.createDataFrame([("s", 1, 'In 2018-19 it was 94,004, then 94004. Rose 1.5% v2 to 300,000, and 7.'), ("s", 2, 'FY 2019-20.')], "section_id string, doc_id int, text string")
     figures = spark.createDataFrame([("s", Decimal("94004.0")), ("s", Decimal(300000))], "section_id string, value decimal(28,12)")

@@ -160,3 +160,13 @@ def test_lineage_in_parts_loses_no_reading(spark, flagged):
     total = "sum(size(sources_seen)) AS n, sum(size(coverage_absent)) AS a, sum(size(rejected_sources)) AS r"
     assert whole.selectExpr(*total.split(", ")).first() == parts.selectExpr(*total.split(", ")).first()
     assert parts.filter("parts > 1").count() > 0
+
+
+def test_a_fact_of_many_readings_is_one_record(spark, flagged):
+    rows = lineage.source_rows(flagged)
+    many = rows.withColumn("readings", F.lit(2500)).withColumn("seq", F.explode(F.transform(F.sequence(F.lit(1), F.lit(2500)), lambda i: i + 10000 * F.col("seq"))))
+    nested = lineage.nested_sources(many)
+    n = rows.groupBy("fact_id").count()
+    assert nested.count() == n.count() == nested.select("fact_id").distinct().count()
+    assert nested.join(n, "fact_id").filter("size(sources_seen) <> 2500 * count").count() == 0
+    assert nested.selectExpr("sum(size(rejected_sources))").first()[0] == 2500 * rows.filter("rejected").count()
