@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, fingerprints, licenses, minmax, packing, quality, reputation, token_counts, token_store, toxicity
+from ledgerloom.llm import bpe, centroids, fingerprints, licenses, minmax, packing, prefix_trie, quality, reputation, shuffle, token_counts, token_store, toxicity
 from ledgerloom.llm.units import library_ids
 from ledgerloom.session import scratch_path
 
@@ -100,8 +100,22 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op11_shard_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shuffle.shard_documents(table(spark, sf_dir, "documents"))
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_byte_bpe, op2_toxicity, op3_quality_rules, op4_token_files, op5_best_fit_packing, op6_token_counts, op7_minmax_dedup, op8_url_filter, op9_fingerprints, op10_license_scan)
+    for f in (op1_byte_bpe, op2_toxicity, op3_quality_rules, op4_token_files, op5_best_fit_packing, op6_token_counts, op7_minmax_dedup, op8_url_filter, op9_fingerprints, op10_license_scan,
+              op11_shard_shuffle, op12_centroid_clusters, op13_prefix_trie)
 }
-ORACLES: dict[str, str] = {"op3_quality_rules": quality.quality_sql(), "op8_url_filter": reputation.judge_sql(URL_RULES)}
+ORACLES: dict[str, str] = {"op3_quality_rules": quality.quality_sql(), "op8_url_filter": reputation.judge_sql(URL_RULES),
+                           "op12_centroid_clusters": centroids.cluster_sql(), "op13_prefix_trie": prefix_trie.trie_sql()}
