@@ -161,7 +161,7 @@ def block_nodes(rows: pa.Table, edges: pa.Table, chunk_ids: int) -> pa.Table:
     all_chars = np.concatenate(([0], np.cumsum(whole)))
     new_chars = np.concatenate(([0], np.cumsum(whole - upto(np.arange(n), np.maximum(lcp[:-1], 0)))))
     above = upto(a, np.maximum(depth - 1, 0))
-    first_new = np.where(starts_here, whole[a] - above, whole[a] - upto(a, np.maximum(lcp[0], 0)))
+    first_new = np.where(starts_here, whole[a] - above, whole[a] - upto(0, max(lcp[0], 0)))
     saved = all_chars[b + 1] - all_chars[a] - members * above - (new_chars[b + 1] - new_chars[a + 1]) - first_new
 
     # Rows with equal turns; the end members of a prefix are those at its head that have no more turns.
