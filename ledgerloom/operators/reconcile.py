@@ -4,9 +4,9 @@
 ``decide`` folds the marked readings into one row per key. All windows and the final aggregation
 partition by the same key columns, so the cascade costs one exchange.
 
-Windows hold the readings of a key in one task, which is right for facts with a handful of
-publishers. ``wide.flag_any`` counts the readings of each key first and sends keys with very many of
-them through aggregates and joins instead.
+Windows hold the readings of a key in one task and compare each with all others, which is right for
+facts with a handful of publishers. ``wide.flag_any`` counts the readings of each key first and sends
+keys with more of them through aggregates and joins instead.
 """
 
 from __future__ import annotations

@@ -1,34 +1,36 @@
-"""Reconciliation of keys with very many readings, by aggregation and joins instead of windows.
+"""Reconciliation of keys with many readings, by aggregation and joins instead of windows.
 
 One fact may hold a large share of all rows. Its readings are never brought into one task: what a
-step needs to know about a key is a mergeable aggregate (partial on the map side), and is joined
-back to the readings on (key, salt), the readings of a key being spread over ``SALTS`` salts.
-Between the steps the readings are written to the shared folder, so a lost executor replays one
-step. The flags are those of ``reconcile.flag_readings``.
+step needs to know about a key is an aggregate with partial sums on the map side, and is joined back
+to the readings by a name of the key, a skewed join that adaptive execution splits. The readings and
+what is known of each key are saved in the shared folder, so a lost executor replays one step. The
+flags are those of ``reconcile.flag_readings``, which compares the few readings of a small key
+directly and costs one exchange for all of them.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.ids import KEY, key_text
-from ledgerloom.functions.numbers import SCALE_FACTORS, off_by_power_of_ten
+from ledgerloom.functions.ids import KEY
 from ledgerloom.operators import reconcile
-from ledgerloom.operators.reconcile import EDITION_RANK, PRIORITY, READING, WINNER, pair_agrees
+from ledgerloom.operators.reconcile import EDITION_RANK, PRIORITY, READING, WINNER
+from ledgerloom.operators.scale import find_anchors
 from ledgerloom.presets import CorpusPolicy
 from ledgerloom.session import cut_lineage
 
-SALTS = 64
-WIDE_FROM = 10_000
+#: Readings of a key up to which each is compared with all others of its key.
+WIDE_FROM = 64
 
 
 def flag_any(observations: DataFrame, policy: CorpusPolicy, wide_from: int = WIDE_FROM) -> DataFrame:
     """``flag_readings`` for observations of any shape: keys above ``wide_from`` readings go the wide way.
 
-    The sizes of the keys are counted first, over the key columns only.
+    The sizes of the keys are counted first, over the key columns only. Either way the work is linear in
+    the readings, as a reading of a smaller key has at most ``wide_from`` others to be compared with.
     """
     sizes = observations.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > wide_from)
     if sizes.isEmpty():
@@ -40,126 +42,37 @@ def flag_any(observations: DataFrame, policy: CorpusPolicy, wide_from: int = WID
     return narrow.unionByName(flag_wide_readings(rows.join(large, same, "left_semi"), policy))
 
 
-def _attach(rows: DataFrame, per_key: DataFrame) -> DataFrame:
-    """``rows`` with the columns of ``per_key``, which is repeated once per salt."""
-    salted = per_key.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.join(salted, ["_key", "_salt"], "left")
+def key_name() -> Column:
+    """One text for the canonical key; null differs from empty, and no two keys share a text."""
+    return F.concat(*[F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("-")) for c in KEY])
 
 
 def flag_wide_readings(observations: DataFrame, policy: CorpusPolicy) -> DataFrame:
-    columns = observations.columns
-    rows = cut_lineage(
-        observations.select(
-            "*",
-            F.expr(reconcile.metric_setting(policy, "tolerance_permille", "decimal(4,0)")).alias("_band"),
-            F.sha2(key_text(*[F.col(k) for k in KEY]), 256).alias("_key"),
-            F.pmod(F.xxhash64("seq", "source_id"), F.lit(SALTS)).cast("int").alias("_salt"),
-        ),
-        "wide",
-    )
+    """``flag_readings`` without a window; a key of any size is as good as another."""
+    band = F.expr(reconcile.metric_setting(policy, "tolerance_permille", "decimal(4,0)")).alias("_band")
+    rows = cut_lineage(observations.select("*", band, key_name().alias("_key")), "readings")
     # Zeros are absent exactly where the key has another value, so both candidates for the edition
     # come from one pass and the right one is picked afterwards.
     rank = EDITION_RANK.replace("NOT absent AND ", "")
-    first = rows.groupBy("_key").agg(
-        F.max(F.col("value") != 0).alias("_nonzero"),
-        F.expr(f"max_by({READING}, CASE WHEN value <> 0 THEN {rank} END)").alias("_edition_nonzero"),
-        F.expr(f"max_by({READING}, {rank})").alias("_edition_any"),
-    ).selectExpr("_key", "_nonzero", "CASE WHEN _nonzero THEN _edition_nonzero ELSE _edition_any END AS _edition")
-    rows = _attach(rows, first).selectExpr("*", "_nonzero AND value = 0 AS absent")
-    rows = rows.selectExpr("*", "NOT absent AND edition_span_end IS NOT NULL AND is_edition_terminal AS partial",
-                           f"{reconcile.SUPERSEDED} AS superseded")
-    rows = cut_lineage(
-        rows.selectExpr("*", "NOT absent AND NOT partial AND NOT superseded AS active").drop("_nonzero", "_edition"), "wide"
-    )
-
-    anchors = find_anchors(rows)
-    rows = _attach(rows, anchors).selectExpr("*", f"{reconcile.SCALE_ERROR} AS scale_error")
-    rows = cut_lineage(rows.selectExpr("*", "active AND NOT scale_error AS live").drop("_anchor"), "wide")
-
-    winners = rows.groupBy("_key").agg(
-        F.expr(f"min_by({WINNER}, CASE WHEN live THEN {PRIORITY} END)").alias("winner"),
-        F.expr("max(live OR partial)").alias("has_fact"), F.count(F.lit(1)).alias("readings"),
-    )
-    out = _attach(rows, winners).selectExpr("*", f"{reconcile.REJECTED} AS rejected")
-    return out.select(*columns, "absent", "partial", "superseded", "active", "scale_error", "live", "winner", "rejected",
-                      "has_fact", "readings")
-
-
-RATIO_BUCKET = "CAST(floor(ln(abs(CAST({0} AS double))) / ln(1.005D)) AS bigint) * 2 + CASE WHEN {0} < 0 THEN 1 ELSE 0 END"
-
-
-def _buckets(name: str, value: str, slack: int) -> str:
-    """SQL array of the ratio buckets of ``value`` and of those up to ``slack`` beside it."""
-    steps = ", ".join(f"concat('{name}', {RATIO_BUCKET.format(value)} + {2 * d})" for d in range(-slack, slack + 1))
-    return f"CASE WHEN {value} <> 0 THEN array({steps}) ELSE array() END"
-
-
-def find_anchors(rows: DataFrame) -> DataFrame:
-    """``(_key, _anchor)``: the first active reading that another publisher backs and some reading
-    misses by a power of ten.
-
-    Readings are reduced to distinct (value, step, source). Values fall into buckets half a percent
-    wide; what a bucket holds is one summary row (its least and greatest source). A reading whose
-    neighbouring buckets hold another source, and whose buckets ten, a hundred or a thousand times
-    away hold anything, is a candidate: no anchor fails this test. The first candidate of each key
-    is then checked exactly against all readings of the key, and the next one where it fails.
-    """
-    active = rows.filter("active")
-    span = active.groupBy("_key").agg(
-        F.min(F.when(F.col("value") != 0, F.abs("value"))).alias("_low"), F.max(F.abs("value")).alias("_high"),
-        F.min("source_id").alias("_a"), F.max("source_id").alias("_b"), F.max("rounding_epsilon").alias("_step"),
-    )
-    suspect = cut_lineage(span.filter("_high >= _low * 9BD AND _a <> _b").select("_key", "_step"), "suspect")
-    classes = (
-        _attach(active, suspect).filter("_step IS NOT NULL")
-        .groupBy("_key", "value", "rounding_epsilon", "source_id", "_band", "_step")
-        .agg(F.min("seq").alias("seq"))
-    )
-    # |a - b| <= step puts two values at most one linear bucket apart; one more covers rounding.
-    linear = "CAST(floor(CAST(value AS double) / CAST(_step AS double)) AS bigint)"
-    around = ", ".join(f"concat('s', {linear} + {d})" for d in range(-2, 3))
-    classes = cut_lineage(
-        classes.selectExpr(
-            "*",
-            f"concat(array(concat('e', value)), {_buckets('r', 'value', 0)}, CASE WHEN _step > 0 THEN array(concat('s', {linear})) ELSE array() END) AS _in",
-            f"""concat(array(concat('e', value)), CASE WHEN _band IS NOT NULL THEN {_buckets('r', 'value', 2)} ELSE array() END,
-              CASE WHEN _step > 0 THEN array({around}) ELSE array() END) AS _near""",
-            "concat(" + ", ".join(
-                _buckets("r", v, 2) for f in SCALE_FACTORS for v in (f"(value * {f}BD)", f"(value / {f}BD)")
-            ) + ") AS _far",
-        ),
-        "classes",
-    )
-    summary = cut_lineage(
-        classes.select("_key", "source_id", F.explode("_in").alias("_bucket")).groupBy("_key", "_bucket").agg(
-            F.min("source_id").alias("_a"), F.max("source_id").alias("_b")
-        ),
-        "buckets",
-    )
-    reading = ["_key", "seq", "value", "rounding_epsilon", "source_id"]
-    backed = (
-        classes.select(*reading, F.explode("_near").alias("_bucket")).join(summary, ["_key", "_bucket"])
-        .filter("_a <> source_id OR _b <> source_id").select(*reading).distinct()
-    )
-    missed = classes.select("_key", "seq", F.explode("_far").alias("_bucket")).join(
-        summary, ["_key", "_bucket"], "left_semi"
-    ).select("_key", "seq").distinct()
-    candidates = cut_lineage(backed.join(missed, ["_key", "seq"], "left_semi"), "candidates")
-
-    found = candidates.limit(0).selectExpr("_key", f"{READING} AS _anchor")
-    pending = active.join(suspect.select("_key"), "_key", "left_semi") if not candidates.isEmpty() else None
-    while not candidates.isEmpty():
-        picked = candidates.groupBy("_key").agg(F.min_by(F.struct("value", "rounding_epsilon", "seq", "source_id"), "seq").alias("_pick"))
-        exact = _attach(pending, picked).filter("_pick IS NOT NULL").groupBy("_key").agg(
-            F.any_value("_pick").alias("_pick"),
-            F.expr(f"max(_pick.source_id <> source_id AND {pair_agrees('_pick.', '')})").alias("_backed"),
-            F.expr(f"max(NOT {pair_agrees('', '_pick.')} AND {off_by_power_of_ten('value', '_pick.value')})").alias("_missed"),
-        )
-        checked = cut_lineage(exact, "checked")
-        good = checked.filter("_backed AND _missed").selectExpr(
-            "_key", "struct(_pick.value AS value, _pick.rounding_epsilon AS rounding_epsilon, _pick.seq AS seq) AS _anchor"
-        )
-        found = found.unionByName(good)
-        failed = checked.filter("NOT (_backed AND _missed)").selectExpr("_key", "_pick.seq AS _tried")
-        candidates = cut_lineage(candidates.join(failed, "_key").filter("seq > _tried").drop("_tried"), "candidates")
-    return cut_lineage(found, "anchors")
+    nonzero = "CASE WHEN value <> 0 THEN abs(value) END"
+    first = cut_lineage(rows.groupBy("_key").agg(
+        F.expr(f"max_by({READING}, CASE WHEN value <> 0 THEN {rank} END) AS _edition_nonzero"),
+        F.expr(f"max_by({READING}, {rank}) AS _edition_any"),
+        F.expr("max(value <> 0) AS _nonzero"), F.expr("count(1) AS readings"),
+        # Only keys that span an order of magnitude across publishers can have scale errors.
+        F.expr(f"coalesce(max({nonzero}) >= min({nonzero}) * 9BD AND min(source_id) <> max(source_id), false) AS _suspect"),
+    ).selectExpr("_key", "_nonzero", "readings", "_suspect", "CASE WHEN _nonzero THEN _edition_nonzero ELSE _edition_any END AS _edition"), "keys")
+    staged = rows.join(first, "_key")
+    for layer in (
+        ["coalesce(_nonzero AND value = 0, false) AS absent"],
+        ["NOT absent AND edition_span_end IS NOT NULL AND is_edition_terminal AS partial", f"{reconcile.SUPERSEDED} AS superseded"],
+        ["NOT absent AND NOT partial AND NOT superseded AS active"],
+    ):
+        staged = staged.selectExpr("*", *layer)
+
+    anchors = cut_lineage(find_anchors(staged.filter("_suspect AND active")), "anchors")
+    marked = staged.join(anchors, "_key", "left").selectExpr("*", f"{reconcile.SCALE_ERROR} AS scale_error").selectExpr("*", "active AND NOT scale_error AS live")
+    winners = cut_lineage(marked.groupBy("_key").agg(
+        F.expr(f"min_by({WINNER}, CASE WHEN live THEN {PRIORITY} END) AS winner"), F.expr("max(live OR partial) AS has_fact")), "winners")
+    out = marked.join(winners, "_key").selectExpr("*", f"{reconcile.REJECTED} AS rejected")
+    return out.select(*observations.columns, "absent", "partial", "superseded", "active", "scale_error", "live", "winner", "rejected", "has_fact", "readings")

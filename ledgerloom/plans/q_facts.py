@@ -283,9 +283,38 @@ def lineage_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     absent, part AS partial, superseded, scaled AS scale_error, live, rejected, wseq AS winner_seq FROM r7""",
 )
 def reconcile_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A third of all readings state one fact: those keys are aggregated and joined, not windowed."""
+    """A third of all readings state one fact, and are aggregated and joined, not windowed."""
     readings = observations(spark, sf_dir, f"WITH {HOT} SELECT * FROM hot")
-    return wide.flag_any(readings, OBS_POLICY, wide_from=100).select(
+    return wide.flag_any(readings, OBS_POLICY).select(
         "district_code", "fin_year", "metric", "seq", _whole("value"), "absent", "partial", "superseded", "scale_error",
         "live", "rejected", F.col("winner.seq").alias("winner_seq"),
     )
+
+
+# Two facts, each with half of all orders as readings of seven publishers: prices in whole units, of
+# which some lost or gained digits and some are rounded to thousands. Nearly all are distinct, and
+# among so many, readings meet others near a power of ten that still are no anchors for them.
+CROWD = """crowd AS (
+  SELECT 0 AS nk, 0 AS sk, CASE WHEN o_orderkey % 2 = 0 THEN 1995 ELSE 1996 END AS fy,
+    CASE WHEN o_orderkey % 2 = 0 THEN 'units_shipped' ELSE 'units_value' END AS metric, CAST(o_orderkey AS BIGINT) AS seq,
+    'PUB_' || SUBSTR('ABCDEFG', CAST(o_custkey % 7 AS INT) + 1, 1) AS source_id,
+    CAST(CASE CAST(o_orderkey % 31 AS INT) WHEN 7 THEN FLOOR(o_totalprice / 10) WHEN 12 THEN FLOOR(o_totalprice / 1000) WHEN 19 THEN FLOOR(o_totalprice) * 100
+      WHEN 23 THEN -FLOOR(o_totalprice) WHEN 25 THEN 0 WHEN 29 THEN FLOOR(o_totalprice / 1000) * 1000 ELSE FLOOR(o_totalprice) END AS BIGINT) AS val,
+    CAST(10 + o_custkey % 3 AS INT) AS rnk, CASE CAST(o_orderkey % 31 AS INT) WHEN 29 THEN 500 WHEN 11 THEN 3 ELSE 0 END AS eps,
+    CASE WHEN o_orderkey % 11 = 0 THEN CAST(1994 + o_orderkey % 4 AS INT) END AS span,
+    CASE WHEN o_orderkey % 11 = 0 AND o_orderkey % 4 = 3 THEN 1 ELSE 0 END AS term, CAST(NULL AS STRING) AS cov
+  FROM orders)"""
+
+
+@query(
+    "reconcile_crowded_key",
+    f"""WITH {_decided(CROWD, "crowd")} SELECT fy, metric, seq, source_id, val AS value, absent, part AS partial, superseded, scaled AS scale_error, live,
+    rejected, wseq AS winner_seq FROM r7""",
+)
+def reconcile_crowded_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thousands of distinct readings of one fact."""
+    readings = observations(spark, sf_dir, f"WITH {CROWD} SELECT * FROM crowd")
+    return wide.flag_any(readings, OBS_POLICY).select(
+        F.left("fin_year", F.lit(4)).cast("int").alias("fy"), "metric", "seq", "source_id", _whole("value"), "absent", "partial", "superseded", "scale_error",
+        "live", "rejected", F.col("winner.seq").alias("winner_seq"),
+    )

@@ -18,6 +18,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # A fact with a large share of all readings: split its join even where that costs an exchange.
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         # Small local inputs: keep a reduce partition per core instead of merging them into one.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
