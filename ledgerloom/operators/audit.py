@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import grouped_number, plain_number, trimmed
+from ledgerloom.operators import derive
 from ledgerloom.session import cut_lineage
 
 # A financial-year label, a number as prose prints it, a quotation of 40 and more.
@@ -128,15 +129,14 @@ def strip_exhibits(docs: DataFrame, exhibits: DataFrame) -> DataFrame:
     ).drop("_exhibits")
 
 
-def derivation_problems(declared: DataFrame, recomputed: DataFrame) -> DataFrame:
-    """Declared derivations whose value the inputs do not give, with what they give instead."""
-    joined = declared.select("id", F.col("value").alias("declared_value")).join(
-        recomputed.select("id", F.col("value").alias("recomputed_value"), "problem"), "id", "left"
-    )
-    wrong = F.when(F.col("problem").isNotNull(), F.col("problem")).when(
-        ~F.col("declared_value").eqNullSafe(F.col("recomputed_value")), "mismatch"
-    )
-    return joined.withColumn("problem", wrong).filter(F.col("problem").isNotNull())
+def derivation_problems(nodes: DataFrame, declared: DataFrame) -> DataFrame:
+    """Declared derivations ``(id, operation, inputs, declared)`` whose value the inputs do not give.
+
+    Values go on only from derivations that were verified, so one that rests on a wrong one has an
+    unknown input, whatever it declares.
+    """
+    found = derive.evaluate(nodes, declared).filter(F.col("problem").isNotNull())
+    return found.select("id", F.col("declared").alias("declared_value"), F.col("value").alias("recomputed_value"), "problem")
 
 
 def cohort_problems(declared: DataFrame, members: DataFrame, served: DataFrame) -> DataFrame:

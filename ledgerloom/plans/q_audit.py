@@ -104,18 +104,30 @@ def strip_exhibits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.strip_exhibits(docs, exhibits).select("doc_id", F.sha2("text", 256).alias("digest"))
 
 
+# A customer's claims: every third has a wrong sum, every fifth a wrong rounded figure; loops claim 0.
+CLAIMED = """claimed AS (
+    SELECT *, CAST(SUBSTR(id, STRPOS(id, '/') + 1) AS BIGINT) AS ck, SUBSTR(id, 1, STRPOS(id, '/') - 1) AS name FROM derived),
+  claims AS (SELECT *, CASE WHEN level IS NULL THEN 0 WHEN ck % 3 = 0 AND name = 'sum' THEN cents + 1 WHEN ck % 5 = 0 AND name = 'round_sigfig_3' THEN cents - 100
+      ELSE cents END AS declared_cents FROM claimed),
+  verdicts AS (SELECT *, CASE WHEN problem IS NOT NULL THEN problem WHEN ck % 3 = 0 AND name IN ('second', 'third') THEN 'unknown input'
+      WHEN declared_cents <> cents THEN 'mismatch' END AS verdict FROM claims)"""
+
+
 @query(
     "derivation_audit",
-    f"""WITH {DERIVED}, d AS (SELECT *, CASE WHEN LENGTH(id) % 2 = 0 THEN cents ELSE cents + 1 END AS claimed FROM derived WHERE id LIKE 'sum/%' OR id LIKE 'lakh_to_crore/%' OR id LIKE 'cube/%')
-    SELECT id, claimed AS declared_cents, COALESCE(problem, 'mismatch') AS problem FROM d WHERE problem IS NOT NULL OR claimed IS DISTINCT FROM cents""",
+    f"""WITH {DERIVED}, {CLAIMED} SELECT id, declared_cents, CASE WHEN verdict = 'mismatch' THEN cents END AS recomputed_cents,
+    CASE WHEN ck % 3 = 0 AND name = 'second' THEN 'unknown input' ELSE verdict END AS problem FROM verdicts WHERE verdict IS NOT NULL""",
 )
 def derivation_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The claims of every derivation, some of them wrong at the bottom."""
     nodes, rows = declared(spark, sf_dir)
-    kept = rows.filter(F.col("operation").isin("sum", "lakh_to_crore", "cube"))
-    recomputed = derive.evaluate(nodes, kept, levels=1)
-    tampered = recomputed.withColumn("value", F.col("value") + F.when(F.length("id") % 2 == 0, 0).otherwise(F.lit("0.01").cast("decimal(3,2)")))
-    found = audit.derivation_problems(tampered, recomputed)
-    return found.select("id", (F.col("declared_value") * 100).cast("bigint").alias("declared_cents"), "problem")
+    right = derive.evaluate(nodes, rows).select("id", "level", "value")
+    ck, name = F.substring_index("id", "/", -1).cast("long"), F.substring_index("id", "/", 1)
+    off = F.when((ck % 3 == 0) & (name == "sum"), F.lit("0.01")).when((ck % 5 == 0) & (name == "round_sigfig_3"), F.lit("-1")).otherwise(F.lit("0")).cast("decimal(3,2)")
+    claim = F.when(F.col("level").isNull(), F.lit(0)).otherwise(F.col("value") + off)
+    found = audit.derivation_problems(nodes, rows.join(right, "id").withColumn("declared", claim))
+    cents = lambda c: F.floor(F.col(c) * 100).cast("bigint")
+    return found.select("id", cents("declared_value").alias("declared_cents"), cents("recomputed_value").alias("recomputed_cents"), "problem")
 
 
 @query(

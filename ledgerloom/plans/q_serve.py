@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import axis, cohorts, derive, serve
@@ -226,7 +226,7 @@ def net_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cohorts.net_change(facts(spark, sf_dir), "1996-97", "2000-01", ("metric", "state_code"))
 
 
-# Nodes are yearly values per customer and order status; derivations combine them in two levels.
+# Nodes are values per customer and order status; derivations combine them in three levels, and in circles.
 NODES = """nodes AS (SELECT 'c' || CAST(o_custkey AS STRING) || '.' || o_orderstatus AS id, CAST(o_custkey AS STRING) AS ck, o_orderstatus AS st,
   CAST(SUM(CAST(ROUND(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS value, COUNT(*) AS n FROM orders GROUP BY 1, 2, 3),
 custs AS (SELECT DISTINCT ck FROM nodes)"""
@@ -237,22 +237,27 @@ OPS = {
 }
 
 
+#: Derivations of derivations: operation and inputs. The loops wait for each other, the tail for one of them.
+UPPER = {
+    "second": ("ratio_2dp", ("sum/", "difference/")), "third": ("sum", ("second/", "sum/")), "over": ("sum", ("huge", "c.F")),
+    "loop_a": ("sum", ("loop_b/", "c.F")), "loop_b": ("sum", ("loop_a/",)), "tail": ("round_2dp", ("loop_b/",)),
+}
+HUGE = 9_999_999_999_999_999
+
+
 def declared(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Nodes and derivations: eleven at level 1 and one over two of them at level 2, per customer."""
-    nodes = run(spark, sf_dir, f"WITH {NODES} SELECT id, value FROM nodes")
+    """Nodes and, for every customer, eleven derivations over them and six over derivations."""
+    nodes = run(spark, sf_dir, f"WITH {NODES} SELECT id, value FROM nodes UNION ALL SELECT 'huge', {HUGE}")
     people = run(spark, sf_dir, f"WITH {NODES} SELECT ck FROM custs")
-    first = F.array(*[
-        F.struct(F.lit(1).alias("level"), F.lit(op).alias("operation"),
-                 F.array(*[F.concat(F.lit("c"), F.col("ck"), F.lit(f".{s}")) for s in inputs]).alias("inputs"))
-        for op, inputs in OPS.items()
-    ])
-    second = F.array(F.struct(
-        F.lit(2).alias("level"), F.lit("ratio_2dp").alias("operation"),
-        F.array(F.concat(F.lit("sum/"), F.col("ck")), F.concat(F.lit("difference/"), F.col("ck"))).alias("inputs"),
-    ))
-    rows = people.select("ck", F.explode(F.concat(first, second)).alias("d")).select("ck", "d.*")
-    name = F.when(F.col("level") == 2, F.concat(F.lit("second/"), F.col("ck"))).otherwise(F.concat_ws("/", "operation", "ck"))
-    return nodes, rows.select(name.alias("id"), "level", "operation", "inputs")
+
+    def named(text: str) -> Column:
+        if text == "huge":
+            return F.lit(text)
+        return F.concat(F.lit(text), F.col("ck")) if text.endswith("/") else F.concat(F.lit("c"), F.col("ck"), F.lit(text[1:]))
+
+    listed = [(op, op, [f"c.{s}" for s in inputs]) for op, inputs in OPS.items()] + [(name, op, inputs) for name, (op, inputs) in UPPER.items()]
+    rows = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(op).alias("operation"), F.array(*map(named, inputs)).alias("inputs")) for name, op, inputs in listed])
+    return nodes, people.select("ck", F.explode(rows).alias("d")).select(F.concat_ws("/", "d.name", "ck").alias("id"), "d.operation", "d.inputs")
 
 
 _RATIO2 = "CASE WHEN ({a} < 0) <> ({b} < 0) THEN -1 ELSE 1 END * ((ABS({a}) * 200 + ABS({b})) // (2 * ABS({b})))"
@@ -271,25 +276,31 @@ DERIVED = f"""{NODES}, v AS (SELECT c.ck, f.value AS f, p.value AS p, o.value AS
     UNION ALL SELECT 'round_sigfig_3/' || ck, 1, CAST(CASE WHEN o < 1000 THEN o ELSE (o * 2 + CAST(POW(10, LENGTH(CAST(o AS STRING)) - 3) AS BIGINT)) // (2 * CAST(POW(10, LENGTH(CAST(o AS STRING)) - 3) AS BIGINT)) * CAST(POW(10, LENGTH(CAST(o AS STRING)) - 3) AS BIGINT) END * 100 AS BIGINT), o IS NULL, NULL FROM v
     UNION ALL SELECT 'cube/' || ck, 1, NULL, FALSE, 'unknown operation' FROM v
     UNION ALL SELECT 'second/' || ck, 2, CASE WHEN f <> p THEN {_RATIO2.format(a='(f + p + o)', b='(f - p)')} END, f IS NULL OR p IS NULL OR o IS NULL,
-      CASE WHEN f = p THEN 'zero denominator' END FROM v),
+      CASE WHEN f = p THEN 'zero denominator' END FROM v
+    UNION ALL SELECT 'third/' || ck, 3, CASE WHEN f <> p THEN {_RATIO2.format(a='(f + p + o)', b='(f - p)')} + (f + p + o) * 100 END,
+      f IS NULL OR p IS NULL OR o IS NULL OR f = p, NULL FROM v
+    UNION ALL SELECT 'over/' || ck, 1, NULL, f IS NULL, CASE WHEN f IS NOT NULL THEN 'out of range' END FROM v
+    UNION ALL SELECT l || ck, NULL, NULL, FALSE, 'cycle' FROM v CROSS JOIN (SELECT 'loop_a/' AS l UNION ALL SELECT 'loop_b/')
+    UNION ALL SELECT 'tail/' || ck, NULL, NULL, TRUE, NULL FROM v),
   derived AS (SELECT id, level, CASE WHEN NOT lost AND other IS NULL THEN CAST(cents AS BIGINT) END AS cents, CASE WHEN other IS NOT NULL THEN other WHEN lost THEN 'unknown input' END AS problem FROM dv)"""
 
 
 @query("derivations", f"WITH {DERIVED} SELECT id, level, cents, problem FROM derived")
 def derivations(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes, rows = declared(spark, sf_dir)
-    out = derive.evaluate(nodes, rows, levels=2)
+    out = derive.evaluate(nodes, rows)
     return out.select("id", "level", F.floor(F.col("value") * 100).cast("bigint").alias("cents"), "problem")
 
 
 @query(
     "derivation_leaves",
-    f"""WITH {NODES} SELECT 'second/' || ck AS id, id AS fact_id FROM nodes UNION ALL SELECT 'sum/' || ck, id FROM nodes
-    UNION ALL SELECT 'difference/' || ck, id FROM nodes WHERE st <> 'O'""",
+    f"""WITH {NODES}, every AS (SELECT ck, id, st FROM nodes UNION ALL SELECT ck, 'huge', 'huge' FROM custs)
+    SELECT name || '/' || ck AS id, id AS fact_id FROM every JOIN (
+      {' UNION ALL '.join(f"SELECT '{name}' AS name, '{st}' AS st" for name, sts in {
+          **OPS, "second": OPS["sum"], "third": OPS["sum"], "over": ("huge", "F"), "loop_a": ("F",), "loop_b": ("F",), "tail": ("F",)}.items() for st in sts)}) USING (st)""",
 )
 def derivation_leaves(spark: SparkSession, sf_dir: str) -> DataFrame:
     nodes, rows = declared(spark, sf_dir)
-    kept = rows.filter(F.col("operation").isin("sum", "difference") | (F.col("level") == 2))
-    return derive.leaves(kept, nodes.select("id", F.col("id").alias("fact_id")), levels=2)
+    return derive.leaves(rows, nodes.select("id", F.col("id").alias("fact_id")))
 
 

@@ -159,23 +159,79 @@ def test_unknown_filter_is_an_error(spark):
         cohorts.select(spark.range(1), "nonsense")
 
 
-def test_derivation_problems(spark):
-    nodes = spark.createDataFrame([("a", Decimal(10)), ("b", Decimal(0))], "id string, value decimal(28,12)")
-    ds = [("s", 1, "sum", ["a", "b"]), ("r", 1, "ratio", ["a", "b"]), ("u", 1, "sum", ["a", "zz"]), ("x", 1, "cube", ["a"]), ("n", 1, "round_2dp", ["a", "b"]), ("t", 2, "difference", ["s", "a"]), ("v", 2, "sum", ["r", "a"])]
-    out = derive.evaluate(nodes, spark.createDataFrame(ds, "id string, level int, operation string, inputs array<string>"), 2)
-    got = {r["id"]: (None if r["value"] is None else int(r["value"]), r["problem"]) for r in out.collect()}
-    assert got == {"s": (10, None), "r": (None, "zero denominator"), "u": (None, "unknown input"), "x": (None, "unknown operation"),
-                   "n": (None, "needs one input"), "t": (0, None), "v": (None, "unknown input")}
+DERIVATIONS = "id string, operation string, inputs array<string>"
+
 
+def evaluated(spark, nodes, rows, schema=DERIVATIONS):
+    table = spark.createDataFrame(list(nodes.items()), "id string, value decimal(28,12)")
+    return {r["id"]: r for r in derive.evaluate(table, spark.createDataFrame(rows, schema)).collect()}
 
-def test_derivations_above_the_declared_depth(spark):
-    nodes = spark.createDataFrame([("a", Decimal(10)), ("b", Decimal(3))], "id string, value decimal(28,12)")
-    ds = [("s", 1, "sum", ["a", "b"]), ("t", 2, "difference", ["s", "a"]), ("u", 3, "sum", ["t", "s"]), ("w", 7, "sum", ["u", "a"]), ("x", 7, "sum", ["w"]), ("y", None, "sum", ["a"])]
-    rows = spark.createDataFrame(ds, "id string, level int, operation string, inputs array<string>")
-    got = {r["id"]: (None if r["value"] is None else int(r["value"]), r["problem"]) for r in derive.evaluate(nodes, rows, 2).collect()}
-    assert got == {"s": (13, None), "t": (3, None), "u": (16, None), "w": (26, None), "x": (None, "unknown input"), "y": (None, "no level")}
-    found = {(r["id"], r["fact_id"]) for r in derive.leaves(rows, nodes.select("id", F.col("id").alias("fact_id")), 2).collect()}
-    assert found == {(i, f) for i in "stuw" for f in "ab"}
+
+def test_derivation_problems(spark):
+    ds = [("s", "sum", ["a", "b"]), ("r", "ratio", ["a", "b"]), ("u", "sum", ["a", "zz"]), ("x", "cube", ["a"]), ("n", "round_2dp", ["a", "b"]), ("t", "difference", ["s", "a"]), ("v", "sum", ["r", "a"]),
+          ("e", "sum", []), ("l", "sum", None), ("d", "sum", ["a", "a", "t"]), ("w", "sum", ["a", None]), ("o", None, ["a"])]
+    got = {i: (None if r["value"] is None else int(r["value"]), r["problem"]) for i, r in evaluated(spark, {"a": Decimal(10), "b": Decimal(0)}, ds).items()}
+    assert got == {"s": (10, None), "r": (None, "zero denominator"), "u": (None, "unknown input"), "x": (None, "unknown operation"),
+                   "n": (None, "needs one input"), "t": (0, None), "v": (None, "unknown input"), "e": (None, "no input"), "l": (None, "no input"),
+                   "d": (20, None), "w": (None, "unknown input"), "o": (None, "unknown operation")}
+
+
+def test_derivations_of_any_depth_in_any_order(spark):
+    ds = [("x", "sum", ["w", "missing"]), ("w", "sum", ["u", "a"]), ("u", "sum", ["t", "s"]), ("t", "difference", ["s", "a"]), ("s", "sum", ["a", "b"])]
+    got = {i: (r["level"], None if r["value"] is None else int(r["value"]), r["problem"]) for i, r in evaluated(spark, {"a": Decimal(10), "b": Decimal(3)}, ds).items()}
+    assert got == {"s": (1, 13, None), "t": (2, 3, None), "u": (3, 16, None), "w": (4, 26, None), "x": (5, None, "unknown input")}
+    rows = spark.createDataFrame(ds, DERIVATIONS)
+    facts = spark.createDataFrame([("a", "fa"), ("b", "fb"), ("b", "fb2")], "id string, fact_id string")
+    assert {(r["id"], r["fact_id"]) for r in derive.leaves(rows, facts).collect()} == {(i, f) for i in "stuwx" for f in ("fa", "fb", "fb2")}
+
+
+def test_cycles_are_told_from_what_rests_on_them(spark):
+    ds = [("a1", "sum", ["a2"]), ("a2", "sum", ["a3", "n"]), ("a3", "sum", ["a1"]), ("way", "sum", ["a1"]), ("b1", "sum", ["way", "b1"]),
+          ("tail", "sum", ["b1"]), ("tip", "sum", ["tail"]), ("fine", "sum", ["n"])]
+    got = {i: (r["level"], r["problem"]) for i, r in evaluated(spark, {"n": Decimal(1)}, ds).items()}
+    assert got == {**dict.fromkeys(("a1", "a2", "a3", "way", "b1"), (None, "cycle")), "tail": (None, "unknown input"), "tip": (None, "unknown input"), "fine": (1, None)}
+    facts = spark.createDataFrame([("n", "f")], "id string, fact_id string")
+    assert {r["id"] for r in derive.leaves(spark.createDataFrame(ds, DERIVATIONS), facts).collect()} == {d[0] for d in ds}
+
+
+def test_values_out_of_range_end_no_job(spark):
+    big = Decimal(9_999_999_999_999_999)
+    nodes = {"big": big, "one": Decimal(1), "minus": -big, "tiny": Decimal("0.000000000001"), "frac": Decimal("0.999")}
+    ds = [("s", "sum", ["big", "one"]), ("d", "difference", ["minus", "one"]), ("q", "ratio", ["big", "tiny"]), ("q2", "ratio_2dp", ["big", "tiny"]), ("edge", "sum", ["big", "frac"]),
+          ("r", "round_2dp", ["edge"]), ("g", "round_sigfig_3", ["big"]), ("m", "to_millions", ["big"]), ("up", "sum", ["s", "one"]), ("ok", "sum", ["one", "frac"])]
+    got = {i: (r["value"], r["problem"]) for i, r in evaluated(spark, nodes, ds).items()}
+    assert {i for i, (_, p) in got.items() if p == "out of range"} == {"s", "d", "q", "q2", "r", "g"}
+    assert got["up"] == (None, "unknown input") and got["ok"] == (Decimal("1.999"), None) and got["m"] == (Decimal(10_000_000_000), None)
+
+
+def test_quotients_are_exact_to_the_last_place(spark):
+    pairs = [("5000000000000", "7000000000000"), ("1", "3"), ("-2", "3"), ("0.333333333333", "0.000000000007"), ("9999999999999999", "7"), ("123456789.123456789012", "0.987654321098"), ("0", "5"), ("1", "-8")]
+    nodes = {f"{i}{side}": Decimal(v) for i, pair in enumerate(pairs) for side, v in zip("ab", pair, strict=True)}
+    ds = [(f"{op}{i}", op, [f"{i}a", f"{i}b"]) for i in range(len(pairs)) for op in ("ratio", "ratio_2dp")]
+    got = evaluated(spark, nodes, ds)
+    import decimal
+    with decimal.localcontext(prec=60):
+        for i, (a, b) in enumerate(pairs):
+            exact = Decimal(a) / Decimal(b)
+            assert got[f"ratio{i}"]["value"] == exact.quantize(Decimal("1e-12"), decimal.ROUND_DOWN)
+            assert got[f"ratio_2dp{i}"]["value"] == exact.quantize(Decimal("0.01"), decimal.ROUND_HALF_UP)
+
+
+def test_ids_that_repeat_feed_nothing(spark):
+    ds = [("s", "sum", ["n"]), ("s", "sum", ["n", "n"]), ("n", "sum", ["n"]), ("t", "sum", ["s"]), ("u", "sum", ["n"])]
+    table = spark.createDataFrame([("n", Decimal(4))], "id string, value decimal(28,12)")
+    out = sorted((r["id"], r["problem"] or "") for r in derive.evaluate(table, spark.createDataFrame(ds, DERIVATIONS)).collect())
+    assert out == [("n", "repeated id"), ("s", "repeated id"), ("s", "repeated id"), ("t", "unknown input"), ("u", "")]
+    none = derive.evaluate(table, spark.createDataFrame([], DERIVATIONS))
+    assert none.collect() == [] and none.columns == ["id", "level", "operation", "value", "problem"]
+
+
+def test_wrong_declared_values_feed_no_others(spark):
+    nodes = spark.createDataFrame([("a", Decimal(10))], "id string, value decimal(28,12)")
+    ds = [("x", "sum", ["a"], Decimal(11)), ("y", "sum", ["x"], Decimal(10)), ("z", "sum", ["y"], Decimal(10)), ("w", "sum", ["a", "a"], Decimal(20)), ("v", "sum", ["w"], None)]
+    declared = spark.createDataFrame(ds, f"{DERIVATIONS}, declared decimal(28,12)")
+    got = {r["id"]: (r["recomputed_value"], r["problem"]) for r in audit.derivation_problems(nodes, declared).collect()}
+    assert got == {"x": (Decimal(10), "mismatch"), "y": (None, "unknown input"), "z": (None, "unknown input"), "v": (Decimal(20), "mismatch")}
 
 
 def test_text_audits(spark):
