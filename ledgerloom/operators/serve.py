@@ -1,6 +1,6 @@
 """The governed query surface: five parameters, checked one after another, or a refusal with a reason.
 
-``run_query`` answers one request. ``triage`` checks a whole table of requests at once.
+``run_query`` answers one request; ``triage.triage`` checks a whole table of requests at once.
 """
 
 from __future__ import annotations
@@ -11,8 +11,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.periods import well_formed_fy
-
 ROW_CAP = 10_000
 
 # The refusal codes.
@@ -92,7 +90,7 @@ def is_fy(label: str) -> bool:
 def period_refusal(catalog: Catalog, table: ServedTable, request: Request) -> Refusal | None:
     for bound in (request.fy_from, request.fy_to):
         if bound is not None and not is_fy(bound):
-            return Refusal(BAD_PERIOD, f"{bound!r} is no financial year: expected YYYY-YY, the suffix being the next year")
+            return Refusal(BAD_PERIOD, f"{bound} is no financial year: expected YYYY-YY, the suffix being the next year")
     if request.fy_from is not None and request.fy_from > catalog.ceiling:
         return Refusal(SEALED, f"the record ends with {catalog.ceiling}; nothing exists from {request.fy_from} on")
     if request.fy_to is not None and request.fy_to < table.floor:
@@ -105,7 +103,7 @@ def metric_refusal(catalog: Catalog, table: ServedTable, metrics: Sequence[str])
         if metric not in table.metrics:
             home = catalog.home_of(metric)
             where = f"; it is served by {home}" if home else ""
-            return Refusal(UNKNOWN_METRIC, f"{table.name} does not serve {metric!r}{where}", table.metrics, home)
+            return Refusal(UNKNOWN_METRIC, f"{table.name} does not serve {metric}{where}", table.metrics, home)
     return None
 
 
@@ -154,14 +152,14 @@ def predicate(request: Request, metrics: Sequence[str], states: Sequence[str] |
 def run_query(served: dict[str, DataFrame], catalog: Catalog, request: Request, row_cap: int = ROW_CAP) -> Answer | Refusal:
     """Check table, month, period, metrics, states, districts and size, in this order, then filter.
 
-    A result above the cap is refused, never cut; counting stops one row past the cap.
+    A result above the cap is refused, never cut, with the number of rows that match.
     """
     names = tuple(t.name for t in catalog.tables)
     if request.table in catalog.not_queryable:
         return Refusal(NOT_QUERYABLE, f"{request.table} holds provenance; look facts up by id", names, "get_lineage")
     table = catalog.table(request.table)
     if table is None:
-        return Refusal(UNKNOWN_TABLE, f"no table {request.table!r}", names)
+        return Refusal(UNKNOWN_TABLE, f"no table {request.table}", names)
     if request.month is not None:
         return Refusal(MONTHLY, "the series is annual; monthly year-to-date readings are no monthly values")
     early = period_refusal(catalog, table, request)
@@ -182,64 +180,19 @@ def run_query(served: dict[str, DataFrame], catalog: Catalog, request: Request,
             return Refusal(UNKNOWN_GEOGRAPHY, f"{table.name} has no {kind}", pointer=pointer)
         codes, unknown = resolve_tokens(df, f"{kind}_lgd_code", f"{kind}_name", tokens)
         if unknown is not None:
-            return Refusal(UNKNOWN_GEOGRAPHY, f"unknown {kind} {unknown!r}: give a code or a current name")
+            names_of = distinct_pairs(df, "state_lgd_code", "state_name").select("state_name").distinct().collect() if kind == "state" else None
+            return Refusal(UNKNOWN_GEOGRAPHY, f"unknown {kind} {unknown}: give a code or a current name",
+                           tuple(sorted(r[0] for r in names_of)) if names_of is not None else None, "get_schema" if kind == "district" else None)
         resolved[kind] = codes
     rows = df.filter(predicate(request, metrics, resolved["state"], resolved["district"]))
-    count = rows.limit(row_cap + 1).count()
+    count = rows.count()
     if count > row_cap:
-        return Refusal(OVER_CAP, f"more than {row_cap} rows match; narrow the filters")
+        return Refusal(OVER_CAP, f"{count} rows match, more than {row_cap}; narrow the filters")
     filters = {"metrics": metrics, "states": resolved["state"], "districts": resolved["district"],
                "fy_from": request.fy_from, "fy_to": request.fy_to}
     return Answer(table.name, filters, count, rows.select(*table.columns).orderBy(*table.columns))
 
 
-def triage(requests: DataFrame, catalog: Catalog, states: DataFrame | None = None) -> DataFrame:
-    """``requests(request_id, table_name, metric, state, fy_from, fy_to, month)`` with the first code
-    that refuses each, and the pointer; null where the request is in scope.
-
-    The catalog is configuration and becomes literals; ``states(token)`` holds the known codes and
-    lower-case names and is joined by equality.
-    """
-    name, metric = F.col("table_name"), F.col("metric")
-    names = [t.name for t in catalog.tables]
-    bad_from = F.col("fy_from").isNotNull() & ~well_formed_fy(F.col("fy_from"))
-    bad_to = F.col("fy_to").isNotNull() & ~well_formed_fy(F.col("fy_to"))
-    code = (
-        F.when(name.isin(list(catalog.not_queryable)), NOT_QUERYABLE)
-        .when(~name.isin(names), UNKNOWN_TABLE)
-        .when(F.col("month").isNotNull(), MONTHLY)
-        .when(bad_from | bad_to, BAD_PERIOD)
-        .when(F.col("fy_from") > catalog.ceiling, SEALED)
-    )
-    pointer = F.when(name.isin(list(catalog.not_queryable)), "get_lineage")
-    unserved = F.lit(False)
-    for table in catalog.tables:
-        low = (name == table.name) & (F.col("fy_to") < table.floor)
-        code = code.when(low, FLOORS[table.grain])
-        unserved = unserved | ((name == table.name) & metric.isNotNull() & ~metric.isin(list(table.metrics)))
-    code = code.when(unserved, UNKNOWN_METRIC)
-    placed = requests
-    if states is not None:
-        token = F.lower(F.trim("state"))
-        placed = requests.withColumn("token", token).join(states.select("token").distinct().withColumn("_known", F.lit(True)), "token", "left")
-        stateless = [t.name for t in catalog.tables if "state_lgd_code" not in t.columns]
-        code = code.when(F.col("state").isNotNull() & (name.isin(stateless) | F.col("_known").isNull()), UNKNOWN_GEOGRAPHY)
-    out = placed.withColumn("code", code)
-    homes = F.lit(None).cast("string")
-    for table in reversed(catalog.tables):
-        homes = F.when(metric.isin(list(table.metrics)), table.name).otherwise(homes)
-    floors = F.lit(None).cast("string")
-    for table in catalog.tables:
-        if table.floor_pointer:
-            floors = F.when(name == table.name, table.floor_pointer).otherwise(floors)
-    return out.select(
-        "request_id", "table_name", "code",
-        F.when(F.col("code") == NOT_QUERYABLE, pointer)
-        .when(F.col("code").isin(list(FLOORS.values())), floors)
-        .when(F.col("code") == UNKNOWN_METRIC, homes).alias("pointer"),
-    )
-
-
 def list_tables(served: dict[str, DataFrame], catalog: Catalog, lineage: DataFrame | None = None) -> DataFrame:
     """Per table: grain, rows and year range; lineage spans the union of the tables."""
     parts = []

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import axis, cohorts, derive, serve
+from ledgerloom.operators import axis, cohorts, derive, serve, triage
 from ledgerloom.plans.inputs import fyl, run
 from ledgerloom.plans.q_facts import DECIDED, facts, sources
 from ledgerloom.plans.registry import query
@@ -56,31 +56,76 @@ def distinct_places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serve.distinct_pairs(served(spark, sf_dir)["state"], "state_lgd_code", "state_name")
 
 
-REQUESTS = """requests AS (SELECT o_orderkey AS request_id,
-    CASE o_orderkey % 7 WHEN 0 THEN 'lineage' WHEN 1 THEN 'statewide' WHEN 2 THEN 'national' ELSE 'state' END AS table_name,
-    CASE o_orderkey % 5 WHEN 0 THEN 'm_p' WHEN 1 THEN 'm_x' WHEN 2 THEN CAST(NULL AS STRING) ELSE 'm_f' END AS metric,
-    CASE o_orderkey % 11 WHEN 0 THEN 'Atlantis' WHEN 1 THEN '4' WHEN 2 THEN ' nation_5 ' ELSE CAST(NULL AS STRING) END AS state,
-    CASE o_orderkey % 13 WHEN 0 THEN '2003-04' WHEN 1 THEN '1998' WHEN 2 THEN '1998-98' ELSE CAST(NULL AS STRING) END AS fy_from,
-    CASE o_orderkey % 17 WHEN 0 THEN '1995-96' WHEN 1 THEN '1990-91' WHEN 2 THEN '1997-1998' ELSE '1999-00' END AS fy_to,
+# Requests on all three grains: lists of metrics, of states by code and name, of districts by code and
+# by names that several districts share.
+PLACES = f"""{SERVED}, served_district AS (
+  SELECT CAST(c_nationkey AS STRING) AS state_lgd_code, n_name AS state_name, CAST(c_custkey AS STRING) AS district_lgd_code, 'Place ' || CAST(c_custkey % 97 AS STRING) AS district_name,
+    {fyl('year(o_orderdate)')} AS financial_year, 'm_' || LOWER(o_orderstatus) AS metric, CAST(SUM(CAST(ROUND(o_totalprice) AS BIGINT)) AS BIGINT) AS value
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2, 3, 4, 5, 6)"""
+TRIAGED = serve.Catalog(
+    (*CATALOG.tables, serve.ServedTable("district", "district", ("m_f", "m_o"), ("state_lgd_code", "state_name", "district_lgd_code", "district_name", "financial_year", "metric", "value"), "1993-94", "state")),
+    ceiling="1999-00",
+)
+CAP = 60
+REQUESTS = """requests AS (SELECT o_orderkey AS request_id, o_custkey AS ck,
+    CASE o_orderkey % 9 WHEN 0 THEN 'lineage' WHEN 1 THEN 'statewide' WHEN 2 THEN 'national' WHEN 3 THEN 'district' WHEN 4 THEN 'district' WHEN 5 THEN 'district' ELSE 'state' END AS table_name,
+    CASE o_orderkey % 8 WHEN 0 THEN array('m_o', 'm_p') WHEN 1 THEN array('m_f', 'm_x', 'm_p') WHEN 2 THEN array('m_f', 'm_f') WHEN 3 THEN array('m_f') END AS metrics,
+    CASE o_orderkey % 11 WHEN 0 THEN array('4', 'Atlantis', 'Mu') WHEN 1 THEN array('4') WHEN 2 THEN array(' nation_5 ', '7', 'NATION_7', '5') WHEN 3 THEN array('1', '2', '3', '4', '5', '6', '8', '9') END AS states,
+    CASE o_orderkey % 10 WHEN 0 THEN array(CAST(o_custkey AS STRING)) WHEN 1 THEN array('place 5', ' Place 7', CAST(o_custkey AS STRING)) WHEN 2 THEN array('Place 11', 'nowhere') END AS districts,
+    CASE o_orderkey % 13 WHEN 0 THEN '2003-04' WHEN 1 THEN '1998' WHEN 2 THEN '1998-98' WHEN 3 THEN '1997-98' WHEN 4 THEN '1998-99' END AS fy_from,
+    CASE o_orderkey % 17 WHEN 0 THEN '1995-96' WHEN 1 THEN '1990-91' WHEN 2 THEN '1997-1998' WHEN 3 THEN '1999-00' WHEN 4 THEN '1996-97' WHEN 5 THEN '1992-93' END AS fy_to,
     CASE WHEN o_orderkey % 19 = 0 THEN '04' END AS month FROM orders)"""
 
 
 @query(
     "request_triage",
-    f"""WITH {REQUESTS}, t AS (SELECT CAST(n_nationkey AS STRING) AS token FROM nation UNION SELECT LOWER(n_name) FROM nation),
-    c AS (SELECT r.*, CASE WHEN table_name = 'lineage' THEN 'table_not_queryable' WHEN table_name = 'statewide' THEN 'unknown_table'
-      WHEN month IS NOT NULL THEN 'monthly_wage_unavailable'
-      WHEN fy_from IN ('1998', '1998-98') OR fy_to = '1997-1998' THEN 'invalid_period' WHEN fy_from > '1999-00' THEN 'record_sealed'
-      WHEN table_name = 'state' AND fy_to < '1996-97' THEN 'state_series_floor' WHEN table_name = 'national' AND fy_to < '1994-95' THEN 'national_series_floor'
-      WHEN metric = 'm_x' OR (metric = 'm_p' AND table_name = 'state') THEN 'unknown_metric'
-      WHEN state IS NOT NULL AND (table_name = 'national' OR LOWER(TRIM(state)) NOT IN (SELECT token FROM t)) THEN 'unknown_geography' END AS code FROM requests r)
-    SELECT request_id, table_name, code, CASE code WHEN 'table_not_queryable' THEN 'get_lineage' WHEN 'state_series_floor' THEN 'national'
-      WHEN 'unknown_metric' THEN CASE metric WHEN 'm_p' THEN 'national' END END AS pointer FROM c""",
+    f"""WITH {PLACES}, {REQUESTS.replace('array(', 'list_value(')},
+    own AS (SELECT * FROM (VALUES ('state', ['m_f', 'm_o'], '1996-97', 'national', TRUE, FALSE), ('national', ['m_f', 'm_p'], '1994-95', NULL, FALSE, FALSE),
+      ('district', ['m_f', 'm_o'], '1993-94', 'state', TRUE, TRUE)) t(table_name, own_metrics, low, low_pointer, has_state, has_district)),
+    places AS (SELECT 'state' AS table_name, 'state' AS kind, state_lgd_code AS code, state_name AS name FROM served_state UNION SELECT 'district', 'state', state_lgd_code, state_name FROM served_district
+      UNION SELECT 'district', 'district', district_lgd_code, district_name FROM served_district),
+    tokens AS (SELECT request_id, table_name, 'state' AS kind, unnest(states) AS token, unnest(range(len(states))) AS pos FROM requests
+      UNION ALL SELECT request_id, table_name, 'district', unnest(districts), unnest(range(len(districts))) FROM requests),
+    hits AS (SELECT t.request_id, t.kind, t.pos, t.token, p.code FROM tokens t LEFT JOIN places p ON p.table_name = t.table_name AND p.kind = t.kind AND (TRIM(t.token) = p.code
+      OR (LOWER(TRIM(t.token)) = LOWER(p.name) AND NOT EXISTS (SELECT 1 FROM places q WHERE q.table_name = t.table_name AND q.kind = t.kind AND q.code = TRIM(t.token))))),
+    geo AS (SELECT request_id, kind, ARG_MIN(token, pos) FILTER (WHERE code IS NULL) AS lost, LIST(DISTINCT code) FILTER (WHERE code IS NOT NULL) AS codes FROM hits GROUP BY 1, 2),
+    firsts AS (SELECT request_id, code, MIN(pos) AS pos, kind FROM hits WHERE code IS NOT NULL GROUP BY request_id, code, kind),
+    orders_of AS (SELECT request_id, kind, STRING_AGG(code, ',' ORDER BY pos, code) AS listed FROM firsts GROUP BY 1, 2),
+    j AS (SELECT r.*, o.*  EXCLUDE (table_name), COALESCE(r.metrics, o.own_metrics) AS every, s.lost AS s_lost, s.codes AS s_codes, d.lost AS d_lost, d.codes AS d_codes,
+        LIST_FILTER(r.metrics, lambda m: NOT LIST_CONTAINS(o.own_metrics, m))[1] AS odd, so.listed AS s_listed, dd.listed AS d_listed
+      FROM requests r LEFT JOIN own o USING (table_name) LEFT JOIN geo s ON s.request_id = r.request_id AND s.kind = 'state' LEFT JOIN geo d ON d.request_id = r.request_id AND d.kind = 'district'
+      LEFT JOIN orders_of so ON so.request_id = r.request_id AND so.kind = 'state' LEFT JOIN orders_of dd ON dd.request_id = r.request_id AND dd.kind = 'district'),
+    c AS (SELECT *, CASE WHEN table_name = 'lineage' THEN 'table_not_queryable' WHEN table_name = 'statewide' THEN 'unknown_table' WHEN month IS NOT NULL THEN 'monthly_wage_unavailable'
+      WHEN fy_from IN ('1998', '1998-98') OR fy_to = '1997-1998' THEN 'invalid_period' WHEN fy_from > '1999-00' THEN 'record_sealed' WHEN fy_to < low THEN table_name || '_series_floor'
+      WHEN odd IS NOT NULL THEN 'unknown_metric' WHEN states IS NOT NULL AND (NOT has_state OR s_lost IS NOT NULL) THEN 'unknown_geography'
+      WHEN districts IS NOT NULL AND (NOT has_district OR d_lost IS NOT NULL) THEN 'unknown_geography' END AS early FROM j),
+    cells AS (SELECT 'state' AS table_name, metric, financial_year, state_lgd_code AS s, NULL AS d FROM served_state UNION ALL SELECT 'national', metric, financial_year, NULL, NULL FROM served_national
+      UNION ALL SELECT 'district', metric, financial_year, state_lgd_code, district_lgd_code FROM served_district),
+    sizes AS (SELECT c.request_id, COUNT(*) AS n FROM c JOIN cells x ON x.table_name = c.table_name AND c.early IS NULL AND LIST_CONTAINS(c.every, x.metric) AND (c.states IS NULL OR LIST_CONTAINS(c.s_codes, x.s))
+      AND (c.districts IS NULL OR LIST_CONTAINS(c.d_codes, x.d)) AND (c.fy_from IS NULL OR x.financial_year >= c.fy_from) AND (c.fy_to IS NULL OR x.financial_year <= c.fy_to) GROUP BY 1),
+    f AS (SELECT c.*, CASE WHEN early IS NULL THEN COALESCE(n, 0) END AS row_count, COALESCE(early, CASE WHEN n > {CAP} THEN 'row_cap_exceeded' END) AS code FROM c LEFT JOIN sizes USING (request_id)),
+    home AS (SELECT * FROM (VALUES ('m_p', 'national'), ('m_o', 'state')) t(odd, home))
+    SELECT request_id, table_name, code, row_count,
+      CASE code WHEN 'table_not_queryable' THEN 'lineage holds provenance; look facts up by id' WHEN 'unknown_table' THEN 'no table statewide'
+        WHEN 'monthly_wage_unavailable' THEN 'the series is annual; monthly year-to-date readings are no monthly values'
+        WHEN 'invalid_period' THEN CASE WHEN fy_from IN ('1998', '1998-98') THEN fy_from ELSE fy_to END || ' is no financial year: expected YYYY-YY, the suffix being the next year'
+        WHEN 'record_sealed' THEN 'the record ends with 1999-00; nothing exists from ' || fy_from || ' on' WHEN 'unknown_metric' THEN table_name || ' does not serve ' || odd || COALESCE('; it is served by ' || home, '')
+        WHEN 'unknown_geography' THEN CASE WHEN states IS NOT NULL AND NOT has_state THEN table_name || ' has no state' WHEN states IS NOT NULL AND s_lost IS NOT NULL THEN 'unknown state ' || s_lost || ': give a code or a current name'
+          WHEN NOT has_district THEN table_name || ' has no district' ELSE 'unknown district ' || d_lost || ': give a code or a current name' END
+        WHEN 'row_cap_exceeded' THEN CAST(row_count AS VARCHAR) || ' rows match, more than {CAP}; narrow the filters' ELSE CASE WHEN code IS NOT NULL THEN table_name || ' starts with ' || low END END AS reason,
+      CASE WHEN code IN ('table_not_queryable', 'unknown_table') THEN 'state,national,district' WHEN code = 'unknown_metric' THEN ARRAY_TO_STRING(own_metrics, ',')
+        WHEN code = 'unknown_geography' AND has_state AND states IS NOT NULL AND s_lost IS NOT NULL THEN (SELECT STRING_AGG(DISTINCT name, ',' ORDER BY name) FROM places p WHERE p.table_name = f.table_name AND p.kind = 'state') END AS options,
+      CASE WHEN code = 'table_not_queryable' THEN 'get_lineage' WHEN code LIKE '%_series_floor' THEN low_pointer WHEN code = 'unknown_metric' THEN home
+        WHEN code = 'unknown_geography' AND NOT (states IS NOT NULL AND (NOT has_state OR s_lost IS NOT NULL)) THEN CASE WHEN has_district THEN 'get_schema' ELSE 'district' END END AS pointer,
+      CASE WHEN early IS NULL THEN ARRAY_TO_STRING(every, ',') END AS metrics, CASE WHEN early IS NULL AND states IS NOT NULL THEN s_listed END AS states, CASE WHEN early IS NULL AND districts IS NOT NULL THEN d_listed END AS districts
+    FROM f LEFT JOIN home USING (odd)""",
 )
 def request_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All eleven refusals, with what they say, and the true size of every request in scope."""
     requests = run(spark, sf_dir, f"WITH {REQUESTS} SELECT * FROM requests")
-    tokens = run(spark, sf_dir, "SELECT CAST(n_nationkey AS STRING) AS token FROM nation UNION ALL SELECT LOWER(n_name) FROM nation")
-    return serve.triage(requests, CATALOG, tokens)
+    tables = {t: run(spark, sf_dir, f"WITH {PLACES} SELECT * FROM served_{t}") for t in ("state", "national", "district")}
+    out = triage.triage(requests, TRIAGED, tables, row_cap=CAP)
+    return out.withColumns({c: F.array_join(c, ",") for c in ("options", "metrics", "states", "districts")})
 
 
 @query(

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom import presets
-from ledgerloom.operators import audit, cohorts, conserve, dedupe, derive, drift, extract, normalize, reshape, resolve, rollup, serve
+from ledgerloom.operators import audit, cohorts, conserve, dedupe, derive, drift, extract, normalize, reshape, resolve, rollup, serve, triage
 from ledgerloom.sources import landing
 
 
@@ -154,6 +154,39 @@ def test_governed_query(spark):
     assert serve.run_query(served, CATALOG, serve.Request("state_t", metrics=("m3",))).pointer == "nat_t"
 
 
+def test_triage_of_many_requests_says_what_each_alone_would_get(spark):
+    rows = [("01", "Goa", "7", "North", "2018-19", "m1"), ("01", "Goa", "8", "South", "2019-20", "m1"), ("02", "Goa", "9", "North", None, "m1"), ("03", "Kerala", "10", "8", "2018-19", "m2"), ("03", "Kerala", "10", "8", "2020-21", "m1")]
+    fine = spark.createDataFrame(rows, "state_lgd_code string, state_name string, district_lgd_code string, district_name string, financial_year string, metric string")
+    catalog = serve.Catalog((*CATALOG.tables, serve.ServedTable("fine_t", "district", ("m1", "m2"), tuple(fine.columns), "2012-13")), "2026-27")
+    state = fine.selectExpr("state_lgd_code", "state_name", "financial_year", "metric", "1D AS value")
+    served = {"state_t": state, "nat_t": state.select("financial_year", "metric", "value"), "fine_t": fine}
+    asked = [
+        dict(table="lineage"), dict(table="zz"), dict(table="state_t", month="04", fy_from="bad"), dict(table="state_t", fy_from="2019"), dict(table="state_t", fy_from="2027-28"),
+        dict(table="state_t", fy_to="2009-10"), dict(table="nat_t", fy_to="1999-00"), dict(table="fine_t", fy_to="2011-12"), dict(table="state_t", metrics=("m1", "m3", "m9")), dict(table="state_t", metrics=("m9",)),
+        dict(table="state_t", states=("Goa", "Atlantis", "Mu")), dict(table="nat_t", states=("01",)), dict(table="state_t", districts=("7",)), dict(table="fine_t", districts=("north", "nowhere")),
+        dict(table="state_t"), dict(table="state_t", states=(" goa ", "03", "01")), dict(table="fine_t", districts=("north",)), dict(table="fine_t", districts=("North", "8"), states=("01",)), dict(table="fine_t", districts=(" 8 ",)),
+        dict(table="fine_t", metrics=("m1", "m1"), fy_from="2019-20"), dict(table="fine_t", fy_to="2018-19"), dict(table="fine_t", fy_from="2018-19", fy_to="2019-20"), dict(table="fine_t", fy_from="2020-21", fy_to="2018-19"), dict(table="fine_t", states=()), dict(table="fine_t", metrics=()),
+    ]
+    names = ("metrics", "states", "districts", "fy_from", "fy_to", "month")
+    requests = spark.createDataFrame([(i, a["table"], *[list(v) if isinstance(v := a.get(n), tuple) else v for n in names]) for i, a in enumerate(asked)],
+                                     "request_id int, table_name string, metrics array<string>, states array<string>, districts array<string>, fy_from string, fy_to string, month string")
+    got = {r["request_id"]: r for r in triage.triage(requests, catalog, served, row_cap=4).collect()}
+    seen = set()
+    for i, a in enumerate(asked):
+        alone, row = serve.run_query(served, catalog, serve.Request(**a), row_cap=4), got[i]
+        if isinstance(alone, serve.Refusal):
+            seen.add(alone.code)
+            assert (row["code"], row["pointer"]) == (alone.code, alone.pointer), (a, row)
+            assert row["reason"] == alone.reason.replace("'", ""), (a, row)
+            if alone.options is not None:
+                assert tuple(row["options"]) == alone.options
+        else:
+            assert (row["code"], row["row_count"]) == (None, alone.row_count), (a, row)
+            assert [row["metrics"], row["states"], row["districts"]] == [alone.filters[n] for n in ("metrics", "states", "districts")]
+    assert len(seen) == 11 and got[14]["row_count"] == 5 and "5 rows match" in got[14]["reason"]
+    assert got[10]["options"] == ["Goa", "Kerala"] and got[13]["pointer"] == "get_schema"
+
+
 def test_unknown_filter_is_an_error(spark):
     with pytest.raises(ValueError, match="nonsense"):
         cohorts.select(spark.range(1), "nonsense")
