@@ -36,9 +36,11 @@ def _refusal(test: Column, code: Column | str, reason: Column | str, options: Co
     ).cast(REFUSAL))
 
 
-def _by_table(catalog: Catalog, pick) -> Column:
-    """A literal per table of the catalog, null for other names."""
-    return F.coalesce(*[F.when(F.col("table_name") == t.name, pick(t)) for t in catalog.tables])
+def _rules(catalog: Catalog, like: DataFrame) -> DataFrame:
+    """The catalog as rows, one a table."""
+    rows = [(t.name, list(t.metrics), t.floor, serve.FLOORS[t.grain], t.floor_pointer, *(_has(t, kind) for kind in KINDS)) for t in catalog.tables]
+    return like.sparkSession.createDataFrame(
+        rows, "table_name string, table_metrics array<string>, floor string, floor_code string, floor_pointer string, has_state boolean, has_district boolean").coalesce(1)
 
 
 def _has(table: ServedTable, kind: str) -> bool:
@@ -131,14 +133,12 @@ def triage(requests: DataFrame, catalog: Catalog, served: dict[str, DataFrame],
     asked = cut_lineage(requests.select("request_id", "table_name", "metrics", "states", "districts", "fy_from", "fy_to", "month"), "requests")
     places = cut_lineage(served_places(served, catalog), "places")
     listed = places.filter("kind = 'state'").groupBy("table_name").agg(F.array_sort(F.collect_set("name")).alias("state_names"))
-    table_metrics = _by_table(catalog, lambda t: _strings(t.metrics))
-    checked = asked.join(_resolved(asked, places, catalog), "request_id", "left").join(listed, "table_name", "left").withColumn(
-        "all_metrics", F.coalesce("metrics", table_metrics)).withColumn(
-        "odd_metrics", F.filter("all_metrics", lambda m: ~F.coalesce(F.array_contains(table_metrics, m), F.lit(False))))
+    rules = _rules(catalog, asked).join(listed, "table_name", "left")
+    checked = asked.join(_resolved(asked, places, catalog), "request_id", "left").join(rules, "table_name", "left").withColumn(
+        "all_metrics", F.coalesce("metrics", "table_metrics")).withColumn("odd_metrics", F.array_except("metrics", "table_metrics"))
 
     name, low, high = F.col("table_name"), F.col("fy_from"), F.col("fy_to")
     malformed = F.array_compact(F.array(*[F.when(b.isNotNull() & ~well_formed_fy(b), b) for b in (low, high)]))
-    floor = _by_table(catalog, lambda t: F.lit(t.floor))
     odd = F.get("odd_metrics", F.lit(0))
     home = F.coalesce(*[F.when(odd.isin(list(t.metrics)), t.name) for t in catalog.tables])
     checks = [
@@ -147,22 +147,20 @@ def triage(requests: DataFrame, catalog: Catalog, served: dict[str, DataFrame],
         _refusal(F.col("month").isNotNull(), serve.MONTHLY, "the series is annual; monthly year-to-date readings are no monthly values"),
         _refusal(F.size(malformed) > 0, serve.BAD_PERIOD, F.concat(F.get(malformed, F.lit(0)), F.lit(" is no financial year: expected YYYY-YY, the suffix being the next year"))),
         _refusal(low > catalog.ceiling, serve.SEALED, F.concat(F.lit(f"the record ends with {catalog.ceiling}; nothing exists from "), low, F.lit(" on"))),
-        _refusal(high < floor, _by_table(catalog, lambda t: F.lit(serve.FLOORS[t.grain])), F.concat(name, F.lit(" starts with "), floor),
-                 pointer=_by_table(catalog, lambda t: F.lit(t.floor_pointer))),
+        _refusal(high < F.col("floor"), F.col("floor_code"), F.concat(name, F.lit(" starts with "), F.col("floor")), pointer=F.col("floor_pointer")),
         _refusal(F.size("odd_metrics") > 0, serve.UNKNOWN_METRIC,
-                 F.concat(name, F.lit(" does not serve "), F.coalesce(odd, F.lit("null")), F.coalesce(F.concat(F.lit("; it is served by "), home), F.lit(""))), table_metrics, home),
+                 F.concat(name, F.lit(" does not serve "), F.coalesce(odd, F.lit("null")), F.coalesce(F.concat(F.lit("; it is served by "), home), F.lit(""))), F.col("table_metrics"), home),
     ]
     for kind in KINDS:
-        without = [t.name for t in catalog.tables if not _has(t, kind)]
         elsewhere = next((t.name for t in catalog.tables if _has(t, kind)), None) if kind == "district" else None
         first = F.col(f"{kind}_unknown")
         checks += [
-            _refusal(F.col(f"{kind}s").isNotNull() & name.isin(without), serve.UNKNOWN_GEOGRAPHY, F.concat(name, F.lit(f" has no {kind}")), pointer=elsewhere),
+            _refusal(F.col(f"{kind}s").isNotNull() & ~F.col(f"has_{kind}"), serve.UNKNOWN_GEOGRAPHY, F.concat(name, F.lit(f" has no {kind}")), pointer=elsewhere),
             _refusal(F.col(f"{kind}s").isNotNull() & first.isNotNull(), serve.UNKNOWN_GEOGRAPHY,
                      F.concat(F.lit(f"unknown {kind} "), F.coalesce(first["token"], F.lit("null")), F.lit(": give a code or a current name")),
                      F.col("state_names") if kind == "state" else None, "get_schema" if kind == "district" else None),
         ]
-    judged = cut_lineage(checked.withColumn("refusal", F.get(F.array_compact(F.array(*checks)), F.lit(0))).drop("odd_metrics", "state_names"), "judged")
+    judged = cut_lineage(checked.withColumn("refusal", F.get(F.array_compact(F.array(*checks)), F.lit(0))).drop("odd_metrics", *rules.columns[1:]), "judged")
     sizes = _sizes(judged.filter("refusal IS NULL"), cumulative_counts(served, catalog))
     size = F.coalesce("row_count", F.lit(0))
     over = _refusal(size > row_cap, serve.OVER_CAP, F.concat(size.cast("string"), F.lit(f" rows match, more than {row_cap}; narrow the filters")))
