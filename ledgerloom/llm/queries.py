@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import bpe, centroids, fingerprints, licenses, minmax, packing, prefix_trie, quality, reputation, shuffle, token_counts, token_store, toxicity
-from ledgerloom.llm.units import library_ids
+from ledgerloom.llm.units import library_counts
 from ledgerloom.session import scratch_path
 
 URL_RULES = [
@@ -51,33 +51,26 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals after inserting all documents, recounting the labelled ones without symbols, deleting
     those of low quality, and sending the recount twice."""
-    count = library_ids(public_tokenizers.path("byte_bpe_50k.json"))
+    path = public_tokenizers.path("byte_bpe_50k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
     labels = table(spark, sf_dir, "labels").filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    cleaned = F.regexp_replace("text", quality.SYMBOLS, "")
-
-    def counted(text, alias: str):
-        return F.array(
-            F.struct(F.lit("byte_bpe_50k").alias("tokenizer"), F.coalesce(F.octet_length(count(text)) / 4, F.lit(0)).cast("long").alias(alias)),
-            F.struct(F.lit("words").alias("tokenizer"), F.size(quality.words(F.col(text) if isinstance(text, str) else text)).cast("long").alias(alias)))
-
-    def versions(df: DataFrame, now, before=None) -> DataFrame:
-        cells = df.withColumn("_new", counted(now, "n"))
-        if before is not None:
-            cells = cells.withColumn("_old", counted(before, "n"))
-        keep = ["source", "lang"]
-        pairs = F.arrays_zip("_new", "_old") if before is not None else F.transform("_new", lambda x: F.struct(x.alias("_new")))
-        flat = cells.select(*keep, F.explode(pairs).alias("v"))
-        old = F.col("v._old.n") if before is not None else F.lit(None).cast("long")
-        return flat.select(*keep, F.col("v._new.tokenizer").alias("tokenizer"), F.col("v._new.n").alias("n_tokens"), old.alias("old_n_tokens"))
-
-    store = token_counts.TokenRollup(spark, scratch_path(spark, "token-counts"))
     labelled = docs.join(labels, "doc_id")
-    store.commit("load", versions(docs, F.col("text")).withColumn("op", F.lit("insert")))
-    recount = versions(labelled, cleaned, F.col("text")).withColumn("op", F.lit("revise"))
-    store.commit("recount", recount)
-    store.commit("drop", versions(labelled.filter("quality = 0"), cleaned).withColumn("op", F.lit("delete")))
-    store.commit("recount", recount)
+
+    def versions(df: DataFrame, op: str) -> DataFrame:
+        """A change for each of two versions: the vocabulary's ids, and words."""
+        words = F.coalesce(F.size(quality.words(F.col("text"))), F.lit(0)).cast("long")
+        counted = library_counts(df.select("doc_id", "source", "lang", words.alias("words"), "text"), path)
+        both = F.array(F.struct(F.lit("byte_bpe_50k").alias("tokenizer"), "n_tokens"), F.struct(F.lit("words").alias("tokenizer"), F.col("words").alias("n_tokens")))
+        return counted.select(F.lit(op).alias("op"), "doc_id", "source", "lang", F.explode(both).alias("v")).select("op", "doc_id", "source", "lang", "v.*")
+
+    store = token_counts.DocumentCounts(spark, scratch_path(spark, "token-counts"))
+    recount = versions(labelled.withColumn("text", F.regexp_replace("text", quality.SYMBOLS, "")), "revise")
+    gone = labelled.filter("quality = 0").select(
+        F.lit("delete").alias("op"), "doc_id", "source", "lang", F.explode(F.array(F.lit("byte_bpe_50k"), F.lit("words"))).alias("tokenizer"), F.lit(None).cast("long").alias("n_tokens"))
+    store.apply("load", versions(docs, "insert"))
+    store.apply("recount", recount)
+    store.apply("drop", gone)
+    store.apply("recount", recount)
     return store.totals()
 
 

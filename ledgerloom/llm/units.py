@@ -17,7 +17,9 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The characters with the Unicode property White_Space.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -157,3 +159,20 @@ def slices(part: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
     """A batch in pieces, so that only few of its texts are Python objects at a time."""
     for start in range(0, part.num_rows, rows):
         yield part.slice(start, rows)
+
+
+def library_counts(df: DataFrame, path: str, text: str = "text", out: str = "n_tokens") -> DataFrame:
+    """``df`` with the number of ids of its text in place of the text; a null text has none.
+
+    Only counts leave the workers, and few texts at a time are Python objects there.
+    """
+    kept = [c for c in df.columns if c != text]
+
+    def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo = library_memo(path)
+        for rows in (piece for part in parts for piece in slices(part)):
+            lengths = pa.array([len(ids) // 4 for ids in memo.pack(rows.column(0).to_pylist())], pa.int64())
+            yield pa.RecordBatch.from_arrays([*rows.columns[1:], lengths], [*kept, out])
+
+    schema = T.StructType([*df.select(*kept).schema.fields, T.StructField(out, T.LongType())])
+    return df.select(text, *kept).mapInArrow(count, schema)

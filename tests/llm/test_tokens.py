@@ -209,6 +209,31 @@ def test_rollups(spark):
     assert not store.committed("5")
 
 
+def test_counts_of_documents_are_looked_up(spark):
+    store = token_counts.DocumentCounts(spark, scratch_path(spark, "counts"))
+    change = "op string, doc_id long, source string, lang string, tokenizer string, n_tokens long"
+    rows = lambda *r: spark.createDataFrame(list(r), change).withColumn("old_n_tokens", F.lit(99)).withColumn("seq", F.lit(-1))
+    assert store.totals().count() == 0 and store.counts().count() == 0
+    first = rows(("insert", 1, "a", "en", "t", 5), ("insert", 1, "a", "en", "t", 5), ("insert", 2, "a", "en", "t", 7), ("insert", 2, "a", "en", None, 3), ("insert", 3, None, "de", "t", None),
+                 ("insert", None, "n", "en", "t", 4), ("insert", None, "n", "en", "t", 4), ("revise", None, "n", "en", "t", 9), ("delete", None, "n", "en", "t", 4))
+    assert store.apply("1", first) and not store.apply("1", first)
+    total = lambda: sorted((tuple(r) for r in store.totals().collect()), key=repr)
+    assert total() == sorted([("a", "en", "t", 2, 12), ("a", "en", None, 1, 3), (None, "de", "t", 1, 0), ("n", "en", "t", 2, 8)], key=repr)
+    # A moved document, one revised though it was never there, one deleted twice, and one that never was.
+    store.apply("2", rows(("revise", 1, "b", "fr", "t", 6), ("revise", 9, "a", "en", "t", 1), ("delete", 2, "x", "x", "t", None), ("delete", 77, "a", "en", "t", 5), ("delete", 2, "a", "en", None, 8)))
+    store.apply("3", rows(("delete", 2, "a", "en", "t", 7), ("insert", 3, None, "de", "t", 8)))
+    assert store.apply("4", rows()) and not store.apply("2", first)
+    assert total() == sorted([("a", "en", "t", 1, 1), ("b", "fr", "t", 1, 6), (None, "de", "t", 1, 8), ("n", "en", "t", 2, 8)], key=repr)
+    summed = store.counts().groupBy("source", "lang", "tokenizer").agg(F.count(F.lit(1)).alias("docs"), F.sum("n_tokens").alias("tokens")).collect()
+    assert sorted((tuple(r) for r in summed), key=repr) == total()
+    # A try that failed after it saved the documents leaves nothing behind.
+    first.selectExpr("doc_id", "tokenizer", "source", "lang", "n_tokens").write.parquet(f"{store.folder}/documents/batch=5")
+    assert store.counts().count() == 5 and store.apply("5", rows(("insert", 5, "a", "en", "t", 2))) and ("a", "en", "t", 2, 3) in total()
+    with pytest.raises(Exception, match="unknown change"):
+        store.apply("6", rows(("move", 1, "a", "en", "t", 1)))
+    assert not store.rollup.committed("6")
+
+
 def test_op6_totals(spark):
     encode = library("byte_bpe_50k.json")
     quality = {}
