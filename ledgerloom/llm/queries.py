@@ -54,7 +54,6 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
     labels = table(spark, sf_dir, "labels").filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    labelled = docs.join(labels, "doc_id")
 
     def versions(df: DataFrame, op: str) -> DataFrame:
         """A change for each of two versions: the vocabulary's ids, and words."""
@@ -64,9 +63,12 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         return counted.select(F.lit(op).alias("op"), "doc_id", "source", "lang", F.explode(both).alias("v")).select("op", "doc_id", "source", "lang", "v.*")
 
     store = token_counts.DocumentCounts(spark, scratch_path(spark, "token-counts"))
-    recount = versions(labelled.withColumn("text", F.regexp_replace("text", quality.SYMBOLS, "")), "revise")
-    gone = labelled.filter("quality = 0").select(
-        F.lit("delete").alias("op"), "doc_id", "source", "lang", F.explode(F.array(F.lit("byte_bpe_50k"), F.lit("words"))).alias("tokenizer"), F.lit(None).cast("long").alias("n_tokens"))
+    # A text without symbols keeps its count; texts are counted before the join, so none is shuffled.
+    cleaned = docs.withColumn("raw", F.col("text")).withColumn("text", F.regexp_replace("text", quality.SYMBOLS, "")).filter("text <> raw").drop("raw")
+    recount = versions(cleaned, "revise").join(labels.select("doc_id"), "doc_id")
+    gone = labels.filter("quality = 0").select(
+        F.lit("delete").alias("op"), "doc_id", F.lit(None).cast("string").alias("source"), F.lit(None).cast("string").alias("lang"),
+        F.explode(F.array(F.lit("byte_bpe_50k"), F.lit("words"))).alias("tokenizer"), F.lit(None).cast("long").alias("n_tokens"))
     store.apply("load", versions(docs, "insert"))
     store.apply("recount", recount)
     store.apply("drop", gone)

@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.session import cut_lineage
+
 KEYS = ("source", "lang", "tokenizer")
 DELTA = "source string, lang string, tokenizer string, docs long, tokens long"
 
@@ -117,7 +119,8 @@ class DocumentCounts:
         op = F.col("op")
         known = F.when(op.isin("insert", "revise", "delete"), op).otherwise(F.raise_error(F.concat(F.lit("unknown change: "), F.coalesce(op, F.lit("null")))).cast("string"))
         count = F.when(op != "delete", F.coalesce("n_tokens", F.lit(0)))
-        rows = changes.select(known.alias("op"), F.col("doc_id").cast("long"), "tokenizer", count.cast("long").alias("n_tokens"), "source", "lang")
+        # Counting is the costly part, so the changes are saved before they are read twice.
+        rows = cut_lineage(changes.select(known.alias("op"), F.col("doc_id").cast("long"), "tokenizer", count.cast("long").alias("n_tokens"), "source", "lang"), "changes")
         one = rows.filter("doc_id IS NOT NULL").groupBy("doc_id", "tokenizer").agg(F.max(F.struct("op", "n_tokens", "source", "lang")).alias("new"))
         before = self.counts().filter("doc_id IS NOT NULL").selectExpr("doc_id", "tokenizer AS t", "source AS old_source", "lang AS old_lang", "n_tokens AS old_n_tokens")
         same = (one["doc_id"] == before["doc_id"]) & one["tokenizer"].eqNullSafe(before["t"])
