@@ -54,7 +54,9 @@ def authority(dimension: DataFrame, keys: list[str]) -> DataFrame:
 def lookup(dimension: DataFrame, aliases: DataFrame, keys: list[str]) -> DataFrame:
     """Exact keys and alias keys in one table ``(keys…, name_key, code, name, rule_id, valid_from)``.
 
-    An alias counts only where no exact key exists and its target is in the authority list.
+    An alias counts only where no exact key exists and its target is in the authority list. Each key has
+    one row, so that a join never multiplies rows: of aliases with equal keys the one valid earliest
+    counts, then the one with the least code.
     """
     exact = authority(dimension, keys)
     targets = exact.select(*keys, F.col("name_key").alias("target_key"), "code", "name")
@@ -68,6 +70,8 @@ def lookup(dimension: DataFrame, aliases: DataFrame, keys: list[str]) -> DataFra
             F.col("valid_from").cast("int").alias("valid_from"),
         )
     )
+    first = F.min(F.struct("valid_from", "code", "name", "rule_id")).alias("a")
+    mapped = mapped.groupBy(*keys, "name_key").agg(first).select(*keys, "name_key", "a.code", "a.name", "a.rule_id", "a.valid_from")
     plain = exact.select(
         *keys, "name_key", "code", "name", F.lit(EXACT_RULE).alias("rule_id"), F.lit(None).cast("int").alias("valid_from")
     )
@@ -187,14 +191,13 @@ def resolve(
 
 
 def _attach_text(df: DataFrame, texts: DataFrame | None, name: str, district_key: str | None) -> DataFrame:
+    """``df`` with the text known of its name, the least one where several are."""
     if texts is None:
         return df.withColumn(name, F.lit(None).cast("string"))
+    least = texts.groupBy("state_code", "name_key").agg(F.min("text").alias(name))
     if district_key is None:
-        known = texts.filter(F.col("state_code").isNull()).select(F.col("name_key").alias("_key"), F.col("text").alias(name))
-        return df.join(known, "_key", "left")
-    known = texts.filter(F.col("state_code").isNotNull()).select(
-        F.col("state_code").alias("_s_code"), F.col("name_key").alias(district_key), F.col("text").alias(name)
-    )
+        return df.join(least.filter(F.col("state_code").isNull()).select(F.col("name_key").alias("_key"), name), "_key", "left")
+    known = least.filter(F.col("state_code").isNotNull()).select(F.col("state_code").alias("_s_code"), F.col("name_key").alias(district_key), name)
     return df.join(known, ["_s_code", district_key], "left")
 
 

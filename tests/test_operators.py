@@ -132,6 +132,21 @@ def test_resolution(spark):
     assert {r["reason"] for r in unknown.collect()} == {resolve.UNKNOWN_SCHEME}
 
 
+def test_repeated_curated_rows_double_nothing(spark):
+    states = spark.createDataFrame([(0, "30", "Goa"), (1, "31", "Kerala")], "row_index bigint, code string, name string")
+    districts = spark.createDataFrame([(0, "30", "551", "South Goa")], "row_index bigint, state_code string, code string, name string")
+    aliases = spark.createDataFrame([("gomantak", "Goa", None), ("gomantak", "Goa", None), ("gomantak", "Kerala", "2015"), ("konkan", "Kerala", "2018"), ("konkan", "Goa", "2010")], "name_key string, target string, valid_from string")
+    local = spark.createDataFrame([("30", "south", "South Goa", None), ("30", "south", "South Goa", None)], "state_code string, name_key string, target string, valid_from string")
+    texts = spark.createDataFrame([(None, "atlantis", "sunk"), (None, "atlantis", "gone"), ("30", "east", "split"), ("30", "east", "split")], "state_code string, name_key string, text string")
+    rows = spark.createDataFrame([(0, "Gomantak", "South", "2018-19"), (1, "Atlantis", "x", "2018-19"), (2, "Goa", "East", "2018-19"), (3, "Konkan", "South", "2018-19")], "row_index bigint, s string, d string, _fin_year string")
+    lookups = resolve.lookup(states, aliases, []), resolve.lookup(districts, local, ["state_code"])
+    assert lookups[0].groupBy("name_key").count().filter("count > 1").count() == 0 and lookups[1].count() == 2
+    out = resolve.resolve(rows, resolve.GeoConfig("district", "Mahatma Gandhi NREGA", state_name="s", district_name="d"), presets.SCHEME_SPELLINGS,
+                          presets.CANONICAL_SCHEME, *lookups, texts, texts).orderBy("row_index").collect()
+    assert [(r["state_code"], r["district_code"], r["detail"]) for r in out] == [
+        ("30", "551", None), (None, None, "state:'Atlantis' — gone"), (None, None, "district:'East' in state Goa(30) — split"), ("30", "551", None)]
+
+
 CATALOG = serve.Catalog((
     serve.ServedTable("state_t", "state", ("m1", "m2"), ("state_lgd_code", "state_name", "financial_year", "metric", "value"), "2010-11", "nat_t"),
     serve.ServedTable("nat_t", "national", ("m1", "m3"), ("financial_year", "metric", "value"), "2006-07")), "2026-27")
