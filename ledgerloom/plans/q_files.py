@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import series
@@ -35,6 +35,28 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in columns])
 
 
+@query(
+    "ordered_rows",
+    f"WITH {ROWS} SELECT id, cust, note, ROW_NUMBER() OVER (ORDER BY COALESCE(cust, ''), note, id) - 1 AS position FROM rws",
+)
+def ordered_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every row in the order in which the sinks write."""
+    return sinks.numbered(table_rows(spark, sf_dir), ["cust", "note", "id"]).select("id", "cust", "note", "position")
+
+
+@query(
+    "file_order",
+    f"WITH {ROWS} SELECT id, ROW_NUMBER() OVER (ORDER BY COALESCE(cust, ''), note, id) - 1 AS position FROM rws",
+)
+def file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows as they follow each other in the written files, read by file name and place in the file."""
+    path = scratch_path(spark, "sorted")
+    sinks.write_parquet(table_rows(spark, sf_dir), path, ["id", "cust", "note"], ["cust", "note", "id"])
+    read = spark.read.parquet(path).select("id", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    ahead = read.groupBy("file").count().withColumn("start", F.coalesce(F.sum("count").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return read.join(ahead, "file").select("id", (F.col("start") + F.col("row")).alias("position"))
+
+
 # Lines as a publisher may send them: whole, with blank cells, blank, short, long and quoted.
 LINES = """CASE o_orderkey % 8 WHEN 0 THEN CONCAT(k, ',,', p) WHEN 1 THEN ',,' WHEN 2 THEN CONCAT(k, ',', c) WHEN 3 THEN CONCAT(k, ',', c, ',', p, ',more')
   WHEN 4 THEN CONCAT(k, ',"",', p) WHEN 5 THEN CONCAT('"', k, ', ""x\"""') WHEN 6 THEN CONCAT(k, ',') ELSE CONCAT(k, ',', c, ',', p) END"""

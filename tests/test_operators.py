@@ -132,6 +132,17 @@ def test_resolution(spark):
     assert {r["reason"] for r in unknown.collect()} == {resolve.UNKNOWN_SCHEME}
 
 
+def test_places_in_a_global_order(spark):
+    from ledgerloom.sources import sinks
+    rows = [(i, None if i % 5 == 0 else str(i * 7 % 13), Decimal(i % 3)) for i in range(500)]
+    df = spark.createDataFrame(rows, "id int, word string, value decimal(28,12)").repartition(9)
+    got = {r["id"]: r["position"] for r in sinks.numbered(df, ["word", "value", "id"]).collect()}
+    want = sorted(rows, key=lambda r: (r[1] or "", str(r[2]), str(r[0])))
+    assert got == {r[0]: n for n, r in enumerate(want)}
+    assert sorted(r["position"] for r in sinks.numbered(df, ["word"]).collect()) == list(range(500))
+    assert sinks.numbered(df.limit(0), ["word"]).collect() == []
+
+
 def test_repeated_curated_rows_double_nothing(spark):
     states = spark.createDataFrame([(0, "30", "Goa"), (1, "31", "Kerala")], "row_index bigint, code string, name string")
     districts = spark.createDataFrame([(0, "30", "551", "South Goa")], "row_index bigint, state_code string, code string, name string")
