@@ -88,16 +88,12 @@ def _resolved(asked: DataFrame, places: DataFrame, catalog: Catalog) -> DataFram
         having = [t.name for t in catalog.tables if _has(t, kind)]
         parts.append(asked.filter(F.col("table_name").isin(having)).select("request_id", "table_name", F.lit(kind).alias("kind"), F.posexplode(f"{kind}s").alias("pos", "token")))
     tokens = reduce(DataFrame.unionByName, parts)
+    tokens = tokens.withColumn("key", trimmed(F.col("token"))).withColumn("low", F.lower("key"))
     # A token is a code if any place has it as one; otherwise a name, which may stand for several.
-    keys = places.select("table_name", "kind", "code", F.explode(F.array(
-        F.struct(F.lit(0).alias("rank"), F.col("code").alias("key")), F.struct(F.lit(1).alias("rank"), F.lower("name").alias("key")))).alias("k"))
-    keys = keys.select("table_name", "kind", "k.rank", "k.key", "code").distinct()
-    clean = trimmed(F.col("token"))
-    probes = tokens.withColumn("p", F.explode(F.array(F.struct(F.lit(0).alias("rank"), clean.alias("key")), F.struct(F.lit(1).alias("rank"), F.lower(clean).alias("key")))))
-    met = probes.select("request_id", "table_name", "kind", "pos", "token", "p.*").join(keys, ["table_name", "kind", "rank", "key"], "left")
-    codes = lambda rank: F.sort_array(F.collect_set(F.when(F.col("rank") == rank, F.col("code"))))
-    each = met.groupBy("request_id", "kind", "pos", "token").agg(codes(0).alias("c"), codes(1).alias("n")).select(
-        "request_id", "kind", "pos", "token", F.when(F.size("c") > 0, F.col("c")).otherwise(F.col("n")).alias("codes"))
+    exact = places.groupBy("table_name", "kind", F.col("code").alias("key")).agg(F.array(F.any_value("code")).alias("c"))
+    named = places.groupBy("table_name", "kind", F.lower("name").alias("low")).agg(F.sort_array(F.collect_set("code")).alias("n"))
+    each = tokens.join(exact, ["table_name", "kind", "key"], "left").join(named, ["table_name", "kind", "low"], "left").select(
+        "request_id", "kind", "pos", "token", F.coalesce("c", "n", F.array().cast("array<string>")).alias("codes"))
     unknown = F.size("codes") == 0
     figures = []
     for kind in KINDS:
