@@ -1,4 +1,9 @@
-"""Documents to packed training sequences: toxicity, quality, near-duplicates, packing."""
+"""Documents to packed training sequences: toxicity, quality, near-duplicates, packing.
+
+A row travels through a filtering stage as one struct, so that columns of any name, also those that
+an operator adds, come out as they went in. An empty table gives no rows in every stage; repeated
+rows are judged each.
+"""
 
 from __future__ import annotations
 
@@ -12,15 +17,20 @@ from ledgerloom.llm import minmax, packing, quality, toxicity
 from ledgerloom.session import cut_lineage
 
 
+def wrapped(docs: DataFrame, *beside: str) -> DataFrame:
+    """``row`` with all columns of ``docs``, and copies of those named ``beside`` it."""
+    return docs.select(F.struct("*").alias("row"), *beside)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the severity model doesn't call toxic."""
+    """Documents that the severity model doesn't call toxic; those without a text stay."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.score_documents(docs, model).filter("NOT toxic").select(*docs.columns)
+    return toxicity.score_documents(wrapped(docs, "text"), model).filter("NOT toxic").select("row.*")
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass every quality rule."""
-    return quality.judge_quality(docs).filter("failed_rule IS NULL").select(*docs.columns)
+    """Documents that pass every quality rule; those without a text have no words and go."""
+    return quality.judge_quality(wrapped(docs, "text")).filter("failed_rule IS NULL").select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,15 +39,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Rows are told apart by a number of their own, saved with them so that retries agree; rows that
     repeat a doc_id and rows without one, which come last, are compared like all others.
     """
-    rows = cut_lineage(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    found = minmax.near_duplicates(rows, doc_id="_row").select(F.col("doc_id").alias("_row"), "component_id")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("_lost"), "doc_id", "_row")).alias("_first")
-    kept = rows.select("_row", "doc_id").join(found, "_row").groupBy("component_id").agg(first).select("_first._row")
-    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
+    rows = cut_lineage(wrapped(docs).withColumn("number", F.monotonically_increasing_id()), "rows")
+    found = minmax.near_duplicates(rows.select("number", "row.text"), doc_id="number").select(F.col("doc_id").alias("number"), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("lost"), "doc_id", "number")).alias("first")
+    kept = rows.select("number", "row.doc_id").join(found, "number").groupBy("component_id").agg(first).select("first.number")
+    return rows.join(kept, "number", "left_semi").select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document with its sequence and its place there."""
+    """Every piece of every document with its sequence and its place there; other columns are dropped."""
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
