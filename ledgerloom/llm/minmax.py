@@ -17,9 +17,9 @@ Documents of equal sets are one representative from the start. Then
    that didn't join them, all of them.
 
 A link counts only where the full sets confirm it, and no step caps partners: what one step leaves
-apart the next one decides. Pairs within a class are never listed. A pair at the threshold is passed
-over by its signature with a probability of about 1e-4 (``margin`` standard deviations), in which
-case it is still joined by any other link.
+apart the next one decides. Pairs within a class are never listed. Signatures and least hashes only
+spare comparisons: at ``SAFE_MARGIN`` deviations, at which ``near_duplicates`` runs, a pair at the
+threshold is passed over by them with a probability of about 2e-9, less than that of missing all bands.
 
 Classes are connected components, computed over tables in the shared folder.
 
@@ -47,11 +47,15 @@ from ledgerloom.session import cut_lineage
 BLANK = b" \t\n\x0b\x0c\r"
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + BLANK, b"abcdefghijklmnopqrstuvwxyz" + b" " * len(BLANK))
 
+#: Deviations of the estimates at which no link is passed over.
+SAFE_MARGIN = 7.0
+
 
 @dataclass(frozen=True)
 class NearDuplicates:
     """``percent``: similarity of a link; ``block``: rows of a bucket that are compared in one group;
-    ``sample``: hashes of a set that travel to a block."""
+    ``sample``: hashes of a set that travel to a block; ``margin``: standard deviations that estimates
+    are allowed, 4 of them passing over one link of 10,000."""
 
     shingle: int = 5
     percent: int = 80
@@ -318,7 +322,7 @@ def crossing_pairs(shared: DataFrame, reps: DataFrame, sets: DataFrame, classes:
     return found.select("a", "b").distinct()
 
 
-def near_duplicates(docs: DataFrame, policy: NearDuplicates = NearDuplicates(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, policy: NearDuplicates = NearDuplicates(margin=SAFE_MARGIN), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row."""
     rows = cut_lineage(sketches(docs, policy, doc_id, text), "sketches")
     known = rows.filter("doc_id IS NOT NULL AND set_key IS NOT NULL")

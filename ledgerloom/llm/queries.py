@@ -77,7 +77,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minmax.near_duplicates(table(spark, sf_dir, "documents"), minmax.NearDuplicates(shingle=4))
+    return minmax.near_duplicates(table(spark, sf_dir, "documents"), minmax.NearDuplicates(shingle=4, margin=minmax.SAFE_MARGIN))
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -220,7 +220,8 @@ def read_files(manifest: DataFrame, folder: str) -> DataFrame:
                 rows = [(doc, base + start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())) for doc, start, ids in file.documents()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    files = with_base(manifest).select("path", "base").repartition("path")
+    # A number of its own, as adaptive execution would merge so small a table into one task.
+    files = with_base(manifest).select("path", "base").repartition(max(1, manifest.count()), "path")
     return files.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

@@ -7,8 +7,9 @@ severity of a text is the expected grade, the sum over j of P(grade > j); a text
 P(grade > 0) is above one half.
 
 The model is fitted on the driver from a bounded sample of the labelled rows: the ``sample_rows``
-rows of the least hash of doc_id, of which at most ``sample_words`` distinct words each are used. The
-sample decides the weights only; every row is scored on its whole text.
+rows of the least hash of doc_id, with their whole texts. The driver gets the counts of those features
+alone that enough of these texts have. The sample decides the weights only; every row is scored on its
+whole text.
 
 Defined results: a null or empty text, or one without known features, has the score of no features.
 Labelled rows without a grade, and labels of unknown documents, are not used; a document labelled
@@ -37,7 +38,6 @@ WORD = re.compile(r"[^\W\d_]+")
 @dataclass(frozen=True)
 class Training:
     sample_rows: int = 6000
-    sample_words: int = 2000
     min_texts: int = 5
     min_chi_square: float = 15.0
     prefixes: tuple[int, ...] = (4, 5, 6)
@@ -173,8 +173,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, training: Training, doc_
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            kept = [dict(word_counts(t).most_common(training.sample_words)) for t in part["text"]]
-            found = [features(k, training.prefixes) for k in kept]
+            found = [features(word_counts(t), training.prefixes) for t in part["text"]]
             yield pd.DataFrame({"label": part["_label"], "features": [list(f) for f in found], "counts": [list(f.values()) for f in found]})
 
     rows = docs.select(doc_id, F.col(text).alias("text")).join(F.broadcast(ids), doc_id).select("_label", "text")

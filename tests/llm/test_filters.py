@@ -348,6 +348,16 @@ def test_large_family_equals_brute_force_in_small_blocks(spark):
     assert got == brute_classes(docs, 5)
 
 
+def test_signatures_pass_over_no_pair_at_the_threshold():
+    """20,000 pairs of sets of exactly 0.8: none is lost before the full sets are compared."""
+    policy, draw = minmax.NearDuplicates(margin=minmax.SAFE_MARGIN), np.random.default_rng(11)
+    hasher = minmax.MinMax(policy)
+    for _ in range(20_000):
+        hashes = draw.integers(0, 2**64, 50, np.uint64)
+        x, y = (hasher.signature(np.sort(h)).astype(np.uint8) for h in (hashes[:45], hashes[5:]))
+        assert minmax._estimate(x, y) >= policy.possible
+
+
 def test_least_hashes_leave_every_link_possible():
     policy, draw = minmax.NearDuplicates(sample=64), np.random.default_rng(3)
     for size in (1, 5, 40, 64, 300, 2000):

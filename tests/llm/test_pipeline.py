@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from compare import compare
 from helpers import SF, empty_documents, odd_documents
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -17,7 +18,7 @@ def test_oracle(spark, name):
 
 
 def test_registration():
-    assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries()) and len(queries.QUERIES) == 10
+    assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries()) and len(queries.QUERIES) == 13
 
 
 def test_stages_keep_columns_and_remove_what_they_reject(spark):
@@ -40,6 +41,17 @@ def test_stages_on_odd_and_empty_tables(spark):
             stage(spark, docs.select("doc_id", "text", "lang", "source", "n_chars"), SF).collect()
 
 
+def test_stages_leave_columns_of_the_operators_names_alone(spark):
+    """Columns that the operators add, or that the stages use, come out as they went in."""
+    names = ["failed_rule", "toxic", "expected_severity", "toxic_probability", "row", "_row", "number", "component_id", "kept"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    docs = docs.select("*", *[F.concat(F.lit(n), F.lit("-"), F.col("doc_id")).alias(n) for n in names])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, SF)
+        assert after.schema.names == docs.schema.names and after.count() > 0, name
+        assert after.filter(" OR ".join(f"NOT ({n} <=> concat('{n}-', doc_id))" for n in names)).count() == 0, name
+
+
 def test_near_copies_of_repeated_rows_and_null_ids(spark):
     a, b, c, d = (" ".join(f"{k}{i}" for i in range(60)) for k in "abcd")
     rows = [(3, a), (1, a), (1, a), (None, a), (None, a + " more"), (None, b), (None, b), (5, c), (5, d), (5, d)]

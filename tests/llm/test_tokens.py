@@ -122,6 +122,7 @@ def test_files_close_at_their_size(spark):
     token_store.write_files(rows, folder, file_ids=95).write.parquet(saved)
     manifest = spark.read.schema(token_store.MANIFEST).parquet(saved)
     assert manifest.count() == 10
+    assert token_store.read_files(manifest, folder).rdd.getNumPartitions() == 10  # not one task for all files
     assert sorted(r["start"] for r in token_store.read_files(manifest, folder).collect()) == list(range(0, 1000, 10))
 
 
