@@ -1,6 +1,7 @@
 """Schema drift over the history of pulls of each source.
 
-``pulls`` has ``source_id, pull_seq BIGINT, columns ARRAY<STRING>, completeness``.
+``pulls`` has ``source_id, pull_seq BIGINT, columns ARRAY<STRING>, completeness``; ``baselines`` has
+``source_id, columns ARRAY<STRING>, full BOOLEAN``, at most one row per source.
 """
 
 from __future__ import annotations
@@ -8,8 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.session import cut_lineage
 from ledgerloom.sources.landing import FULL, fingerprint_of
 
+BASELINES = "source_id string, columns array<string>, full boolean"
+
 
 def drift_between(base: Column, base_full: Column, current: Column, current_full: Column) -> Column:
     """``struct(detected, comparable, added, removed)``; two scopes compare only if both are full."""
@@ -23,16 +27,45 @@ def drift_between(base: Column, base_full: Column, current: Column, current_full
     )
 
 
-def ledger(pulls: DataFrame, chunk: int = 10_000) -> DataFrame:
+def _seen() -> Column:
+    return F.struct("columns", (F.col("completeness") == FULL).alias("full"))
+
+
+def _in_chunks(pulls: DataFrame, chunk: int) -> DataFrame:
+    """``pulls`` with ``_chunk``: neighbours in the order of source and sequence, about ``chunk`` of them.
+
+    A chunk is a range partition, so its size doesn't depend on how densely the sequences are used.
+    It is saved, for the bounds to stay what they are when a task is lost.
+    """
+    saved = cut_lineage(pulls, "pulls")
+    chunks = max(1, -(-saved.count() // chunk))
+    ranged = saved.repartitionByRange(chunks, "source_id", "pull_seq")
+    return cut_lineage(ranged.withColumn("_chunk", F.spark_partition_id()), "chunks")
+
+
+def baselines_after(pulls: DataFrame, baselines: DataFrame) -> DataFrame:
+    """The baselines in force after ``pulls``: the last full pull, else the one before, else the first pull."""
+    at = F.when(F.col("completeness") == FULL, F.col("pull_seq"))
+    new = pulls.withColumn("_seen", _seen()).groupBy("source_id").agg(
+        F.max_by("_seen", at).alias("_full"), F.min_by("_seen", "pull_seq").alias("_start")
+    )
+    old = baselines.select("source_id", F.struct("columns", "full").alias("_old"))
+    both = new.join(old, "source_id", "full_outer")
+    return both.select("source_id", F.coalesce("_full", "_old", "_start").alias("b")).select("source_id", "b.columns", "b.full")
+
+
+def ledger(pulls: DataFrame, chunk: int = 10_000, baselines: DataFrame | None = None) -> DataFrame:
     """Each pull with its drift against the baseline in force when it arrived.
 
     The first pull of a source is its baseline whatever its scope; later only a full pull replaces
-    it. The history of a source is cut into chunks of ``chunk`` sequence numbers: windows run inside
-    a chunk, and a window over one row per chunk carries the baseline from chunk to chunk, so a
-    source with a long history is spread over many tasks.
+    it. ``baselines`` are those of sources that were seen before ``pulls``. The pulls are cut into
+    chunks of about ``chunk`` rows: windows run inside a chunk, and a window over one row per chunk
+    carries the baseline from chunk to chunk, so a source with a long history is spread over many
+    tasks.
     """
-    seen = F.struct("columns", (F.col("completeness") == FULL).alias("full"))
-    rows = pulls.withColumn("_seen", seen).withColumn("_chunk", F.floor(F.col("pull_seq") / chunk))
+    if baselines is None:
+        baselines = pulls.sparkSession.createDataFrame([], BASELINES)
+    rows = _in_chunks(pulls, chunk).withColumn("_seen", _seen())
     full = F.when(F.col("completeness") == FULL, F.col("_seen"))
 
     inside = Window.partitionBy("source_id", "_chunk").orderBy("pull_seq")
@@ -51,10 +84,11 @@ def ledger(pulls: DataFrame, chunk: int = 10_000) -> DataFrame:
             F.last("_full", ignorenulls=True).over(across.rowsBetween(Window.unboundedPreceding, -1)).alias("_carried"),
             F.first("_start").over(across.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_first"),
         )
+        .join(baselines.select("source_id", F.struct("columns", "full").alias("_stored")), "source_id", "left")
     )
     joined = rows.join(carried, ["source_id", "_chunk"])
-    is_first = F.col("pull_seq") == F.col("_first.pull_seq")
-    base = F.when(~is_first, F.coalesce("_local", "_carried", F.col("_first._seen")))
+    is_first = F.col("_stored").isNull() & (F.col("pull_seq") == F.col("_first.pull_seq"))
+    base = F.when(~is_first, F.coalesce("_local", "_carried", "_stored", F.col("_first._seen")))
     return (
         joined.withColumn("_base", base)
         .withColumn("_d", drift_between(F.col("_base.columns"), F.col("_base.full"), F.col("columns"), F.col("_seen.full")))

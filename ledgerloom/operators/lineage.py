@@ -22,16 +22,23 @@ BUCKETS = {
     "partial_period": "partial",
 }
 
+#: Digits of an id that name its folder in a published table.
+FOLDER_DIGITS = 2
+
 SOURCE = (
     "struct<source_id:string,resource_id:string,value:string,original_unit:string,source_as_of:string,"
-    "authority_rank:int,rounding_epsilon:string,edition_span_end:string,is_edition_terminal:boolean>"
+    "authority_rank:int,rounding_epsilon:string,edition_span_end:string,is_edition_terminal:boolean,"
+    "aggregate_coverage:struct<units_summed:bigint,units_in_source_universe:bigint,units_in_lgd:bigint,status:string>,"
+    "definition_discrepancy:struct<derived:string,source_provided:string,pct:string,rule_id:string>>"
 )
 RECORD = (
     "fact_id string, key struct<scheme:string,geo_level:string,state_code:string,district_code:string,"
     "fin_year:string,month:string,metric:string>, value string, unit string, basis string, confidence string,"
     "resolution_rule_id string, adjudicated boolean, quarantined boolean, quarantine_reason string,"
     f"sources_seen array<{SOURCE}>,"
-    "disagreement struct<pct:string,rejected_sources:array<string>,rule_id:string,material:boolean>"
+    "disagreement struct<pct:string,rejected_sources:array<string>,rule_id:string,material:boolean>,"
+    + ",".join(f"{bucket} array<{SOURCE}>" for bucket in BUCKETS)
+    + ",part int,parts int"
 )
 
 
@@ -145,6 +152,33 @@ def look_up(requests: DataFrame, lineage: DataFrame) -> DataFrame:
     return requests.join(lineage, "fact_id", "left").withColumn("found", F.col("confidence").isNotNull())
 
 
+def id_folder(digits: int) -> Column:
+    """The folder of an id: its first digits behind a letter, so that no reader takes them for a number."""
+    return F.concat(F.lit("x"), F.substring("fact_id", 1, digits))
+
+
+def publish(rows: DataFrame, path: str, digits: int = FOLDER_DIGITS) -> None:
+    """Write rows with a ``fact_id`` for look-ups: a folder for each of the ids' first digits, sorted within.
+
+    Ids are digests, so folders are of one size. Rows are dealt by ranges of ids, so a folder is
+    written by as many tasks as its size asks for, into files of separate ranges.
+    """
+    placed = rows.withColumn("id_folder", id_folder(digits)).repartitionByRange("id_folder", "fact_id")
+    placed.sortWithinPartitions("id_folder", "fact_id").write.partitionBy("id_folder").parquet(path)
+
+
+def look_up_published(requests: DataFrame, path: str, digits: int = FOLDER_DIGITS) -> DataFrame:
+    """``look_up`` in a published table, of which only the folders asked for are read.
+
+    The driver learns which folders those are: at most 16 ** ``digits`` short names, however many
+    requests there are. An id that is no digest is in none of them.
+    """
+    asked = requests.filter(F.col("fact_id").rlike(f"^[0-9a-f]{{{digits}}}")).select(id_folder(digits).alias("f")).distinct()
+    folders = [r["f"] for r in asked.collect()]
+    table = requests.sparkSession.read.parquet(path)
+    return look_up(requests, table.filter(F.col("id_folder").isin(folders)).drop("id_folder"))
+
+
 def rejected_values(sources: DataFrame) -> DataFrame:
     """Readings whose publisher is among the rejected ones of their fact.
 

@@ -10,7 +10,9 @@ from ledgerloom.operators import dedupe, drift, normalize, reshape
 from ledgerloom.plans.inputs import CELLS, PULLS, SNAPSHOTS, fyl, run
 from ledgerloom.plans.registry import query
 from ledgerloom.presets import CANONICAL_SCHEME, SCHEME_SPELLINGS
+from ledgerloom.session import cut_lineage, scratch_path
 from ledgerloom.sources import landing
+from ledgerloom.streaming import pulls
 
 NUM = "'^[+-]?[0-9]+(\\.[0-9]+)?$'"
 CLEANED = f"""{CELLS}, c1 AS (SELECT *, TRIM(cell) AS body, REPLACE(TRIM(cell), ',', '') AS bare FROM cells),
@@ -280,9 +282,7 @@ def header_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 FINGERPRINT = "'sha256:' || SHA256(ARRAY_TO_STRING({0}, CHR(10)))"
 
 
-@query(
-    "drift_ledger",
-    f"""WITH {PULLS}, p AS (SELECT source_id, pull_seq, completeness, LIST_SORT(LIST(DISTINCT column_name)) AS cols FROM pull_columns GROUP BY 1, 2, 3),
+DRIFT = f"""WITH {PULLS}, p AS (SELECT source_id, pull_seq, completeness, LIST_SORT(LIST(DISTINCT column_name)) AS cols FROM pull_columns GROUP BY 1, 2, 3),
     b AS (SELECT *, LAST_VALUE(CASE WHEN completeness = 'full' THEN cols END IGNORE NULLS) OVER w AS full_cols, FIRST_VALUE(cols) OVER w AS first_cols,
       ROW_NUMBER() OVER (PARTITION BY source_id ORDER BY pull_seq) AS rn FROM p
       WINDOW w AS (PARTITION BY source_id ORDER BY pull_seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
@@ -290,14 +290,35 @@ FINGERPRINT = "'sha256:' || SHA256(ARRAY_TO_STRING({0}, CHR(10)))"
     d AS (SELECT *, CASE WHEN cmp AND rn > 1 THEN [x FOR x IN cols IF NOT LIST_CONTAINS(base, x)] ELSE [] END AS added,
       CASE WHEN cmp AND rn > 1 THEN [x FOR x IN base IF NOT LIST_CONTAINS(cols, x)] ELSE [] END AS removed FROM c)
     SELECT source_id, pull_seq, completeness, CASE WHEN rn > 1 THEN {FINGERPRINT.format('base')} END AS previous_version, {FINGERPRINT.format('cols')} AS new_version,
-    LEN(added) + LEN(removed) > 0 AS detected, rn = 1 OR cmp AS comparable, ARRAY_TO_STRING(added, ',') AS added, ARRAY_TO_STRING(removed, ',') AS removed FROM d""",
-)
-def drift_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pulls = run(spark, sf_dir, f"WITH {PULLS} SELECT * FROM pull_columns").groupBy("source_id", "pull_seq", "completeness").agg(
+    LEN(added) + LEN(removed) > 0 AS detected, rn = 1 OR cmp AS comparable, ARRAY_TO_STRING(added, ',') AS added, ARRAY_TO_STRING(removed, ',') AS removed FROM d"""
+
+
+def recorded_pulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run(spark, sf_dir, f"WITH {PULLS} SELECT * FROM pull_columns").groupBy("source_id", "pull_seq", "completeness").agg(
         F.collect_set("column_name").alias("columns")
     )
-    out = drift.ledger(pulls, chunk=7)
-    return out.withColumns({"added": F.array_join("added", ","), "removed": F.array_join("removed", ",")})
+
+
+def _listed(found: DataFrame) -> DataFrame:
+    return found.withColumns({"added": F.array_join("added", ","), "removed": F.array_join("removed", ",")})
+
+
+@query("drift_ledger", DRIFT)
+def drift_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _listed(drift.ledger(recorded_pulls(spark, sf_dir), chunk=7))
+
+
+@query("drift_stream", DRIFT)
+def drift_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pulls, arriving in three runs of the stream that each go on from the last one's baselines."""
+    folder = scratch_path(spark, "pulls")
+    recorded = cut_lineage(recorded_pulls(spark, sf_dir), "recorded")
+    third = F.floor((F.col("pull_seq") - 1) / 11)
+    for part in range(3):
+        recorded.filter(third == part).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(pulls.PULLS).parquet(f"{folder}/in")
+        pulls.follow_pulls(stream, f"{folder}/baselines", f"{folder}/findings", f"{folder}/progress").awaitTermination()
+    return _listed(spark.read.parquet(f"{folder}/findings").drop("batch"))
 
 
 RAW = """raw_rows AS (SELECT event_id AS row_index, event_type AS resource_id, CASE event_id % 12

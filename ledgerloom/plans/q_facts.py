@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.ids import key_text
+from ledgerloom.functions.text import plain_number
 from ledgerloom.operators import lineage, reconcile, series, wide
 from ledgerloom.plans.inputs import OBS, OBS_POLICY, fyl, observations, run
 from ledgerloom.plans.registry import query
-from ledgerloom.session import cut_lineage
+from ledgerloom.session import cut_lineage, scratch_path
 
 
 def _agree(w: str, o: str) -> str:
@@ -234,12 +235,19 @@ def null_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SEEN = "source_id || '=' || CAST(CAST(val AS BIGINT) AS STRING)"
+BUCKET_FLAGS = {"coverage_absent": "absent", "scale_quarantined": "scaled", "edition_superseded": "superseded", "partial_period": "part"}
+
+
 @query(
     "lineage_records",
-    f"""WITH {DECIDED}, src AS (SELECT sk, fy, metric, STRING_AGG(source_id || '=' || CAST(CAST(val AS BIGINT) AS STRING), ',' ORDER BY seq) AS seen_list,
+    f"""WITH {DECIDED}, src AS (SELECT sk, fy, metric, STRING_AGG({SEEN}, ',' ORDER BY seq) AS seen_list,
+      STRING_AGG(COALESCE(cov, '-') || ':' || COALESCE({fyl('span')}, '-'), ',' ORDER BY seq) AS span_list,
+      {', '.join(f"COALESCE(STRING_AGG({SEEN}, ',' ORDER BY seq) FILTER (WHERE {flag}), '') AS {bucket}" for bucket, flag in BUCKET_FLAGS.items())},
       COALESCE(STRING_AGG(source_id, ',' ORDER BY seq) FILTER (WHERE rejected), '') AS rejected_list FROM r7 GROUP BY 1, 2, 3)
-    SELECT f.fact_id, CAST(CAST(value AS BIGINT) AS STRING) AS value, confidence, rule AS resolution_rule_id, adj AS adjudicated,
-    seen_list, CASE WHEN n_rej > 0 THEN rejected_list END AS rejected_list FROM facts f JOIN src s ON {_same('f', 's')}""",
+    SELECT f.fact_id, CAST(f.nk AS STRING) AS state_code, CAST(f.sk AS STRING) AS district_code, fin_year, f.metric,
+    CAST(CAST(value AS BIGINT) AS STRING) AS value, basis, confidence, rule AS resolution_rule_id, adj AS adjudicated, negative OR above AS quarantined,
+    seen_list, span_list, {', '.join(BUCKET_FLAGS)}, CASE WHEN n_rej > 0 THEN rejected_list END AS rejected_list FROM facts f JOIN src s ON {_same('f', 's')}""",
 )
 def lineage_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records as published, through JSON text and back."""
@@ -247,20 +255,27 @@ def lineage_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     published = lineage.records(decided, lineage.nested_sources(rows))
     lines = published.select("fact_id", F.to_json(F.struct(*published.columns), {"ignoreNullFields": "false"}).alias("record"))
     parsed = lineage.parse_records(lines)
-    listed = F.transform("sources_seen", lambda s: F.concat(s["source_id"], F.lit("="), s["value"]))
+
+    def listed(name: str) -> Column:
+        return F.array_join(F.transform(name, lambda s: F.concat(s["source_id"], F.lit("="), s["value"])), ",")
+
+    dash = F.lit("-")
+    spans = F.transform("sources_seen", lambda s: F.concat_ws(":", F.coalesce(s["aggregate_coverage"]["status"], dash), F.coalesce(s["edition_span_end"], dash)))
     return parsed.select(
-        "fact_id", "value", "confidence", "resolution_rule_id", "adjudicated", F.array_join(listed, ",").alias("seen_list"),
+        "fact_id", "key.state_code", "key.district_code", "key.fin_year", "key.metric", "value", "basis", "confidence",
+        "resolution_rule_id", "adjudicated", "quarantined", listed("sources_seen").alias("seen_list"),
+        F.array_join(spans, ",").alias("span_list"), *[listed(bucket).alias(bucket) for bucket in lineage.BUCKETS],
         F.array_join("disagreement.rejected_sources", ",").alias("rejected_list"),
     )
 
 
 @query(
     "lineage_lookup",
-    f"""WITH {DECIDED}, req AS (SELECT CAST(o_orderkey AS BIGINT) AS position, SUBSTR(SHA256('DEMO|district|' || CAST(s_nationkey AS STRING) || '|' || CAST(s_suppkey AS STRING)
-      || '|' || {fyl('year(o_orderdate)')} || '||units_value'), 1, 16) AS fact_id
-      FROM orders JOIN supplier ON o_orderkey % (SELECT COUNT(*) FROM supplier) = s_suppkey)
-    SELECT position, req.fact_id, f.fact_id IS NOT NULL AS found, confidence, rule AS resolution_rule_id
-    FROM req LEFT JOIN facts f ON req.fact_id = f.fact_id""",
+    f"""WITH {DECIDED}, req AS (SELECT CAST(o_orderkey AS BIGINT) * 2 + k AS position, SUBSTR(SHA256('DEMO|district|' || CAST(s_nationkey AS STRING) || '|' || CAST(s_suppkey AS STRING)
+      || '|' || {fyl('year(o_orderdate)')} || '||' || m), 1, 16) AS fact_id
+      FROM orders JOIN supplier ON o_orderkey % (SELECT COUNT(*) FROM supplier) = s_suppkey CROSS JOIN (VALUES (0, 'units_value'), (1, 'units_shipped')) v(k, m))
+    SELECT position, req.fact_id, f.fact_id IS NOT NULL AS found, CAST(sk AS STRING) AS district_code, fin_year, metric, CAST(CAST(value AS BIGINT) AS STRING) AS value,
+    confidence, rule AS resolution_rule_id FROM req LEFT JOIN facts f ON req.fact_id = f.fact_id""",
 )
 def lineage_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = run(
@@ -268,12 +283,13 @@ def lineage_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"""SELECT CAST(o_orderkey AS BIGINT) AS position, s_nationkey, s_suppkey, {fyl('year(o_orderdate)')} AS fy
         FROM orders JOIN supplier ON o_orderkey % (SELECT COUNT(*) FROM supplier) = s_suppkey""",
     )
-    key = key_text(
-        F.lit("DEMO"), F.lit("district"), F.col("s_nationkey"), F.col("s_suppkey"), F.col("fy"), F.lit(""), F.lit("units_value")
-    )
-    requests = asked.select("position", F.substring(F.sha2(key, 256), 1, 16).alias("fact_id"))
-    return lineage.look_up(requests, facts(spark, sf_dir)).select(
-        "position", "fact_id", "found", "confidence", "resolution_rule_id"
+    asked = asked.select("*", F.posexplode(F.array(F.lit("units_value"), F.lit("units_shipped"))).alias("k", "m"))
+    key = key_text(F.lit("DEMO"), F.lit("district"), F.col("s_nationkey"), F.col("s_suppkey"), F.col("fy"), F.lit(""), F.col("m"))
+    requests = asked.select((F.col("position") * 2 + F.col("k")).alias("position"), F.substring(F.sha2(key, 256), 1, 16).alias("fact_id"))
+    path = scratch_path(spark, "published")
+    lineage.publish(facts(spark, sf_dir), path)
+    return lineage.look_up_published(requests, path).select(
+        "position", "fact_id", "found", "district_code", "fin_year", "metric", plain_number(F.col("value")).alias("value"), "confidence", "resolution_rule_id"
     )
 
 

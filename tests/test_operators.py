@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom import presets
-from ledgerloom.operators import audit, cohorts, conserve, dedupe, derive, drift, extract, normalize, reshape, resolve, rollup, serve, triage
+from ledgerloom.operators import audit, cohorts, conserve, dedupe, derive, drift, extract, lineage, normalize, reshape, resolve, rollup, serve, triage
 from ledgerloom.sources import landing
 
 
@@ -75,6 +75,32 @@ def test_ledger(spark, chunk):
     assert got == [(True, False, [], []), (False, False, [], []), (True, True, ["c"], []), (False, False, [], []), (True, True, [], ["c"])]
 
 
+def test_ledger_goes_on_from_stored_baselines(spark):
+    """Sequences far apart, in two parts: the second knows the first by its baselines only."""
+    schema = "source_id string, pull_seq bigint, columns array<string>, completeness string"
+    rows = [("s", 10**12 * k, [f"c{k % 3}", "id"], "partial" if k % 4 == 1 else "full") for k in range(12)] + [("t", 5, ["x"], "partial"), ("u", 9 * 10**12, ["y"], "partial")]
+    whole = spark.createDataFrame(rows, schema)
+    early, late = whole.filter("pull_seq < 6e12"), whole.filter("pull_seq >= 6e12")
+    stored = drift.baselines_after(early, spark.createDataFrame([], drift.BASELINES))
+    parts = drift.ledger(early, 2).unionByName(drift.ledger(late, 3, stored))
+    assert sorted(map(str, parts.collect())) == sorted(map(str, drift.ledger(whole, 5).collect()))
+    after = {r["source_id"]: (r["columns"], r["full"]) for r in drift.baselines_after(late, stored).collect()}
+    assert after == {"s": (["c2", "id"], True), "t": (["x"], False), "u": (["y"], False)}
+
+
+def test_published_lineage_reads_the_folders_asked_for(spark, tmp_path):
+    ids = [f"{n:02x}{n:014x}" for n in range(256)]
+    path = str(tmp_path / "lineage")
+    lineage.publish(spark.createDataFrame([(i, "single-source") for i in ids], "fact_id string, confidence string"), path)
+    asked = [(0, ids[7]), (1, "ff" + "0" * 14), (2, ids[7]), (3, "../x"), (4, ""), (5, None), (6, ids[30])]
+    found = lineage.look_up_published(spark.createDataFrame(asked, "position int, fact_id string"), path)
+    assert {r["position"]: r["found"] for r in found.collect()} == {0: True, 1: False, 2: True, 3: False, 4: False, 5: False, 6: True}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [id_folder" in plan and all(f"x{p}" in plan for p in ("07", "1e", "ff"))
+    none = lineage.look_up_published(spark.createDataFrame([(0, "none")], "position int, fact_id string"), path)
+    assert [r["found"] for r in none.collect()] == [False]
+
+
 def test_cumulative_final_is_march_and_never_a_sum(spark):
     rows = [("1", "1", "2022-23", "04", 0, 10), ("1", "1", "2022-23", "12", 1, 80), ("1", "1", "2022-23", "03", 2, 90), ("1", "1", "2022-23", "03", 3, None),
             ("1", "2", "2022-23", "12", 4, 7), ("1", "2", "2022-23", "13", 5, 99), ("1", "3", "2021-22", "13", 6, 5)]
