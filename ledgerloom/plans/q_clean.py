@@ -52,6 +52,39 @@ def type_coerce(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Cells of a text column as JSON delivers them: text, numbers, truth values and nulls.
+DELIVERED = """delivered AS (SELECT event_id AS id, CASE WHEN event_id % 7 = 6 THEN NULL WHEN event_id % 7 IN (3, 4) THEN CASE WHEN user_id % 2 = 0 THEN 'true' ELSE 'false' END
+    WHEN event_id % 7 = 5 THEN CAST(user_id AS STRING) || '.5' ELSE CAST(user_id AS STRING) END AS cell,
+  CASE event_id % 7 WHEN 0 THEN 'str' WHEN 1 THEN 'str' WHEN 2 THEN 'int' WHEN 3 THEN 'bool' WHEN 4 THEN 'bool' WHEN 5 THEN 'float' ELSE 'null' END AS kind FROM events)"""
+
+
+@query(
+    "text_cells",
+    f"WITH {DELIVERED} SELECT id, cell AS value, CASE WHEN cell IS NOT NULL AND kind <> 'str' THEN 'R2-TYPE-01:' || kind || '→str' END AS note FROM delivered",
+)
+def text_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A text column keeps every delivered value as text and notes the ones that weren't."""
+    rows = run(spark, sf_dir, f"WITH {DELIVERED} SELECT * FROM delivered")
+    cell, kind = F.col("cell"), F.col("kind")
+    typed = normalize.typed_value(cell, kind, "string")
+    return rows.select("id", typed.alias("value"), normalize.typed_note(cell, typed, kind, "string").alias("note"))
+
+
+@query(
+    "provenance",
+    """SELECT event_id AS id, CASE WHEN event_type IN ('view', 'click') THEN 'PUB_A' ELSE 'PUB_B' END AS source_id, 'res-' || event_type AS resource_id, 'state+annual' AS source_grain,
+    CASE WHEN event_type IN ('view', 'click') THEN 'full' ELSE 'partial' END AS pull_completeness, CASE WHEN event_type IN ('view', 'click') THEN CAST(ts AS TIMESTAMP) END AS source_as_of FROM events""",
+)
+def provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two publishers' pulls, one tagged full and dated, one without either."""
+    events = run(spark, sf_dir, "SELECT event_id AS id, event_type, ts FROM events")
+    resource = F.concat(F.lit("res-"), "event_type")
+    tagged = F.col("event_type").isin("view", "click")
+    full = landing.with_provenance(events.filter(tagged), "PUB_A", resource, "state+annual", landing.FULL, F.col("ts").cast("timestamp"))
+    rest = landing.with_provenance(events.filter(~tagged), "PUB_B", resource, "state+annual")
+    return full.unionByName(rest).select("id", "source_id", "resource_id", "source_grain", "pull_completeness", "source_as_of")
+
+
 @query(
     "fy_month",
     f"""WITH {CELLS}, p AS (SELECT id, fy_cell, month_cell, TRIM(fy_cell) AS f, LOWER(TRIM(month_cell)) AS m,
