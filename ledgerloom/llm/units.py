@@ -1,9 +1,10 @@
-"""Texts cut into units that tokenize independently of each other, and a bounded memo over them.
+"""Texts cut into units that tokenize independently of each other, and a memo of bounded bytes over them.
 
 Under the byte-level split patterns no match reaches from a non-space character into the white space
 after it. A unit is a run of white space with the run of other characters behind it (or trailing
 white space), so the ids of a text are the ids of its units in order. Most units of a corpus repeat,
-so each task remembers the ids of a bounded number of them.
+so each task remembers the ids of as many as fit
+a number of bytes; what one chunk of texts adds comes on top.
 """
 
 from __future__ import annotations
@@ -25,11 +26,14 @@ from pyspark.sql import types as T
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 UNITS = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 WORDS = re.compile(f"[^{SPACE}]+")
-PLAIN = re.compile(f"[{SPACE}]+[^{SPACE}\x00]+")
 
-#: Units in each of the two generations that a task remembers, and characters that it looks up at once.
-MEMO_UNITS = 350_000
+#: Bytes that each of the two generations of a task's memo may take, what one unit takes besides its
+#: characters and ids, and characters that are looked up at once.
+MEMO_BYTES = 120_000_000
+ENTRY_BYTES = 180
 CHUNK_CHARS = 500_000
+#: Units in one call of the library.
+CALL_UNITS = 20_000
 
 
 def chunks(texts: list[str], chars: int = CHUNK_CHARS) -> Iterator[list[str]]:
@@ -49,21 +53,24 @@ def chunks(texts: list[str], chars: int = CHUNK_CHARS) -> Iterator[list[str]]:
 class UnitMemo:
     """Packs texts by ``encode_units``, which gives the bytes of each of a list of distinct units."""
 
-    def __init__(self, cut: Callable[[str], list[str]], encode_units: Callable[[list[str]], list[bytes]], limit: int = MEMO_UNITS):
+    def __init__(self, cut: Callable[[str], list[str]], encode_units: Callable[[list[str]], list[bytes]], limit: int = MEMO_BYTES):
         self.cut, self.encode_units, self.limit = cut, encode_units, limit
+        self.bytes = 0
         # Units used since the last change of generations, and those of the generation before.
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def _learn(self, wanted: set[str]) -> None:
+        if self.bytes > self.limit:
+            self.young, self.old, self.bytes = {}, self.young, 0
         new = wanted.difference(self.young)
-        if self.young and len(self.young) + len(new) > self.limit:
-            self.young, self.old = {}, self.young
-            new = wanted
         kept = self.old.get
         missing = [unit for unit in new if kept(unit) is None]
-        self.young.update((unit, kept(unit)) for unit in new.difference(missing))
-        self.young.update(zip(missing, self.encode_units(missing), strict=True))
+        added = {unit: kept(unit) for unit in new.difference(missing)}
+        added.update(zip(missing, self.encode_units(missing), strict=True))
+        self.young.update(added)
+        # Four bytes are the most that a character of a text takes.
+        self.bytes += ENTRY_BYTES * len(added) + 4 * sum(map(len, added)) + sum(map(len, added.values()))
 
     def pack(self, texts: list[str | None]) -> Iterator[bytes]:
         """The packed ids of every text, in order; a null text is an empty one."""
@@ -76,11 +83,10 @@ class UnitMemo:
 
 
 class LibraryEncoder:
-    """Units encoded by the ``tokenizers`` library, many in one call.
+    """Units encoded by the ``tokenizers`` library, many in one call, each as a text of its own.
 
-    Units are joined by a mark that is encoded on its own, and the ids are cut at the mark. A unit
-    that could touch the mark (it holds one, or doesn't begin with white space where the pattern
-    keeps white space) goes through the library by itself.
+    A unit goes in as the only word of a text that is split already, which spares the library a
+    good part of what it does for a whole text.
     """
 
     def __init__(self, path: str):
@@ -91,47 +97,19 @@ class LibraryEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         # White space that leaves no id means that words stand alone.
-        self.spaced = bool(self.ids(" "))
-        self.mark = " \x00" if self.spaced else " ~ "
-        self.mark_ids = self.ids(self.mark)
-        if self.spaced and (len(self.mark_ids) != 2 or self.ids(" a \x00 b") != self.ids(" a") + self.mark_ids + self.ids(" b")):
-            raise ValueError(f"the mark of {path} isn't encoded on its own")
-        if not self.spaced and len(self.mark_ids) != 1:
-            raise ValueError(f"the mark of {path} isn't one id")
-
-    def ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def batch_ids(self, texts: list[str]) -> Iterator[list[int]]:
-        """Ids alone: the library needn't keep track of where each came from."""
-        return (got.ids for got in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))
+        self.spaced = bool(self.tokenizer.encode(" ", add_special_tokens=False).ids)
 
     def cut(self, text: str) -> list[str]:
         return (UNITS if self.spaced else WORDS).findall(text)
 
-    def _joins(self, unit: str) -> bool:
-        return PLAIN.fullmatch(unit) is not None if self.spaced else "~" not in unit
-
     def encode_units(self, units: list[str]) -> list[bytes]:
-        out: dict[str, bytes] = {}
-        joined = [u for u in units if self._joins(u)]
-        lead = len(self.mark_ids) - 1
-        for start in range(0, len(joined), 20_000):
-            part = joined[start : start + 20_000]
-            texts = [self.mark.join(part[i : i + 200]) + self.mark for i in range(0, len(part), 200)]
-            ids = np.array(list(itertools.chain.from_iterable(self.batch_ids(texts))), "<u4")
-            ends = np.flatnonzero(ids == self.mark_ids[-1])
-            if len(ends) != len(part):
-                raise ValueError("the mark occurs within a unit")
-            begin = 0
-            raw = ids.tobytes()
-            for unit, end in zip(part, ends.tolist(), strict=True):
-                out[unit] = raw[4 * begin : 4 * (end - lead)]
-                begin = end + 1
-        alone = [u for u in units if u not in out]
-        for unit, got in zip(alone, self.batch_ids(alone), strict=True):
-            out[unit] = np.array(got, "<u4").tobytes()
-        return [out[u] for u in units]
+        out: list[bytes] = []
+        for start in range(0, len(units), CALL_UNITS):
+            texts = [[unit] for unit in units[start : start + CALL_UNITS]]
+            # Ids alone: the library needn't keep track of where each came from.
+            got = self.tokenizer.encode_batch_fast(texts, is_pretokenized=True, add_special_tokens=False)
+            out.extend(np.array(x.ids, "<u4").tobytes() for x in got)
+        return out
 
 
 @functools.lru_cache(maxsize=2)
