@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom import presets
-from ledgerloom.operators import extract, lineage, normalize, reshape, resolve
+from ledgerloom.operators import lineage, normalize, reshape, resolve
 from ledgerloom.plans import build
 from ledgerloom.sources import landing, readers
 from ledgerloom.streaming import pulls
@@ -61,24 +61,19 @@ def run(spark, archive):
         build.Resource("e289a8fe", "SRC_RS", archive["compound"], full(("state_uts", "_metric", "_fin_year"), {"_fin_year": "fy"}, reshape.ReshapeSpec("compound", ("state_uts",))),
                        resolve.GeoConfig("state", "MGNREGS", "state_uts")),
         build.Resource("04476f1d", "SRC_MOSPI", archive["national"], full(("Year",), {"Year": "fy"}), resolve.GeoConfig("national", "NREGA")),
+        build.Resource("unnamed", "SRC_RS", archive["national"], full(("Year",), {"Year": "fy"}), resolve.GeoConfig("national", "NREGA")),
         build.Resource("broken", "SRC_RS", archive["pure"].replace(".json", ".xls"), full(("x",)), resolve.GeoConfig("state", "NREGA", "x")),
     ]
-    wired, deferred = build.wire(spark, resources, authority)
-    states, districts = build.primary_observations(wired["primary"], authority.district_names)
-    peers = [
-        extract.extract_long(resolve.resolved(wired["cea6ee41"]), (), 10, implicit=("persondays_generated", "count_lakh"), delivered=F.lit("float")),
-        extract.extract_long(resolve.resolved(wired["e289a8fe"]), presets.PEER_PERSONDAYS, 10),
-    ]
-    national = wired["04476f1d"]
-    wide = extract.extract_wide(resolve.resolved(national), presets.NATIONAL_IMPLEMENTATION, "Year", 10, national.columns)
-    built = build.reconcile_all(extract.union_sources([states, *peers, wide, districts]))
+    whole = build.build_all(spark, resources, authority, "primary")
+    wired, deferred, built = whole.wired, whole.deferred, whole.built
     counts = {r["table_name"]: r["row_count"] for r in build.export(built, authority, archive["out"]).collect()}
     return wired, deferred, built, counts, archive["out"]
 
 
 def test_a_failing_resource_is_deferred_with_its_reason(run):
-    rows = run[1].collect()
-    assert [r["resource_id"] for r in rows] == ["broken"] and "unsupported archive format" in rows[0]["deferred_reason"]
+    rows = {r["resource_id"]: r["deferred_reason"] for r in run[1].collect()}
+    assert rows.keys() == {"broken", "unnamed"} and "unsupported archive format" in rows["broken"]
+    assert rows["unnamed"] == "no mapping names this resource"
 
 
 def test_quarantine_keeps_what_does_not_resolve(run):
@@ -100,6 +95,11 @@ def test_facts(run):
     assert int(facts["national", None, None, "2021-22", "households_employed"]["value"]) == 1200
     assert int(facts["national", None, None, "2021-22", "persondays_generated"]["value"]) == 350000
     assert int(facts["state", "30", None, "2022-23", "active_workers"]["value"]) == 2000
+    # The nation's own table says nothing here; the primary states add up, and no peer's reading does.
+    assert int(facts["national", None, None, "2022-23", "persondays_generated"]["value"]) == 94005
+    assert facts["national", None, None, "2022-23", "persondays_generated"]["confidence"] == "single-source"
+    # 1,300 in the nation's table against 200 from the states.
+    assert facts["national", None, None, "2022-23", "households_employed"]["confidence"] not in ("single-source", "cross-publisher")
     assert not days["quarantined"]
 
 
