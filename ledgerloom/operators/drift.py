@@ -13,6 +13,8 @@ from ledgerloom.session import cut_lineage
 from ledgerloom.sources.landing import FULL, fingerprint_of
 
 BASELINES = "source_id string, columns array<string>, full boolean"
+#: Rows of a task that counts off chunks, unless one chunk is larger.
+TASK_ROWS = 100_000
 
 
 def drift_between(base: Column, base_full: Column, current: Column, current_full: Column) -> Column:
@@ -32,15 +34,19 @@ def _seen() -> Column:
 
 
 def _in_chunks(pulls: DataFrame, chunk: int) -> DataFrame:
-    """``pulls`` with ``_chunk``: neighbours in the order of source and sequence, about ``chunk`` of them.
+    """``pulls`` with ``_chunk``: neighbours in the order of source and sequence, ``chunk`` of them or fewer.
 
-    A chunk is a range partition, so its size doesn't depend on how densely the sequences are used.
-    It is saved, for the bounds to stay what they are when a task is lost.
+    Chunks are counted off inside range partitions, so their size doesn't depend on how densely the
+    sequences are used, and many small ones share a task and a file. They are saved, to stay what they
+    are when a task is lost.
     """
     saved = cut_lineage(pulls, "pulls")
-    chunks = max(1, -(-saved.count() // chunk))
-    ranged = saved.repartitionByRange(chunks, "source_id", "pull_seq")
-    return cut_lineage(ranged.withColumn("_chunk", F.spark_partition_id()), "chunks")
+    tasks = max(1, -(-saved.count() // max(chunk, TASK_ROWS)))
+    ranged = saved.repartitionByRange(tasks, "source_id", "pull_seq").sortWithinPartitions("source_id", "pull_seq")
+    # The partition's number in the upper bits, the row's in the lower 33.
+    at = ranged.withColumn("_at", F.monotonically_increasing_id())
+    first = F.shiftleft(F.shiftright("_at", 33), 33)
+    return cut_lineage(at.withColumn("_chunk", first + F.floor((F.col("_at") - first) / chunk)).drop("_at"), "chunks")
 
 
 def baselines_after(pulls: DataFrame, baselines: DataFrame) -> DataFrame:
@@ -59,7 +65,7 @@ def ledger(pulls: DataFrame, chunk: int = 10_000, baselines: DataFrame | None =
 
     The first pull of a source is its baseline whatever its scope; later only a full pull replaces
     it. ``baselines`` are those of sources that were seen before ``pulls``. The pulls are cut into
-    chunks of about ``chunk`` rows: windows run inside a chunk, and a window over one row per chunk
+    chunks of at most ``chunk`` rows: windows run inside a chunk, and a window over one row per chunk
     carries the baseline from chunk to chunk, so a source with a long history is spread over many
     tasks.
     """

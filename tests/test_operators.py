@@ -88,6 +88,21 @@ def test_ledger_goes_on_from_stored_baselines(spark):
     assert after == {"s": (["c2", "id"], True), "t": (["x"], False), "u": (["y"], False)}
 
 
+def test_small_chunks_share_tasks_and_files(spark, monkeypatch):
+    """Findings don't change with the chunks or with the tasks that count them off."""
+    schema = "source_id string, pull_seq bigint, columns array<string>, completeness string"
+    rows = [(f"s{k % 3}", k, [f"c{k * 7 % 5}", "id"], "partial" if k * 5 % 7 < 3 else "full") for k in range(120)]
+    pulls = spark.createDataFrame(rows, schema)
+    whole = sorted(map(str, drift.ledger(pulls, 1000).collect()))
+    cut = drift._in_chunks(pulls, 2)
+    assert len(cut.inputFiles()) == 1
+    assert sorted(n for _, n in cut.groupBy("_chunk").count().collect()) == [2] * 60
+    assert sorted(map(str, drift.ledger(pulls, 2).collect())) == whole
+    monkeypatch.setattr(drift, "TASK_ROWS", 16)
+    assert len(drift._in_chunks(pulls, 3).inputFiles()) > 1
+    assert sorted(map(str, drift.ledger(pulls, 3).collect())) == whole
+
+
 def test_published_lineage_reads_the_folders_asked_for(spark, tmp_path):
     ids = [f"{n:02x}{n:014x}" for n in range(256)]
     path = str(tmp_path / "lineage")
