@@ -28,6 +28,7 @@ no task gathers a key: all groups are per bucket, under partial aggregation.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -90,7 +91,7 @@ def _backed(classes: DataFrame) -> DataFrame:
       CASE WHEN _band > 0 THEN transform(sequence(-2, 2), d -> struct(concat('r', {SIGN}, _log + d) AS bucket, d AS side))
         ELSE array(struct(concat('e', value) AS bucket, 0 AS side)) END, {own}, {coarser})"""
     asked = classes.selectExpr("_key", "id", "source_id", "value", "rounding_epsilon AS step", "_band", f"explode({asks}) AS ask").selectExpr("*", "ask.bucket", "ask.side")
-    met = asked.join(_summaries(classes), ["_key", "bucket"])
+    met = asked.join(_summaries(classes).hint("merge"), ["_key", "bucket"])
     other = lambda n: f"CASE WHEN {n}1.s <> source_id THEN {n}1.v ELSE {n}2 END"
     return met.selectExpr("id", "value", "step", "_band", "side", "bucket", *[f"{other(n)} AS {n}" for n in ("low", "high", "low_step", "high_step")]).filter("""
       CASE WHEN side = 0 THEN low IS NOT NULL
@@ -99,21 +100,42 @@ def _backed(classes: DataFrame) -> DataFrame:
         ELSE value - high <= step OR high_step >= value END""").select("id").distinct()
 
 
+def _off_by(power: str, value: str, anchor: str) -> str:
+    """``off_by_power_of_ten`` of positive numbers for one known power, given as a column."""
+    up = " ".join(f"WHEN {round(math.log10(f))} THEN abs({anchor} * {f}BD - {value}) * 200BD <= {anchor} * {f}BD" for f in SCALE_FACTORS)
+    down = " ".join(f"WHEN -{round(math.log10(f))} THEN abs({anchor} - {value} * {f}BD) * 200BD <= {anchor}" for f in SCALE_FACTORS)
+    return f"(CASE {power} {up} {down} END)"
+
+
+def _near(found: DataFrame) -> DataFrame:
+    """What a number in a bucket has nearest: the greatest of the two buckets below, the extremes of its own, the least of the two above."""
+    each = found.groupBy("_key", "sign", "at").agg(F.min(F.abs("value")).alias("low"), F.max(F.abs("value")).alias("high"))
+    seen = each.selectExpr("_key", "sign", "at", "low", "high", "explode(sequence(-2, 2)) AS d")
+    return seen.groupBy("_key", "sign", F.expr("at + d AS at")).agg(
+        F.expr("max(CASE WHEN d > 0 THEN high END) AS below"), F.expr("max(CASE WHEN d = 0 THEN low END) AS low"),
+        F.expr("max(CASE WHEN d = 0 THEN high END) AS high"), F.expr("min(CASE WHEN d < 0 THEN low END) AS above"))
+
+
 def _missed(classes: DataFrame, backed: DataFrame) -> DataFrame:
     """The ids of backed classes that some reading misses by a power of ten without agreeing with them."""
     powers = ", ".join(str(s * round(math.log10(f))) for f in SCALE_FACTORS for s in (1, -1))
-    there = f"concat({SIGN}, CAST(floor({SIZE} / {SCALE_WIDTH}) AS bigint))"
-    around = f"""flatten(transform(array({powers}), p -> transform(sequence(-2, 2), d ->
-      concat({SIGN}, CAST(floor(({SIZE} + p * {math.log(10)!r}D) / {SCALE_WIDTH}) AS bigint) + d))))"""
-    found = classes.selectExpr("_key", "value", "rounding_epsilon", f"{there} AS bucket", f"{COARSE} AS coarse")
-    asked = classes.join(backed, "id", "left_semi").selectExpr("_key", "id", "value AS a", "rounding_epsilon AS a_step", "_band", f"{COARSE} AS a_coarse", f"explode({around}) AS bucket")
-    extremes = found.filter("NOT coarse").groupBy("_key", "bucket").agg(F.min(F.abs("value")).alias("low"), F.max(F.abs("value")).alias("high"))
+    there = f"CAST(floor({SIZE} / {SCALE_WIDTH}) AS bigint) AS at"
+    places = f"transform(array({powers}), p -> struct(p, CAST(floor(({SIZE} + p * {math.log(10)!r}D) / {SCALE_WIDTH}) AS bigint) AS at))"
+    # Who published a reading doesn't matter here, so equal ones of several publishers count once.
+    readings = classes.select("_key", "value", "rounding_epsilon", "_band").distinct()
+    found = readings.selectExpr("_key", "value", "rounding_epsilon", f"{SIGN} AS sign", there, f"{COARSE} AS coarse")
+    own = classes.join(backed, "id", "left_semi").select("_key", "value", "rounding_epsilon", "_band").distinct()
+    asked = own.selectExpr("_key", "value AS a", "rounding_epsilon AS a_step", "_band", f"{SIGN} AS sign", f"{COARSE} AS a_coarse", f"inline({places})")
     # A bucket is narrower than what counts as a miss, so if any of its values is one, an extreme is.
-    fine = asked.filter("NOT a_coarse").join(extremes, ["_key", "bucket"]).filter(
-        f"{off_by_power_of_ten('low', 'abs(a)')} OR {off_by_power_of_ten('high', 'abs(a)')}")
+    fine = asked.filter("NOT a_coarse").join(_near(found.filter("NOT coarse")).hint("merge"), ["_key", "sign", "at"]).filter(
+        " OR ".join(f"coalesce({_off_by('p', v, 'abs(a)')}, false)" for v in ("below", "low", "high", "above")))
+    asked = asked.withColumn("at", F.explode(F.expr("transform(sequence(-2, 2), d -> at + d)")))
+    # Pairs are formed only where one of both is coarse: all with the coarse ones, then the coarse ones with the others.
     exact = f"NOT {agrees('value', 'rounding_epsilon', 'a', 'a_step', '_band')} AND {off_by_power_of_ten('value', 'a')}"
-    coarse = asked.join(found.withColumnRenamed("coarse", "c"), ["_key", "bucket"]).filter("(c OR a_coarse)").filter(exact)
-    return fine.select("id").unionByName(coarse.select("id")).distinct()
+    pairs = [asked.join(found.filter("coarse"), ["_key", "sign", "at"]), asked.filter("a_coarse").join(found.filter("NOT coarse"), ["_key", "sign", "at"])]
+    missed = reduce(DataFrame.unionByName, [rows.select("_key", "a", "a_step") for rows in (fine, *[p.filter(exact) for p in pairs])]).distinct()
+    same = (F.col("c._key") == F.col("m._key")) & (F.col("c.value") == F.col("m.a")) & F.col("c.rounding_epsilon").eqNullSafe(F.col("m.a_step"))
+    return classes.join(backed, "id", "left_semi").alias("c").join(missed.alias("m"), same, "left_semi").select("c.id")
 
 
 def find_anchors(active: DataFrame) -> DataFrame:

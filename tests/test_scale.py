@@ -98,3 +98,20 @@ def test_no_task_gathers_a_key(spark):
     rows = readings(spark, random_rows(1, 5, 5, ["0"]))
     plan = scale.find_anchors(rows)._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan and "collect_list" not in plan
+
+
+def test_pairs_are_formed_only_with_coarse_readings(spark):
+    """Readings in a crowded bucket meet what is known of the bucket, not each other."""
+    classes = scale._classes(readings(spark, random_rows(2, 5, 5, ["0", "0.9"])))
+    plan = scale._missed(classes, classes.select("id"))._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join " in line]
+    assert joins and not any("coarse" in line for line in joins)
+
+
+def test_nearest_values_decide_a_miss(spark):
+    rows = []
+    for power in (-3, -1, 2):
+        for other in ("1000.5", "1005", "1005.1", "995", "994.9", "1000", "-1000"):
+            key, missing = f"{other}e{power}", Decimal(other).scaleb(power).quantize(Decimal("1e-12"))
+            rows += [(key, Decimal(1000), Decimal(0), "A", 0, 5), (key, Decimal(1000), Decimal(0), "B", 1, 5), (key, missing, Decimal(0), "C", 2, 5)]
+    assert anchors(spark, rows) == brute(rows) != {}
