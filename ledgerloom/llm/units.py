@@ -2,7 +2,9 @@
 
 Under the byte-level split patterns no match reaches from a non-space character into the white space
 after it. A unit is a run of white space with the run of other characters behind it (or trailing
-white space), so the ids of a text are the ids of its units in order. Most units of a corpus repeat,
+white space), so the ids of a text are the ids of its units in order. The library's patterns never reach
+from a letter or digit into punctuation either, so there its units end too: a word is learnt once,
+whatever mark comes after it. Most units of a corpus repeat,
 so each task remembers the ids of as many as fit
 a number of bytes; what one chunk of texts adds comes on top.
 """
@@ -13,6 +15,9 @@ import functools
 import itertools
 import os
 import re
+import string
+import sys
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -26,14 +31,29 @@ from pyspark.sql import types as T
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 UNITS = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 WORDS = re.compile(f"[^{SPACE}]+")
+#: Letters and digits that all versions of Unicode know as such, and the punctuation that ends a unit
+#: behind them; an apostrophe may belong to the word before it.
+LETTERS = "0-9A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+MARKS = string.punctuation.replace("'", "")
+_MARKS = re.escape(MARKS)
+#: A plain word with the marks before it, else whatever ends at white space or where punctuation begins.
+_BODY = f"[{_MARKS}]*+[{LETTERS}]++(?![^{_MARKS}{SPACE}])|[^{SPACE}]+?(?:(?<=[{LETTERS}])(?=[{_MARKS}])|(?![^{SPACE}]))"
+FINE_UNITS = re.compile(f"[{SPACE}]*+(?:{_BODY})|[{SPACE}]+")
+FINE_WORDS = re.compile(_BODY)
 
 #: Bytes that each of the two generations of a task's memo may take, what one unit takes besides its
 #: characters and ids, and characters that are looked up at once.
 MEMO_BYTES = 120_000_000
 ENTRY_BYTES = 180
 CHUNK_CHARS = 500_000
+#: The bytes of a generation with the library's finer units, of which fewer are distinct.
+LIBRARY_BYTES = 80_000_000
+#: Whether the machine's own integers are what is packed.
+NATIVE = sys.byteorder == "little" and array("I").itemsize == 4
 #: Units in one call of the library.
 CALL_UNITS = 20_000
+#: Units in one text of a call.
+TEXT_UNITS = 200
 
 
 def chunks(texts: list[str], chars: int = CHUNK_CHARS) -> Iterator[list[str]]:
@@ -82,11 +102,16 @@ class UnitMemo:
                 yield b"".join(map(look, units))
 
 
+def packed(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit integers; from a list, an array is cheaper than numpy's."""
+    return array("I", ids).tobytes() if NATIVE else np.array(ids, "<u4").tobytes()
+
+
 class LibraryEncoder:
-    """Units encoded by the ``tokenizers`` library, many in one call, each as a text of its own.
+    """Units encoded by the ``tokenizers`` library, many in one call, each as a word of its own.
 
-    A unit goes in as the only word of a text that is split already, which spares the library a
-    good part of what it does for a whole text.
+    Units go in as the words of texts that are split already, which spares the library a good part of
+    what it does for a whole text; the number of the word that each id comes from tells them apart.
     """
 
     def __init__(self, path: str):
@@ -97,18 +122,28 @@ class LibraryEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         # White space that leaves no id means that words stand alone.
-        self.spaced = bool(self.tokenizer.encode(" ", add_special_tokens=False).ids)
+        self.spaced = bool(self._ids(" "))
+        # A vocabulary that joins letters and punctuation after all keeps whole words.
+        apart = all(self._ids(f"{x}{mark}a") == self._ids(x) + self._ids(f"{mark}a") for mark in MARKS for x in ("a", "e1", "\u00e9"))
+        self.cut = ((FINE_UNITS if apart else UNITS) if self.spaced else (FINE_WORDS if apart else WORDS)).findall
 
-    def cut(self, text: str) -> list[str]:
-        return (UNITS if self.spaced else WORDS).findall(text)
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def encode_units(self, units: list[str]) -> list[bytes]:
         out: list[bytes] = []
         for start in range(0, len(units), CALL_UNITS):
-            texts = [[unit] for unit in units[start : start + CALL_UNITS]]
-            # Ids alone: the library needn't keep track of where each came from.
-            got = self.tokenizer.encode_batch_fast(texts, is_pretokenized=True, add_special_tokens=False)
-            out.extend(np.array(x.ids, "<u4").tobytes() for x in got)
+            call = units[start : start + CALL_UNITS]
+            texts = [call[at : at + TEXT_UNITS] for at in range(0, len(call), TEXT_UNITS)]
+            got = self.tokenizer.encode_batch(texts, is_pretokenized=True, add_special_tokens=False)
+            for words, coded in zip(texts, got, strict=True):
+                ids = packed(coded.ids)
+                # Word numbers ascend, so those up to a unit's number end where its ids end.
+                ends = 4 * np.searchsorted(np.array(coded.word_ids, np.int64), np.arange(len(words)), side="right")
+                first = 0
+                for end in ends.tolist():
+                    out.append(ids[first:end])
+                    first = end
         return out
 
 
@@ -116,7 +151,7 @@ class LibraryEncoder:
 def library_memo(path: str) -> UnitMemo:
     """One memo for each worker process and vocabulary file."""
     encoder = LibraryEncoder(path)
-    return UnitMemo(encoder.cut, encoder.encode_units)
+    return UnitMemo(encoder.cut, encoder.encode_units, LIBRARY_BYTES)
 
 
 def library_ids(path: str):

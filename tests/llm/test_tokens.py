@@ -254,3 +254,16 @@ def test_op6_totals(spark):
     for r in queries.op6_token_counts(spark, SF).collect():
         got[r["source"], r["lang"], r["tokenizer"], "docs"], got[r["source"], r["lang"], r["tokenizer"], "tokens"] = r["docs"], r["tokens"]
     assert got == expected
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_a_word_is_learnt_once_whatever_mark_follows(name):
+    """Units end before punctuation, and their ids are those of the whole text all the same."""
+    expected, encoder = library(name), LibraryEncoder(P.path(name))
+    asked = []
+    memo = UnitMemo(encoder.cut, lambda units: asked.extend(units) or encoder.encode_units(units))
+    texts = ["a word. a word, a word; (word) word\u20ac. don't. x1. e\u0301. a=\u0338b \u0663. _a_ <|endoftext|>a", "\x1c \x85.", "'s.'ll a.'t", "", " ", "\u4e2d.\u00bd,"]
+    assert [list(np.frombuffer(ids, "<u4")) for ids in memo.pack(texts)] == [expected(text) for text in texts]
+    assert not {" word.", " word,", " word;", "word.", "word,", "word;"} & set(asked)
+    many = [f" w{n}x" for n in range(1000)] + ["\x1c"]
+    assert encoder.encode_units(many) == [x for unit in many for x in encoder.encode_units([unit])]
